@@ -6,7 +6,8 @@ from .chunk_bpe import op7_chunk_bpe
 from .language_id import op8_language_id
 from .line_quality import op6_quality
 from .packing import op2_packing
+from .simhash import op5_simhash
 from .toxicity import op4_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_toxicity, op6_quality, op7_chunk_bpe, op8_language_id)}
+QUERIES = {f.__name__: f for f in (op2_packing, op4_toxicity, op5_simhash, op6_quality, op7_chunk_bpe, op8_language_id)}
 ORACLES: dict[str, str] = {}
