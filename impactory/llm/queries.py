@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chroma import op1_chroma
 from .chunk_bpe import op7_chunk_bpe
 from .language_id import op8_language_id
 from .line_quality import op6_quality
@@ -12,5 +13,5 @@ from .simhash import op5_simhash
 from .spot_signatures import op9_spot_signatures
 from .toxicity import op4_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_pitman_yor, op4_toxicity, op5_simhash, op6_quality, op7_chunk_bpe, op8_language_id, op9_spot_signatures, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_chroma, op2_packing, op3_pitman_yor, op4_toxicity, op5_simhash, op6_quality, op7_chunk_bpe, op8_language_id, op9_spot_signatures, op10_secret_scan)}
 ORACLES: dict[str, str] = {}
