@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from impactory.llm import line_quality, toxicity
+from impactory.llm import line_quality, packing, secret_scan, simhash, toxicity
 from impactory.llm.common import load, materialize
 
 STAGES = [
     ("toxicity", toxicity.keep_clean),
     ("quality", line_quality.keep_good),
+    ("near_duplicates", simhash.keep_one),
+    ("secrets", secret_scan.redact),
+    ("packing", packing.pack_stage),
 ]
 
 #: The stages apply trained models and connected components, which SQL can't express.

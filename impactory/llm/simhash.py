@@ -293,12 +293,114 @@ def op5_simhash(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+# ---- The pipeline stage: five-word shingles and a similarity of 0.8, with an exact check.
+
+STAGE_SHINGLE, STAGE_LIKENESS = 5, 0.8
+#: Of the groups into which a hash deals a text's shingles, GROUP_SIZE to twice as many in each, so many get a fingerprint.
+GROUPS, GROUP_SIZE = 32, 4
+#: Groups that name a second row to compare with.
+SECOND = 2
+
+
+def shingle_set(text: str | None, shingle: int = STAGE_SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; the whole sequence of fewer words is one."""
+    import xxhash
+
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    if len(words) < shingle:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
+    n = len(words) - shingle + 1
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(s), SEED) for s in zip(*(words[k:] for k in range(shingle)), strict=False)), np.uint64, n))
+
+
+def partial_fingerprints(hashes: np.ndarray) -> list[tuple[int, int, int]]:
+    """(level, group, fingerprint): SimHashes of the first groups of a set's shingles.
+
+    A level has 2 ** level groups. A set takes the level of its own size and that of the largest set
+    that can be similar to it, so that two similar sets have a level in common.
+    """
+    out, n = [], len(hashes)
+    for level in sorted({max(0, int(np.log2(max(1.0, x / GROUP_SIZE)))) for x in (n, n / STAGE_LIKENESS)}):
+        group = (hashes >> np.uint64(64 - level)).astype(np.int64) if level else np.zeros(n, np.int64)
+        mine = hashes[group < GROUPS]
+        at, sizes = np.unique(group[group < GROUPS], return_counts=True)
+        bits = np.unpackbits(mixed(mine).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
+        if len(at):
+            ones = np.add.reduceat(bits, np.cumsum(sizes) - sizes)  # hashes are sorted, and so are groups
+            prints = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+            out += [(level, g, p) for g, p in zip(at.tolist(), prints.tolist(), strict=True)]
+    return out
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """The hashes mixed anew: within a group their first bits are all alike."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def similar(docs: DataFrame) -> DataFrame:
+    """(row, root) for rows (row, text): every row but the first of each group, with its group's first row.
+
+    Equal texts are one from the start. The others are compared with the first row of their component of
+    whole fingerprints and, for each partial fingerprint, with the first row that has it and (for SECOND
+    of the groups) one more; so a group of any size costs a few comparisons per row. Pairs whose sets
+    of shingles have a Jaccard similarity of STAGE_LIKENESS or more are links.
+    """
+    text = F.coalesce("text", F.lit(""))
+    sums = materialize(docs.select("row", F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")), "texts")
+    same = sums.groupBy("a", "b").agg(F.min("row").alias("root"))
+    copies = sums.join(same, ["a", "b"]).where("row <> root").select("row", "root")
+    small_batches(docs.sparkSession)
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, levels, groups, fps = [], [], [], []
+            for row, one in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                rows.append(row), levels.append(-1), groups.append(0), fps.append(fingerprint(one, STAGE_SHINGLE))
+                for level, group, fp in partial_fingerprints(shingle_set(one)):
+                    rows.append(row), levels.append(level), groups.append(group), fps.append(fp)
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(levels, pa.int32()), pa.array(groups, pa.int32()), pa.array(np.array(fps, np.uint64).view(np.int64))], ["row", "level", "part", "fp"])
+
+    found = materialize(docs.select("row", "text").mapInArrow(prints, "row long, level int, part int, fp long"), "partial")
+    found = found.join(same.select(F.col("root").alias("row")), "row", "left_semi")
+    whole = found.where("level = -1").select(F.col("row").alias("doc_id"), "fp")
+    near = whole.join(fingerprint_components(whole), "fp").select(F.col("doc_id").alias("row"), F.col("component_id").alias("other"))
+    key = ["level", "part", "fp"]
+    part = found.where("level >= 0")
+    second = F.min(F.struct(F.xxhash64("row", "part").alias("h"), F.col("row").alias("row")))["row"]
+    heads = part.groupBy(*key).agg(F.count("*").alias("n"), F.min("row").alias("one"), second.alias("two")).where("n > 1")
+    others = F.array(F.col("one"), F.when(F.col("part") < SECOND, F.col("two")).otherwise(F.col("one")))
+    more = part.join(heads, key).select("row", F.explode(F.array_distinct(others)).alias("other"))
+    edges = near.union(more).where("row <> other").select(F.greatest("row", "other").alias("u"), F.least("row", "other").alias("v")).distinct()
+    edges = materialize(edges, "candidates")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["row", "set"])
+
+    needed = edges.select(F.col("u").alias("row")).union(edges.select("v")).distinct()
+    held = materialize(docs.select("row", "text").join(needed, "row", "left_semi").mapInArrow(sets, "row long, set binary"), "sets")
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= STAGE_LIKENESS * (len(x) + len(y) - both))
+            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    pairs = edges.join(held.select(F.col("row").alias("u"), F.col("set").alias("x")), "u").join(held.select(F.col("row").alias("v"), F.col("set").alias("y")), "v")
+    links_ = pairs.select("u", "v", "x", "y").mapInArrow(agree, "u long, v long")
+    return copies.union(components(links_).select("u", "root"))
+
+
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A pipeline stage: of each component its first row stays, columns as they were.
+    """A pipeline stage: of each group of similar texts the first row stays, columns as they were.
 
     Rows are told apart by their place in the written table, so null and repeated ids don't matter.
     """
     row = "__row_in_table"
-    rows = docs.select(F.monotonically_increasing_id().alias("doc_id"), F.col("text"))
-    first = near_duplicates(rows).where("doc_id = component_id").select(F.col("doc_id").alias(row))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(first, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    gone = similar(placed.select(F.col(row).alias("row"), F.col("text").cast("string").alias("text"))).select(F.col("row").alias(row)).distinct()
+    return placed.join(gone, row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
