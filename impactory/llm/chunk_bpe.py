@@ -8,7 +8,7 @@ open ends of adjoining chunks are joined and encoded anew, on to the next chunk
 blank in it, so that the result agrees exactly with an encoding of the whole text: blanks and line
 ends bound the vocabulary's words, and nothing merges across them.
 
-Data moves in blocks: each batch of documents sends its distinct chunks, grouped by digest bucket, in
+Data moves in blocks: each block of documents sends its distinct chunks, grouped by digest bucket, in
 one compressed block per bucket; the bucket's task returns one block of ids per batch. A chunk that
 very many documents share is thus sent at most once per batch. Nothing is collected.
 
@@ -35,6 +35,8 @@ from .packing import byte_chars
 CUT_BITS, LEAST, MOST = 11, 256, 16384
 CACHE = 600_000
 BUCKETS_PER_PARTITION = 4
+#: Characters of text in a block of documents, about (a text is never divided), and how hard its parts are compressed.
+BLOCK_CHARS, LEVEL = 12_000_000, 12
 #: Punctuation that may follow a word; a word that ends in a letter below LATIN_END splits from it.
 AFTER_WORD, LATIN_END = ".,!?;:*$%&#", "\u0250"
 _GEAR = np.random.default_rng(7).integers(0, 2**32, 65536, dtype=np.uint32)
@@ -119,10 +121,10 @@ class WordEncoder:
         return " ".join(map(self.names.__getitem__, np.frombuffer(ids, self.dtype).tolist()))
 
 
-def squeeze(x: object) -> bytes:
+def squeeze(x: object, level: int = 3) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(x, protocol=5))
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(x, protocol=5))
 
 
 def expand(b: bytes) -> object:
@@ -140,18 +142,16 @@ def blocks(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
 
 
 def chunked(n_buckets: int):
-    """Batches of documents to blocks of distinct chunks (kind 0) and the plan of each batch (kind 1)."""
+    """Documents to blocks of distinct chunks (kind 0) and the plan of each block (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        part = TaskContext.get().partitionId()
-        for k, b in enumerate(batches):
-            key, rows = (part << 32) | k, []
-            place: dict[str, tuple[int, int]] = {}
-            held: dict[int, list[str]] = {}
-            plan = []
-            for text in b.column(1).to_pylist():
+        part, ids, texts, room, k = TaskContext.get().partitionId(), [], [], BLOCK_CHARS, 0
+
+        def block() -> pa.RecordBatch:
+            key, place, held, plan = (part << 32) | k, {}, {}, []
+            for text in texts:
                 refs, last = [], 0
                 for end in cuts(text) if text else ():
                     chunk, last = text[last:end], end
@@ -163,9 +163,20 @@ def chunked(n_buckets: int):
                         mine.append(chunk)
                     refs.append(at)
                 plan.append(refs)
-            rows += [(0, bucket, key, squeeze(chunks)) for bucket, chunks in held.items()]
-            rows.append((1, key % n_buckets, key, squeeze((b.column(0).to_pylist(), plan))))
-            yield blocks(rows)
+            rows = [(0, bucket, key, squeeze(chunks, LEVEL)) for bucket, chunks in held.items()]
+            rows.append((1, key % n_buckets, key, squeeze((ids, plan), LEVEL)))
+            return blocks(rows)
+
+        for b in batches:
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                ids.append(doc_id)
+                texts.append(text)
+                room -= len(text or "")
+                if room <= 0:
+                    yield block()
+                    ids, texts, room, k = [], [], BLOCK_CHARS, k + 1
+        if ids:
+            yield block()
 
     return run
 
@@ -186,7 +197,7 @@ def encoded(path: str):
                     a, z = ends(chunk)
                     got = done[chunk] = (chunk, None, "") if a < 0 else (chunk[:a], encoder.encode(chunk[a:z]), chunk[z:])
                 parts.append(got)
-            out.append((0, r["bucket"], r["batch"], squeeze(parts)))
+            out.append((0, r["bucket"], r["batch"], squeeze(parts, LEVEL)))
         return pa.Table.from_batches([blocks(out)])
 
     return run
