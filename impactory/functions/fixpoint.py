@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation
 
 
 def _folder(spark) -> str:
@@ -18,12 +18,14 @@ def _folder(spark) -> str:
     return where.rstrip("/")
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """df as a written table: cuts lineage, and lost executors lose nothing."""
+def save(df: DataFrame, name: str, measures: dict[str, Column] | None = None) -> DataFrame:
+    """df as a written table: cuts lineage, and lost executors lose nothing. Measures are taken while it is written."""
     path = f"{_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    seen = Observation()
+    (df.observe(seen, *(c.alias(k) for k, c in measures.items())) if measures else df).write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._saved_at = path
+    out._measures = seen.get if measures else None
     return out
 
 
@@ -34,19 +36,19 @@ def drop(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def iterate(state: DataFrame, step: Callable[[DataFrame, Row], DataFrame], measures: dict[str, Column], error: str, tolerance: float, max_iter: int = 500, name: str = "state") -> tuple[DataFrame, int]:
+def iterate(state: DataFrame, step: Callable[[DataFrame, dict], DataFrame], measures: dict[str, Column], error: str, tolerance: float, max_iter: int = 500, name: str = "state") -> tuple[DataFrame, int]:
     """Repeat step until the measure named error is below tolerance; the last state and the number of steps.
 
-    One aggregate per step gives all measures: the error and whatever the next step needs as scalars.
+    Each step is one action: the write itself yields the measures, the error and whatever the next step needs.
     """
     if not tolerance > 0:
         raise ValueError("the tolerance must be positive")
-    now = save(state, name)
-    seen = now.agg(*(c.alias(k) for k, c in measures.items())).first()
+    now = save(state, name, measures)
+    seen = now._measures
     for k in range(1, max_iter + 1):
-        new = save(step(now, seen), name)
+        new = save(step(now, seen), name, measures)
         drop(now)
-        now, seen = new, new.agg(*(c.alias(m) for m, c in measures.items())).first()
+        now, seen = new, new._measures
         if seen[error] is None:
             raise ValueError("no score can be compared: are all initial scores null?")
         if seen[error] < tolerance:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixpoint import iterate, save
@@ -43,7 +43,7 @@ def ecm(g: CitationGraph, alpha: float, gamma: float, current_year: int, toleran
         sent = edges.join(r.select(F.col("paper").alias("src"), "r"), "src")
         return sent.groupBy("dst").agg(F.sum(F.col("w") * F.col("r")).alias("in"))
 
-    def step(state: DataFrame, _: Row) -> DataFrame:
+    def step(state: DataFrame, _: dict) -> DataFrame:
         got = state.join(push(state.where("r > 0")), F.col("paper") == F.col("dst"), "left").withColumn("in", F.coalesce("in", F.lit(0.0)))
         return got.select("paper", "pub_year", F.col("in").alias("r"), (F.col("total") + F.col("in")).alias("total"))
 
@@ -70,7 +70,7 @@ def _power(g: CitationGraph, start: DataFrame, alpha: float, jump, tolerance: fl
     edges = save(g.inner.select("src", "dst", "share").repartition("src"), "edges")
     kept = [c for c in start.columns if c != "score"]
 
-    def step(state: DataFrame, seen: Row) -> DataFrame:
+    def step(state: DataFrame, seen: dict) -> DataFrame:
         got = state.withColumnRenamed("score", "old").withColumnRenamed("change", "_").drop("_")
         got = got.join(contributions(edges, state), F.col("paper") == F.col("dst"), "left")
         new = alpha * (F.coalesce("in", F.lit(0.0)) + seen["mass"] / n) + jump
