@@ -1,6 +1,7 @@
 """Toxicity by a classifier chain: categories in sequence, earlier probabilities feeding later models.
 
-Features are presence of words and of word beginnings (PREFIXES letters). Indicators are the features
+Features are presence of words, of word beginnings (PREFIXES letters), and of beginnings that several
+different words of the text share. Indicators are the features
 that mark toxic rows in the labelled sample. The table labels only toxic or not, so the first two
 categories are weak labels drawn from those indicators:
 
@@ -10,7 +11,7 @@ categories are weak labels drawn from those indicators:
 
 Each category is a logistic model over the indicators and the probabilities of the categories before
 it. In training those are out-of-fold predictions (FOLDS folds), so that a later model doesn't trust
-an earlier one more than it may in use. A document is rejected at a toxic probability of 0.5 or more.
+an earlier one more than it may in use. A document is rejected at a toxic probability of REJECT or more.
 
 Rows: a null or empty text has no feature and gets the chain's base probabilities; repeated rows and
 ties are scored alike; null labels are ignored; without toxic labels every probability is 0. Extra
@@ -34,14 +35,14 @@ from pyspark.sql import types as T
 from .common import load, small_batches
 
 CATEGORIES = ("explicit", "coded", "toxic")
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6, 7)
 #: Bounds of the fit: labelled rows, indicators of each kind.
-SAMPLE_ROWS, INDICATORS = 8_000, 400
-#: An indicator occurs in so many toxic rows at least, and is so many times likelier there.
-LEAST_ROWS, LEAST_LIFT = 6, 30.0
+SAMPLE_ROWS, INDICATORS = 5_000, 120
+#: An indicator occurs in so many toxic rows and in such a share of them at least, and is so many times likelier there.
+LEAST_ROWS, LEAST_SHARE, LEAST_LIFT = 3, 0.007, 20.0
 #: A coded beginning is shared by so many different words at least.
 LEAST_FORMS = 3
-FOLDS, REJECT = 5, 0.5
+FOLDS, REJECT = 5, 0.8
 WORD = re.compile(r"[^\W\d_]+")
 RESULT = T.StructType([T.StructField(c, T.DoubleType()) for c in CATEGORIES])
 
@@ -51,9 +52,12 @@ def words_of(text: str | None) -> set[str]:
 
 
 def features_of(words: set[str]) -> set[str]:
+    """w: words, p: beginnings, q: beginnings of two words or more."""
     out = {f"w:{w}" for w in words}
     for n in PREFIXES:
-        out |= {f"p:{w[:n]}" for w in words if len(w) > n}
+        begun = Counter(w[:n] for w in words if len(w) > n)
+        out |= {f"p:{p}" for p in begun}
+        out |= {f"q:{p}" for p, k in begun.items() if k > 1}
     return out
 
 
@@ -99,27 +103,33 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 12)
     return w
 
 
-def train(rows: list[tuple[int, set[str], int]]) -> Model:
-    """rows: (fold key, distinct words, toxic)."""
+def train(rows: list[tuple[int, str, int]]) -> Model:
+    """rows: (fold key, distinct words joined by blanks, toxic). Only features of toxic rows are counted."""
     toxic = [r for r in rows if r[2]]
     if not toxic or len(toxic) == len(rows):
         return Model({}, [])
     inside, outside = Counter(), Counter()
+    for _, words, _ in toxic:
+        inside.update(features_of(set(words.split())))
+    least = max(LEAST_ROWS, LEAST_SHARE * len(toxic))
+    inside = {f: k for f, k in inside.items() if k >= least}
+    begun = {f[2:] for f in inside if f[0] != "w"}
     forms: dict[str, set[str]] = defaultdict(set)
     for _, words, y in rows:
-        (inside if y else outside).update(features_of(words))
-        if y:
+        if not y:
+            outside.update(f for f in features_of(set(words.split())) if f in inside)
+            continue
+        for w in words.split():
             for n in PREFIXES:
-                for w in words:
-                    if len(w) > n:
-                        forms[f"p:{w[:n]}"].add(w)
+                if len(w) > n and w[:n] in begun:
+                    forms[w[:n]].add(w)
     scale = (len(rows) - len(toxic) + 1) / (len(toxic) + 1)
-    lift = {f: (k / (outside[f] + 0.5)) * scale for f, k in inside.items() if k >= LEAST_ROWS}
+    lift = {f: (k / (outside[f] + 0.5)) * scale for f, k in inside.items()}
     marks = sorted((f for f, v in lift.items() if v >= LEAST_LIFT), key=lambda f: (-inside[f], f))
     explicit = [f for f in marks if f[0] == "w"][:INDICATORS]
-    coded = [f for f in marks if f[0] == "p" and len(forms[f]) >= LEAST_FORMS][:INDICATORS]
+    coded = [f for f in marks if f[0] != "w" and len(forms[f[2:]]) >= LEAST_FORMS][: 2 * INDICATORS]
     at = {f: i for i, f in enumerate([*explicit, *coded])}
-    found = [sorted(at[f] for f in features_of(words) if f in at) for _, words, _ in rows]
+    found = [sorted(at[f] for f in features_of(set(words.split())) if f in at) for _, words, _ in rows]
     x, y = dense(found, len(at)), np.array([r[2] for r in rows], float)
     has = [x[:, : len(explicit)].any(axis=1), x[:, len(explicit) :].any(axis=1), np.ones(len(rows), bool)]
     fold = np.array([r[0] % FOLDS for r in rows])
@@ -149,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     rows = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     got = rows.mapInPandas(bags, "doc_id long, words string, toxic int").toArrow().to_pylist()
     got.sort(key=lambda r: (r["doc_id"], r["words"]))
-    return train([(zlib.crc32(r["words"].encode()), set(r["words"].split()), int(r["toxic"] > 0)) for r in got])
+    return train([(zlib.crc32(r["words"].encode()), r["words"], int(r["toxic"] > 0)) for r in got])
 
 
 def probabilities(spark: SparkSession, text: Column, model: Model) -> Column:
@@ -160,28 +170,38 @@ def probabilities(spark: SparkSession, text: Column, model: Model) -> Column:
     @F.pandas_udf(RESULT)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m: Model = shared.value
-        words = {f[2:]: i for f, i in m.indicators.items() if f[0] == "w"}
-        begin = [(n, {f[2:]: i for f, i in m.indicators.items() if f[0] == "p" and len(f) == n + 2}) for n in PREFIXES]
+        one, two, all_words = ({f[2:]: i for f, i in m.indicators.items() if f[0] == kind} for kind in "pqw")
 
         class Marks(dict):
-            """The indicators in a word; most words have none."""
+            """The indicators of the words in a piece of text, and the beginnings that count; most pieces have none."""
 
-            def __missing__(self, word: str) -> tuple[int, ...]:
+            def __missing__(self, piece: str) -> tuple:
                 if len(self) > 300_000:
                     self.clear()
-                hits = {words[p] for p in WORD.findall(word) if p in words}
-                hits |= {t[p[:n]] for p in WORD.findall(word) for n, t in begin if len(p) > n and p[:n] in t}
-                out = self[word] = tuple(hits)
+                out = []
+                for word in WORD.findall(piece):
+                    begun = [word[:n] for n in PREFIXES if len(word) > n]
+                    hits = [all_words[word]] if word in all_words else []
+                    hits += [one[p] for p in begun if p in one]
+                    pairs = [two[p] for p in begun if p in two]
+                    if hits or pairs:
+                        out.append((word, hits, pairs))
+                self[piece] = out = tuple(out)
                 return out
 
         marks = Marks()
         for texts in batches:
             found = []
-            for one in texts:
+            for text_ in texts:
                 hits: set[int] = set()
-                if one:
-                    for some in set(map(marks.__getitem__, one.lower().split())):
-                        hits.update(some)
+                begun: dict[int, set[str]] = defaultdict(set)
+                if text_:
+                    for some in map(marks.__getitem__, set(text_.lower().split())):
+                        for word, own, pairs in some:
+                            hits.update(own)
+                            for k in pairs:
+                                begun[k].add(word)
+                hits.update(k for k, words in begun.items() if len(words) > 1)
                 found.append(sorted(hits))
             yield pd.DataFrame(m.predict(found), columns=list(CATEGORIES))
 

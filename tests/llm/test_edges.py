@@ -1,0 +1,41 @@
+"""Every query over awkward rows and over empty tables."""
+
+import pytest
+
+from impactory.llm.queries import QUERIES
+
+from .conftest import EDGE
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_awkward_rows(spark, sf, name):
+    rows = QUERIES[name](spark, sf).collect()
+    ids = [r["doc_id"] for r in rows]
+    if name == "op2_packing":
+        assert set(ids) == {r[0] for r in EDGE}
+    else:
+        assert sorted(ids, key=str) == sorted((r[0] for r in EDGE), key=str)
+        by = {}
+        for r in rows:
+            if r["doc_id"] == 4:  # a repeated row has one result
+                by.setdefault(tuple(v for k, v in r.asDict().items() if k not in {"near_next", "near_edited", "edited_sha256", "edited_fingerprint", "held_out"}), 0)
+        assert len(by) == 1
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables(spark, bare, name):
+    assert QUERIES[name](spark, bare).collect() == []
+
+
+def test_pipeline(spark, sf, bare):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, sf)
+        assert k == 4 or out.columns == docs.columns
+        from impactory.llm.common import materialize
+
+        docs = materialize(out, "test-stage")
+    assert docs.count() > 0
+    assert corpus_pipeline.run(spark, bare).count() == 0
