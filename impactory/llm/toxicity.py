@@ -42,7 +42,7 @@ SAMPLE_ROWS, INDICATORS = 5_000, 120
 LEAST_ROWS, LEAST_SHARE, LEAST_LIFT = 3, 0.007, 20.0
 #: A coded beginning is shared by so many different words at least.
 LEAST_FORMS = 3
-FOLDS, REJECT = 5, 0.8
+FOLDS, REJECT = 5, 0.6
 WORD = re.compile(r"[^\W\d_]+")
 RESULT = T.StructType([T.StructField(c, T.DoubleType()) for c in CATEGORIES])
 
