@@ -68,38 +68,52 @@ def normal_tail(z: Column) -> Column:
     return 1 / (1 + F.exp(-1.5976 * z - 0.07056 * z * z * z))
 
 
+def let(body, **values: Column) -> Column:
+    """body of the values, each computed once however often body names it."""
+    return F.get(F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), body), F.lit(0))
+
+
 def verdict(token: Column) -> Column:
     """(length class, bin of the p-value) of a candidate; bin -1 where it fails a test of randomness."""
     bare = F.regexp_replace(token, "=+$", "")
-    chars = F.filter(F.split(bare, ""), lambda c: c != "")
-    n = F.length(bare).cast("double")
-    k, same = F.lit(float(COINCIDENCE[-1][2])), F.lit(COINCIDENCE[-1][3])
-    for _, pattern, symbols, chance in reversed(COINCIDENCE[:-1]):
-        fits = bare.rlike(pattern)
-        k, same = F.when(fits, float(symbols)).otherwise(k), F.when(fits, chance).otherwise(same)
-    squares = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda acc, c: acc + F.pow(F.size(F.filter(chars, lambda x: x == c)).cast("double"), F.lit(2.0)))
-    uniform = (squares * k / n - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
-
-    codes = F.transform(chars, lambda c: F.ascii(c).cast("double"))
     zero = F.struct(*(F.lit(v).alias(a) for a, v in (("s", 0.0), ("q", 0.0))))
-    sums = F.aggregate(codes, zero, lambda a, x: F.struct((a["s"] + x).alias("s"), (a["q"] + x * x).alias("q")))
-    mean = sums["s"] / n
-    spread = sums["q"] - sums["s"] * mean
-    next_to = F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    lag = F.aggregate(next_to, F.lit(0.0), lambda a, p: a + (p["x"] - mean) * (p["y"] - mean))
-    serial = F.when(spread > 0, (lag / spread * n + 1) / F.sqrt(n)).otherwise(99.0)
-    above = F.size(F.filter(codes, lambda x: x > mean)).cast("double")
-    below = n - above
-    turns = 1.0 + F.size(F.filter(next_to, lambda p: (p["x"] > mean) != (p["y"] > mean)))
-    expect = 2 * above * below / n + 1
-    var = (expect - 1) * (expect - 2) / (n - 1)
-    runs = F.when(var > 0, (turns - expect) / F.sqrt(var)).otherwise(99.0)
-
-    usual = n * (k * same - 1) / F.sqrt(2 * (k - 1))
-    p = F.greatest(normal_tail((uniform - usual) / (1 + 0.15 * usual)), F.lit(10.0 ** (-BINS / 10)))
-    tenths = F.floor(-10 * F.log10(p)).cast("int")
-    ok = (n >= 2) & (F.abs(runs) <= PASS) & (F.abs(serial) <= PASS)
-    return F.struct(F.floor(F.log2(F.greatest(n, F.lit(1.0)))).cast("int").alias("size"), F.when(ok, tenths).otherwise(-1).alias("bin"))
+
+    def symbols(t: Column) -> Column:
+        return let(moments, bare=t["bare"], chars=F.filter(F.split(t["bare"], ""), lambda c: c != ""), n=F.length(t["bare"]).cast("double"))
+
+    def moments(t: Column) -> Column:
+        codes = F.transform(t["chars"], lambda c: F.ascii(c).cast("double"))
+        return let(centred, bare=t["bare"], chars=t["chars"], n=t["n"], codes=codes, sums=F.aggregate(codes, zero, lambda a, x: F.struct((a["s"] + x).alias("s"), (a["q"] + x * x).alias("q"))))
+
+    def centred(t: Column) -> Column:
+        mean = F.when(t["n"] > 0, t["sums"]["s"] / t["n"]).otherwise(0.0)
+        return let(tested, bare=t["bare"], chars=t["chars"], n=t["n"], codes=t["codes"], mean=mean, spread=t["sums"]["q"] - t["sums"]["s"] * mean)
+
+    def tested(t: Column) -> Column:
+        n, chars, codes, mean = t["n"], t["chars"], t["codes"], t["mean"]
+        k, same = F.lit(float(COINCIDENCE[-1][2])), F.lit(COINCIDENCE[-1][3])
+        for _, pattern, size, chance in reversed(COINCIDENCE[:-1]):
+            fits = t["bare"].rlike(pattern)
+            k, same = F.when(fits, float(size)).otherwise(k), F.when(fits, chance).otherwise(same)
+        squares = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda acc, c: acc + F.pow(F.size(F.filter(chars, lambda x: x == c)).cast("double"), F.lit(2.0)))
+        next_to = F.zip_with(F.slice(codes, 1, F.greatest(F.size(codes) - 1, F.lit(0))), F.slice(codes, 2, F.greatest(F.size(codes) - 1, F.lit(0))), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+        pairs = F.aggregate(next_to, zero, lambda a, p: F.struct((a["s"] + (p["x"] - mean) * (p["y"] - mean)).alias("s"), (a["q"] + F.when((p["x"] > mean) != (p["y"] > mean), 1.0).otherwise(0.0)).alias("q")))
+        above = F.size(F.filter(codes, lambda x: x > mean)).cast("double")
+        return let(judged, n=n, k=k, same=same, squares=squares, lag=pairs["s"], turns=pairs["q"] + 1.0, above=above, spread=t["spread"])
+
+    def judged(t: Column) -> Column:
+        n, k = t["n"], t["k"]
+        uniform = (t["squares"] * k / n - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
+        serial = F.when(t["spread"] > 0, (t["lag"] / t["spread"] * n + 1) / F.sqrt(n)).otherwise(99.0)
+        expect = 2 * t["above"] * (n - t["above"]) / n + 1
+        var = (expect - 1) * (expect - 2) / (n - 1)
+        runs = F.when(var > 0, (t["turns"] - expect) / F.sqrt(var)).otherwise(99.0)
+        usual = n * (k * t["same"] - 1) / F.sqrt(2 * (k - 1))
+        p = F.greatest(normal_tail((uniform - usual) / (1 + 0.15 * usual)), F.lit(10.0 ** (-BINS / 10)))
+        bin_ = F.when((F.abs(runs) <= PASS) & (F.abs(serial) <= PASS), F.floor(-10 * F.log10(p)).cast("int")).otherwise(-1)
+        return F.struct(F.floor(F.log2(F.greatest(n, F.lit(1.0)))).cast("int").alias("size"), F.when(n >= 2, bin_).otherwise(-1).alias("bin"))
+
+    return let(symbols, bare=bare)
 
 
 def cutoffs(docs: DataFrame) -> dict[int, int]:
