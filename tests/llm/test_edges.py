@@ -2,6 +2,7 @@
 
 import pytest
 
+from impactory.llm.common import materialize
 from impactory.llm.queries import QUERIES
 
 from .conftest import EDGE
@@ -27,15 +28,18 @@ def test_empty_tables(spark, bare, name):
     assert QUERIES[name](spark, bare).collect() == []
 
 
-def test_pipeline(spark, sf, bare):
+def test_pipeline(spark, sf, bare, edge, tmp_path):
+    """Without labels the filters keep all, and near duplicates leave a row of each of seven texts."""
     import corpus_pipeline
 
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    edge.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{bare}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, counts = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        out = stage(spark, docs, sf)
+        out = stage(spark, docs, str(tmp_path))
         assert k == 4 or out.columns == docs.columns
-        from impactory.llm.common import materialize
-
         docs = materialize(out, "test-stage")
-    assert docs.count() > 0
+        counts.append(docs.count())
+    assert counts[:4] == [len(EDGE), len(EDGE), 7, 7] and counts[4] >= 7
     assert corpus_pipeline.run(spark, bare).count() == 0
+    corpus_pipeline.run(spark, sf).count()  # with few labels, any number of rows
