@@ -298,101 +298,205 @@ def op5_simhash(spark, sf_dir: str) -> DataFrame:
 STAGE_SHINGLE, STAGE_LIKENESS = 5, 0.8
 #: Of the groups into which a hash deals a text's shingles, GROUP_SIZE to twice as many in each, so many get a fingerprint.
 GROUPS, GROUP_SIZE = 32, 4
-#: Groups that name a second row to compare with.
-SECOND = 2
+#: Bounds of the number of bins of a set's histogram, powers of two.
+LEAST_BINS, MOST_BINS = 16, 256
+#: Words whose hashes a Python worker remembers.
+WORDS = 300_000
+#: Rows of a key that its rows left over are compared with at once, after the first time.
+HEADS = 32
+TIMES = np.uint64(0xD6E8FEB86659FD93)
 
 
-def shingle_set(text: str | None, shingle: int = STAGE_SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles; the whole sequence of fewer words is one."""
-    import xxhash
+def mixed(x: np.ndarray) -> np.ndarray:
+    """The hashes mixed anew, one to one."""
+    x = (x ^ (x >> np.uint64(32))) * TIMES
+    return x ^ (x >> np.uint64(32))
+
+
+class WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) > WORDS:
+            self.clear()
+        self[word] = out = xxhash.xxh64_intdigest(word, SEED)
+        return out
+
 
+def stage_shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
+    """A hash for each shingle, with repeats, from its words' hashes; the whole sequence of fewer words is one."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if len(words) < shingle:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
-    n = len(words) - shingle + 1
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(s), SEED) for s in zip(*(words[k:] for k in range(shingle)), strict=False)), np.uint64, n))
+    own = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    size = min(len(words), STAGE_SHINGLE)
+    n = len(words) - size + 1 if words else 1
+    out = np.full(n, size + 1, np.uint64)
+    for k in range(size):
+        out = mixed(out * TIMES + own[k : k + n])
+    return out
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A SimHash: the bits that over half the hashes have."""
+    counts = np.zeros(64, np.int64)
+    for lo in range(0, len(hashes), 65536):
+        counts += np.unpackbits(hashes[lo : lo + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def partial_fingerprints(hashes: np.ndarray) -> list[tuple[int, int, int]]:
-    """(level, group, fingerprint): SimHashes of the first groups of a set's shingles.
+def partial_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of (level, group, SimHash) of GROUPS groups of a set's hashes.
 
-    A level has 2 ** level groups. A set takes the level of its own size and that of the largest set
-    that can be similar to it, so that two similar sets have a level in common.
+    A level has 2 ** level groups; if that is under GROUPS, a set is dealt out so many times anew, each
+    time by other bits. A set takes the level of its own size and that of the largest set that can be
+    similar to it, so that two similar sets have a level in common.
     """
     out, n = [], len(hashes)
-    for level in sorted({max(0, int(np.log2(max(1.0, x / GROUP_SIZE)))) for x in (n, n / STAGE_LIKENESS)}):
-        group = (hashes >> np.uint64(64 - level)).astype(np.int64) if level else np.zeros(n, np.int64)
-        mine = hashes[group < GROUPS]
-        at, sizes = np.unique(group[group < GROUPS], return_counts=True)
-        bits = np.unpackbits(mixed(mine).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
+    for level in sorted({max(1, int(np.log2(max(1.0, x / GROUP_SIZE)))) for x in (n, n / STAGE_LIKENESS)}):
+        deals = np.arange(max(1, GROUPS >> level), dtype=np.uint64)[:, None]
+        dealt = mixed(hashes[None, :] ^ mixed(deals + np.uint64(1)))
+        group = (dealt >> np.uint64(64 - level)).astype(np.int64)
+        mine = group < GROUPS
+        group = (group + (deals.astype(np.int64) << level))[mine]
+        order = np.argsort(group, kind="stable")
+        at, first, sizes = np.unique(group[order], return_index=True, return_counts=True)
         if len(at):
-            ones = np.add.reduceat(bits, np.cumsum(sizes) - sizes)  # hashes are sorted, and so are groups
+            bits = np.unpackbits(mixed(dealt[mine][order]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
+            ones = np.add.reduceat(bits, first)
             prints = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
-            out += [(level, g, p) for g, p in zip(at.tolist(), prints.tolist(), strict=True)]
-    return out
+            out.append(mixed(prints * TIMES + (at + GROUPS * (level + 1)).astype(np.uint64)))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """The hashes mixed anew: within a group their first bits are all alike."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+def histogram(hashes: np.ndarray) -> np.ndarray:
+    """How many of a sorted set's hashes begin with each run of bits; about two in a bin."""
+    level = int(np.clip(len(hashes) // 2, LEAST_BINS, MOST_BINS)).bit_length() - 1
+    return np.bincount((hashes >> np.uint64(64 - level)).astype(np.int64), minlength=1 << level).astype(np.uint32)
+
+
+def may_agree(x: np.ndarray, y: np.ndarray) -> bool:
+    """False only if two sets with these histograms can't be similar: bins that differ bound the sets' difference from below."""
+    if len(x) < len(y):
+        x, y = y, x
+    x, y = x.reshape(len(y), -1).sum(axis=1, dtype=np.int64), y.astype(np.int64)
+    total, apart = int(x.sum() + y.sum()), int(np.abs(x - y).sum())
+    return total - apart >= STAGE_LIKENESS * (total + apart) - 1e-9
+
+
+def agree(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= STAGE_LIKENESS * (len(x) + len(y) - both) - 1e-9
+
+
+def kept_edges(edges: DataFrame, values: DataFrame, kind: type, test) -> DataFrame:
+    """Those edges (u, v) whose values (row, value), arrays of a kind, pass a test."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pairs = zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)
+            keep = [test(np.frombuffer(x, kind), np.frombuffer(y, kind)) for x, y in pairs]
+            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    left, right = (values.select(F.col("row").alias(c), F.col("value").alias(x)) for c, x in (("u", "x"), ("v", "y")))
+    return edges.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(run, "u long, v long")
+
+
+def ends(edges: DataFrame) -> DataFrame:
+    """(row): the rows in written edges (u, v), written, so that Spark knows the size of them."""
+    return materialize(edges.select(F.col("u").alias("row")).union(edges.select("v")).distinct(), "ends")
+
+
+def stage_prints(texts: DataFrame) -> DataFrame:
+    """(row, key, bins) for (row, text): the whole fingerprint with a histogram, and keys of partial ones without."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for b in batches:
+            rows, keys, bins = [], [], []
+            for row, one in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                hashes = stage_shingles(one, words)
+                own = np.unique(hashes)
+                part = partial_keys(own)
+                keys += [np.array([majority(hashes)], np.uint64), part]
+                rows.append(np.full(len(part) + 1, row, np.int64))
+                bins += [histogram(own).tobytes(), *[None] * len(part)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), pa.array(np.concatenate(keys).view(np.int64)), pa.array(bins, pa.binary())], ["row", "key", "bins"])
+
+    return texts.select("row", "text").mapInArrow(run, "row long, key long, bins binary")
+
+
+def stage_sets(texts: DataFrame) -> DataFrame:
+    """(row, value) for (row, text): the sorted distinct hashes of the shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for b in batches:
+            sets = [np.unique(stage_shingles(t, words)).tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["row", "value"])
+
+    return texts.select("row", "text").mapInArrow(run, "row long, value binary")
+
+
+def first_heads(part: DataFrame) -> DataFrame:
+    """(key, row, head): rows of the keys that several rows have, each with the first and the last row of the key."""
+    heads = part.groupBy("key").agg(F.min("row").alias("one"), F.max("row").alias("two")).where("one < two")
+    return part.join(heads, "key").select("key", "row", F.explode(F.array("one", "two")).alias("head"))
+
+
+def next_heads(multi: DataFrame, root: DataFrame) -> DataFrame:
+    """Of rows with heads, those that are in no component of their key's heads, with HEADS new ones from among themselves."""
+    out = multi
+    for c in ("row", "head"):
+        out = out.join(root.select(F.col("u").alias(c), F.col("root").alias(f"{c}_root")), c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
+    left = out.groupBy("key", "row").agg(F.max(F.col("row_root") == F.col("head_root")).alias("done")).where("not done").select("key", "row")
+    heads = left.groupBy("key", F.pmod(F.xxhash64("row"), F.lit(HEADS)).alias("spot")).agg(F.min("row").alias("head")).select("key", "head")
+    return left.join(heads, "key")
 
 
 def similar(docs: DataFrame) -> DataFrame:
     """(row, root) for rows (row, text): every row but the first of each group, with its group's first row.
 
     Equal texts are one from the start. The others are compared with the first row of their component of
-    whole fingerprints and, for each partial fingerprint, with the first row that has it and (for SECOND
-    of the groups) one more; so a group of any size costs a few comparisons per row. Pairs whose sets
-    of shingles have a Jaccard similarity of STAGE_LIKENESS or more are links.
+    whole fingerprints and, for each partial fingerprint, with the first and the last row that have it.
+    Rows that prove to be in neither one's component are compared again, with HEADS of those
+    that are left, until none are left; so a group of any size costs a few comparisons per row, and
+    unlike texts that share a partial fingerprint hide no others. A pair is dropped if the histograms of
+    its sets show that they can't be similar, and else the sets of shingles are compared: a Jaccard
+    similarity of STAGE_LIKENESS or more is a link.
     """
     text = F.coalesce("text", F.lit(""))
     sums = materialize(docs.select("row", F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")), "texts")
-    same = sums.groupBy("a", "b").agg(F.min("row").alias("root"))
+    same = materialize(sums.groupBy("a", "b").agg(F.min("row").alias("root")), "firsts")
     copies = sums.join(same, ["a", "b"]).where("row <> root").select("row", "root")
     small_batches(docs.sparkSession)
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows, levels, groups, fps = [], [], [], []
-            for row, one in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows.append(row), levels.append(-1), groups.append(0), fps.append(fingerprint(one, STAGE_SHINGLE))
-                for level, group, fp in partial_fingerprints(shingle_set(one)):
-                    rows.append(row), levels.append(level), groups.append(group), fps.append(fp)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(levels, pa.int32()), pa.array(groups, pa.int32()), pa.array(np.array(fps, np.uint64).view(np.int64))], ["row", "level", "part", "fp"])
-
-    found = materialize(docs.select("row", "text").mapInArrow(prints, "row long, level int, part int, fp long"), "partial")
-    found = found.join(same.select(F.col("root").alias("row")), "row", "left_semi")
-    whole = found.where("level = -1").select(F.col("row").alias("doc_id"), "fp")
-    near = whole.join(fingerprint_components(whole), "fp").select(F.col("doc_id").alias("row"), F.col("component_id").alias("other"))
-    key = ["level", "part", "fp"]
-    part = found.where("level >= 0")
-    second = F.min(F.struct(F.xxhash64("row", "part").alias("h"), F.col("row").alias("row")))["row"]
-    heads = part.groupBy(*key).agg(F.count("*").alias("n"), F.min("row").alias("one"), second.alias("two")).where("n > 1")
-    others = F.array(F.col("one"), F.when(F.col("part") < SECOND, F.col("two")).otherwise(F.col("one")))
-    more = part.join(heads, key).select("row", F.explode(F.array_distinct(others)).alias("other"))
-    edges = near.union(more).where("row <> other").select(F.greatest("row", "other").alias("u"), F.least("row", "other").alias("v")).distinct()
-    edges = materialize(edges, "candidates")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["row", "set"])
-
-    needed = edges.select(F.col("u").alias("row")).union(edges.select("v")).distinct()
-    held = materialize(docs.select("row", "text").join(needed, "row", "left_semi").mapInArrow(sets, "row long, set binary"), "sets")
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= STAGE_LIKENESS * (len(x) + len(y) - both))
-            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    pairs = edges.join(held.select(F.col("row").alias("u"), F.col("set").alias("x")), "u").join(held.select(F.col("row").alias("v"), F.col("set").alias("y")), "v")
-    links_ = pairs.select("u", "v", "x", "y").mapInArrow(agree, "u long, v long")
-    return copies.union(components(links_).select("u", "root"))
+    every = materialize(stage_prints(docs), "prints")
+    found = every.join(same.select(F.col("root").alias("row")), "row", "left_semi")
+    whole = materialize(found.where("bins is not null"), "whole")
+    near = whole.select(F.col("row").alias("doc_id"), F.col("key").alias("fp"))
+    near = near.join(fingerprint_components(near), "fp").select(F.col("doc_id").alias("row"), F.col("component_id").alias("other"))
+    multi = materialize(first_heads(found.where("bins is null").select("key", "row")), "heads")
+    discard(every)
+    bins = whole.select("row", F.col("bins").alias("value"))
+    links_ = root = None
+    while True:
+        tries = multi.select("row", F.col("head").alias("other"))
+        if links_ is None:
+            tries = tries.union(near)
+        edges = tries.where("row <> other").select(F.greatest("row", "other").alias("u"), F.least("row", "other").alias("v")).distinct()
+        tried = materialize(edges, "tries")  # so that Spark knows the size of it
+        edges = materialize(kept_edges(tried, bins.join(ends(tried), "row", "left_semi"), np.uint32, may_agree), "candidates")
+        discard(tried)
+        held = materialize(stage_sets(docs.select("row", "text").join(ends(edges), "row", "left_semi")), "sets")
+        new = kept_edges(edges, held, np.uint64, agree)
+        links_ = materialize(new if links_ is None else links_.union(new), "links")
+        root = components(links_)
+        discard(held)
+        discard(edges)
+        multi, was = materialize(next_heads(multi, root), "heads"), multi
+        discard(was)
+        if multi.isEmpty():
+            break
+    return copies.union(root)
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
