@@ -187,6 +187,29 @@ def test_near_duplicate_stage(spark):
     assert kept == set(range(30))
 
 
+def test_near_duplicates_of_short_texts_and_common_passages(spark):
+    """Against all pairs: a word appended or changed, and unlike texts around one passage."""
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(2000)]
+    base = [list(rng.choice(words, n)) for n in rng.integers(8, 60, 80)]
+    passage = list(rng.choice(words, 40))
+    base += [[*rng.choice(words, 12), *passage] for _ in range(60)]
+    rows = [*base, *([*w, "more"] for w in base[:110]), *(["other", *w[1:]] for w in base[:110])]
+
+    def likeness(x, y):
+        return len(x & y) / len(x | y)
+
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in rows]
+    first = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if first[i] != first[j] and likeness(sets[i], sets[j]) >= 0.8:
+                a, b = sorted((first[i], first[j]))
+                first = [a if x == b else x for x in first]
+    df = spark.createDataFrame([(i, " ".join(map(str, w))) for i, w in enumerate(rows)], "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"] for r in simhash.keep_one(spark, df, "").collect()} == set(first)
+
+
 ASSIGN = re.compile(r"""(?ia)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
