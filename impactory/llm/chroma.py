@@ -10,13 +10,14 @@ Over the frames, an integral image gives the sums under FILTERS, rectangles in t
 three parts of opposite sign, at every frame. Each compares its parts by the logarithm of their ratio,
 is cut into four levels, and adds two bits (a Gray code) to the frame's 32-bit integer.
 
-Search: queries are the rows whose id is divisible by QUERY. Landmarks, local minima of a hash of two
-neighbouring integers, stand for a recording; each landmark belongs to the smallest query that has it
-(at its first place there), and a recording votes with each of its landmarks for that query and the
-difference of the places. The highest column of this histogram is its alignment (ties: smallest query,
-then smallest offset), judged by the share of bits that differ over the overlap. Queries with equal or
-common passages are thereby linked through the smallest, never pair by pair; recordings with equal
-integers are one class, named by the smallest id.
+Search: queries are the rows whose id is divisible by QUERY. Recordings with equal integers are one class,
+named by the smallest id, and so are queries. Landmarks, local minima of a hash of two neighbouring
+integers, stand for a class; every class is compared with every class of queries that shares a landmark
+with it. All places of the shared landmarks vote, each pair of places for its difference; the highest
+column of this histogram is the alignment of the two (ties: smallest offset), judged by the share of bits
+that differ over the overlap. A document reports its alignments with all classes of queries, most votes
+first (ties: smallest query), each under the class's smallest query but the row itself; the first one is
+given in columns of its own, and all of them as JSON. The other queries of a class are the queries of the same class_id.
 
 Rows: null and empty texts have no frames, no class partner but each other, and no alignment; null ids
 are never queries; repeated rows are copies; a recording of fewer frames than a filter needs is padded with silence; an
@@ -25,12 +26,13 @@ empty table gives no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import load, materialize, small_batches
@@ -38,6 +40,8 @@ from .common import load, materialize, small_batches
 QUERY, BEAT, SPAN = 100, 4, 12
 #: Landmarks are the least of so many neighbours on either side.
 NEIGHBOURS = 4
+#: Pairs of places of a key that are listed one by one; beyond that they are counted by Fourier transforms.
+PLAIN = 1 << 16
 EDGES = (-0.25, 0.0, 0.25)
 #: By rule: four kinds of partition, over four widths in frames, each at a place in pitch of its own.
 FILTERS = tuple((kind, width, (5 * kind + 3 * i) % 9, 4 if kind else 6) for i, width in enumerate((2, 4, 8, SPAN)) for kind in range(4))
@@ -115,15 +119,40 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def landmarks(ints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and places: the first place of each landmark."""
+    """Keys, in order, and places of all landmarks."""
     if len(ints) < 2:
         return (mixed(ints.astype(np.uint64)), np.zeros(len(ints), np.int64))
     keys = mixed((ints[:-1].astype(np.uint64) << np.uint64(32)) | ints[1:].astype(np.uint64))
     padded = np.pad(keys, NEIGHBOURS, constant_values=np.uint64(2**64 - 1))
     least = np.lib.stride_tricks.sliding_window_view(padded, 2 * NEIGHBOURS + 1).min(axis=1)
     at = np.flatnonzero(keys == least)
-    found, first = np.unique(keys[at], return_index=True)
-    return found, at[first]
+    at = at[np.argsort(keys[at], kind="stable")]
+    return keys[at], at
+
+
+def columns(mine: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets (places in the other less places here) and votes of all pairs of places with equal keys."""
+    (keys, places), (other_keys, other_places) = mine, other
+    lo, hi = (np.searchsorted(other_keys, keys, side) for side in ("left", "right"))
+    n = hi - lo
+    common, first, size = np.unique(keys[n > 0], return_index=True, return_counts=True)
+    first = np.flatnonzero(n > 0)[first]
+    many = size * n[first] > PLAIN
+    n[np.isin(keys, common[many])] = 0
+    i = np.repeat(np.arange(len(keys)), n)
+    j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+    offsets, votes = np.unique(other_places[j] - places[i], return_counts=True)
+    if many.any():
+        x, y = int(places.max()) + 1, int(other_places.max()) + 1
+        width, sums = 1 << (x + y).bit_length(), np.zeros(x + y)
+        for f, m in zip(first[many], size[many], strict=True):  # all pairs of a frequent key's places at once
+            back = np.bincount(x - 1 - places[f : f + m], minlength=x)
+            ahead = np.bincount(other_places[lo[f] : hi[f]], minlength=y)
+            sums += np.rint(np.fft.irfft(np.fft.rfft(back, width) * np.fft.rfft(ahead, width), width))[: x + y]
+        np.add.at(sums, offsets + x - 1, votes)
+        at = np.flatnonzero(sums)
+        offsets, votes = at - (x - 1), sums[at].astype(np.int64)
+    return offsets, votes
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -142,52 +171,75 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def marks(prints: DataFrame) -> DataFrame:
-    """(row, doc_id, key, place) of all landmarks."""
+    """(row, key) of all landmarks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [landmarks(np.frombuffer(x, "<u4")) for x in b.column(2).to_pylist()]
-            n = np.array([len(k) for k, _ in found], np.int64)
-            which = pa.array(np.repeat(np.arange(b.num_rows), n))
-            keys, places = (np.concatenate(x) if len(x) else np.zeros(0) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(which), b.column(1).take(which), pa.array(keys.astype(np.uint64).view(np.int64)), pa.array(places.astype(np.int64))], ["row", "doc_id", "key", "place"])
+            found = [np.unique(landmarks(np.frombuffer(x, "<u4"))[0]) for x in b.column(1).to_pylist()]
+            which = pa.array(np.repeat(np.arange(b.num_rows), np.array([len(k) for k in found], np.int64)))
+            keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(which), pa.array(keys.astype(np.uint64).view(np.int64))], ["row", "key"])
 
-    return prints.select("row", "doc_id", "ints").mapInArrow(run, "row long, doc_id long, key long, place long")
+    return prints.select("row", "ints").mapInArrow(run, "row long, key long")
 
 
-def errors(pairs: DataFrame) -> DataFrame:
-    """Bit error rate over the overlap, for rows (row, ints, query_ints, offset): places in the query less places here."""
+def alignment(mine: bytes, other: bytes, marks_of=lambda b: landmarks(np.frombuffer(b, "<u4"))) -> tuple[int, int, float] | None:
+    """Offset, votes and bit error rate over the overlap of two recordings' packed integers; none without votes."""
+    offsets, votes = columns(marks_of(mine), marks_of(other))
+    if not len(votes):
+        return None
+    best = int(np.argmax(votes))
+    offset = int(offsets[best])
+    x, y = np.frombuffer(mine, "<u4")[max(0, -offset) :], np.frombuffer(other, "<u4")[max(0, offset) :]
+    n = min(len(x), len(y))
+    return offset, int(votes[best]), float(np.bitwise_count(x[:n] ^ y[:n]).sum()) / (32 * n) if n else 1.0
+
+
+def alignments(pairs: DataFrame) -> DataFrame:
+    """(row, query_row, offset, votes, bit_error_rate) of pairs (row, query_row, ints, query_ints)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks_of = functools.lru_cache(256)(lambda b: landmarks(np.frombuffer(b, "<u4")))
         for b in batches:
-            rates = []
-            for mine, other, offset in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
-                x, y = np.frombuffer(mine, "<u4"), np.frombuffer(other, "<u4")
-                x, y = x[max(0, -offset) :], y[max(0, offset) :]
-                n = min(len(x), len(y))
-                rates.append(float(np.bitwise_count(x[:n] ^ y[:n]).sum()) / (32 * n) if n else 1.0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rates, pa.float64())], ["row", "bit_error_rate"])
+            found = [alignment(x, y, marks_of) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            kept = pa.array([f is not None for f in found], pa.bool_())
+            results = zip(*(f for f in found if f), strict=True) if any(found) else ((), (), ())
+            values = [pa.array(x, t) for x, t in zip(results, (pa.int64(), pa.int64(), pa.float64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(kept), b.column(1).filter(kept), *values], ["row", "query_row", "offset", "votes", "bit_error_rate"])
 
-    return pairs.select("row", "ints", "query_ints", "offset").mapInArrow(run, "row long, bit_error_rate double")
+    return pairs.select("row", "query_row", "ints", "query_ints").mapInArrow(run, "row long, query_row long, offset long, votes long, bit_error_rate double")
 
 
 def align(docs: DataFrame, query: int = QUERY) -> DataFrame:
-    """Every document's frames, class and alignment with the queries."""
-    prints = materialize(fingerprints(docs), "chroma")
-    is_query = F.col("doc_id").isNotNull() & (F.col("doc_id") % query == 0)
-    mine = marks(prints)
-    owner = marks(prints.where(is_query)).groupBy("key").agg(F.min(F.struct("doc_id", "row", "place")).alias("q"))
-    votes = mine.join(owner, "key").where(F.col("row") != F.col("q.row")).groupBy("row", F.col("q.doc_id").alias("query_id"), F.col("q.row").alias("query_row"), (F.col("q.place") - F.col("place")).alias("offset")).agg(F.count("*").alias("votes"))
-    best = votes.groupBy("row").agg(F.min(F.struct((-F.col("votes")).alias("less"), "query_id", "query_row", "offset")).alias("b"))
-    best = materialize(best.select("row", F.col("b.query_id").alias("query_id"), F.col("b.query_row").alias("query_row"), F.col("b.offset").alias("offset"), (-F.col("b.less")).alias("votes")), "alignments")
-    other = prints.where(is_query).select(F.col("row").alias("query_row"), F.col("ints").alias("query_ints"))
-    rates = errors(best.join(prints.select("row", "ints"), "row").join(other, "query_row"))
+    """Every document's frames, class and alignments with the queries."""
+    prints, same = materialize(fingerprints(docs), "chroma"), ["digest", "ints_crc32"]
     short = prints.select("row", "doc_id", "n_frames", F.xxhash64("ints").alias("digest"), F.crc32("ints").alias("ints_crc32"))
-    named = short.groupBy("digest", "ints_crc32").agg(F.min("doc_id").alias("class_id"))
-    out = short.join(named, ["digest", "ints_crc32"], "left").join(best.join(rates, "row"), "row", "left")
-    return out.select("doc_id", "n_frames", "ints_crc32", "class_id", "query_id", "offset", "votes", "bit_error_rate")
+    classes = short.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.min("row").alias("class_row"))
+    # The smallest query of each class, and the smallest but that one for its own row.
+    asked = short.where(F.col("doc_id").isNotNull() & (F.col("doc_id") % query == 0) & (F.col("n_frames") > 0)).select(F.struct("doc_id", "row").alias("q"), *same)
+    one = asked.groupBy(*same).agg(F.min("q").alias("one"))
+    two = asked.join(one, same).where("q <> one").groupBy(*same).agg(F.min("q").alias("two"))
+    queries = materialize(one.join(two, same, "left").select(F.col("one.row").alias("query_row"), "one", "two"), "queries")
+    asking = prints.join(queries.select(F.col("query_row").alias("row")), "row", "left_semi")
+    pairs = marks(prints).join(marks(asking).withColumnRenamed("row", "query_row"), "key").select("row", "query_row").distinct()
+    pairs = materialize(pairs.join(classes.select(F.col("class_row").alias("row")), "row", "left_semi"), "pairs")
+    both = pairs.join(prints.select("row", "ints"), "row").join(asking.select(F.col("row").alias("query_row"), F.col("ints").alias("query_ints")), "query_row")
+    listed = alignments(both).join(queries, "query_row").groupBy("row").agg(F.collect_list(F.struct("one", "two", "offset", "votes", "bit_error_rate")).alias("listed"))
+    named = classes.join(materialize(listed.withColumnRenamed("row", "class_row"), "alignments"), "class_row", "left").drop("class_row")
+
+    def mine(x: Column) -> Column:
+        who = F.when(x["one"]["row"] == F.col("row"), x["two"]["doc_id"]).otherwise(x["one"]["doc_id"])
+        return F.struct((-x["votes"]).alias("less"), who.alias("query_id"), x["offset"].alias("offset"), x["bit_error_rate"].alias("bit_error_rate"))
+
+    def told(x: Column) -> Column:
+        return F.struct(x["query_id"].alias("query_id"), x["offset"].alias("offset"), (-x["less"]).alias("votes"), x["bit_error_rate"].alias("bit_error_rate"))
+
+    ranked = F.array_sort(F.filter(F.transform("listed", mine), lambda x: x["query_id"].isNotNull()))
+    out = short.join(named, same, "left").withColumn("alignments", F.coalesce(F.transform(ranked, told), F.array().cast("array<struct<query_id:bigint,offset:bigint,votes:bigint,bit_error_rate:double>>")))
+    best = F.get("alignments", F.lit(0))
+    return out.select("doc_id", "n_frames", "ints_crc32", "class_id", *(best[c].alias(c) for c in ("query_id", "offset", "votes", "bit_error_rate")), F.to_json("alignments").alias("alignments"))
 
 
 def op1_chroma(spark, sf_dir: str) -> DataFrame:
-    """Every document's chroma fingerprint and its alignment with the queries."""
+    """Every document's chroma fingerprint and its alignments with the queries."""
     return align(load(spark, sf_dir, "documents"))

@@ -1,6 +1,7 @@
 """Operators against brute force, the libraries themselves, and held-out labels."""
 
 import hashlib
+import json
 import math
 import re
 import zlib
@@ -320,6 +321,47 @@ def test_chroma_aligns_a_shifted_passage(spark):
     assert rows[2]["query_id"] is None
 
 
+def _chroma_pairs(texts, query=100):
+    """Alignments of every row with the other rows that are queries, all pairs compared: {id: {query: (offset, votes)}}."""
+    packed = {k: chroma.integers(chroma.frames_of_text(t)).astype("<u4").tobytes() for k, t in texts.items()}
+    out = {}
+    for k, x in packed.items():
+        found = {q: a for q, y in packed.items() if q % query == 0 and q != k and (a := chroma.alignment(x, y))}
+        out[k] = {q: a[:2] for q, a in found.items()}
+    return packed, out
+
+
+def test_chroma_keeps_every_query_of_a_passage(spark):
+    rng = np.random.default_rng(7)
+    make = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(n))
+    passage, other, whole = make(300), make(300), make(400)
+    texts = {100: f"{make(60)} {passage}", 200: f"{passage} {make(90)}", 300: f"{make(20)} {passage} {make(50)}", 400: other, 500: whole, 600: whole}
+    texts |= {1: passage, 2: f"{passage} {make(70)} {other}", 3: f"{make(30)} {passage} {make(40)} {passage}", 4: whole, 5: make(300), 6: "word " * 5000, 700: "word " * 4000}
+    rows = {r["doc_id"]: r for r in chroma.align(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    packed, expected = _chroma_pairs(texts)
+    for k, want in expected.items():
+        least = {}  # queries with equal integers go by the smallest
+        for q in sorted(want):
+            least.setdefault(packed[q], q)
+        assert {a["query_id"]: (a["offset"], a["votes"]) for a in json.loads(rows[k]["alignments"])} == {q: want[q] for q in least.values()}
+    assert {100, 200, 300} <= set(expected[1]) and {100, 200, 300, 400} <= set(expected[2]) and set(expected[100]) == {200, 300}
+    assert rows[500]["query_id"] == 600 and rows[600]["query_id"] == 500 and rows[4]["query_id"] == 500
+    assert len(chroma.columns(*(chroma.landmarks(np.frombuffer(packed[k], "<u4")) for k in (3, 1)))[0]) >= 2
+
+
+def test_chroma_votes_against_all_pairs_of_places(monkeypatch):
+    rng = np.random.default_rng(8)
+    x, y = ((np.sort(rng.integers(0, 4, n).astype(np.uint64)), rng.integers(0, 200, n)) for n in (90, 70))
+    for plain in (0, 300, 1 << 20):
+        monkeypatch.setattr(chroma, "PLAIN", plain)
+        votes: dict[int, int] = {}
+        for k, p in zip(*x, strict=True):
+            for m, q in zip(*y, strict=True):
+                if k == m:
+                    votes[int(q - p)] = votes.get(int(q - p), 0) + 1
+        assert dict(zip(*(a.tolist() for a in chroma.columns(x, y)), strict=True)) == votes
+
+
 def test_chroma_of_tones():
     rate = 11025
     t = np.arange(rate * 3) / rate
