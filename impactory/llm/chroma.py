@@ -11,11 +11,14 @@ three parts of opposite sign, at every frame. Each compares its parts by the log
 is cut into four levels, and adds two bits (a Gray code) to the frame's 32-bit integer.
 
 Search: queries are the rows whose id is divisible by QUERY. Recordings with equal integers are one class,
-named by the smallest id, and so are queries. Landmarks, local minima of a hash of two neighbouring
-integers, stand for a class; every class is compared with every class of queries that shares a landmark
-with it. All places of the shared landmarks vote, each pair of places for its difference; the highest
-column of this histogram is the alignment of the two (ties: smallest offset), judged by the share of bits
-that differ over the overlap. A document reports its alignments with all classes of queries, most votes
+named by the smallest id, and so are queries. Marks stand for a class: at every frame, the bits of the
+filters of up to SHORT frames of RUN neighbours in a row, so that a mark spans six frames, survives bits
+that differ elsewhere, and each unedited run of that length yields one. A class is compared with every
+class of queries that shares LEAST marks with it (one, if either has no more). All places of the shared
+marks vote, each pair of places for its difference. The alignment of the two is the highest column of this
+histogram that has LEAST votes within DRIFT frames, as an edited copy gains or loses beats (ties: most votes
+there, then smallest offset), judged by the share of bits that differ over the overlap.
+A document reports its alignments with all classes of queries, most votes
 first (ties: smallest query), each under the class's smallest query but the row itself; the first one is
 given in columns of its own, and all of them as JSON. The other queries of a class are the queries of the same class_id.
 
@@ -38,8 +41,10 @@ from pyspark.sql import functions as F
 from .common import load, materialize, small_batches
 
 QUERY, BEAT, SPAN = 100, 4, 12
-#: Landmarks are the least of so many neighbours on either side.
-NEIGHBOURS = 4
+#: Frames of the longest filter in a mark, neighbours in a mark.
+SHORT, RUN = 4, 3
+#: Marks in common and votes that an alignment needs, within so many frames.
+LEAST, DRIFT = 2, 4
 #: Pairs of places of a key that are listed one by one; beyond that they are counted by Fourier transforms.
 PLAIN = 1 << 16
 EDGES = (-0.25, 0.0, 0.25)
@@ -111,6 +116,15 @@ def integers(frames: np.ndarray) -> np.ndarray:
     return out
 
 
+def packed(frames: np.ndarray) -> tuple[bytes, bytes]:
+    """Little-endian integers, and those of the places after them at which a mark's filters still fit."""
+    if not len(frames):
+        return b"", b""
+    more = integers(np.concatenate([frames, np.zeros((SPAN - SHORT, 12))])).astype("<u4").tobytes()
+    n = 4 * max(1, len(frames) - SPAN + 1)
+    return more[:n], more[n:]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit mixing of whole numbers."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -119,14 +133,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def landmarks(ints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, in order, and places of all landmarks."""
-    if len(ints) < 2:
-        return (mixed(ints.astype(np.uint64)), np.zeros(len(ints), np.int64))
-    keys = mixed((ints[:-1].astype(np.uint64) << np.uint64(32)) | ints[1:].astype(np.uint64))
-    padded = np.pad(keys, NEIGHBOURS, constant_values=np.uint64(2**64 - 1))
-    least = np.lib.stride_tricks.sliding_window_view(padded, 2 * NEIGHBOURS + 1).min(axis=1)
-    at = np.flatnonzero(keys == least)
-    at = at[np.argsort(keys[at], kind="stable")]
+    """Keys, in order, and places of all marks; few integers are one mark."""
+    if not len(ints):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    bits = 2 * sum(width <= SHORT for _, width, _, _ in FILTERS)
+    own = ints.astype(np.uint64) if len(ints) < RUN else ints.astype(np.uint64) >> np.uint64(32 - bits)  # FILTERS' first bits are the highest
+    n = max(1, len(ints) - RUN + 1)
+    keys = np.full(n, min(len(ints), RUN), np.uint64)
+    for k in range(min(len(ints), RUN)):
+        keys = mixed(keys * np.uint64(0xD6E8FEB86659FD93) + own[k : k + n])
+    at = np.argsort(keys, kind="stable")
     return keys[at], at
 
 
@@ -156,41 +172,46 @@ def columns(mine: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.nda
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, n_frames, ints): packed little-endian integers of each text; row is its place in the table."""
+    """(row, doc_id, n_frames, ints, rest): packed integers of each text; row is its place in the table."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 33
         for b in batches:
             frames = [frames_of_text(t or "") for t in b.column(1).to_pylist()]
-            packed = [integers(f).astype("<u4").tobytes() for f in frames]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + b.num_rows)), b.column(0), pa.array([len(f) for f in frames], pa.int64()), pa.array(packed, pa.binary())], ["row", "doc_id", "n_frames", "ints"])
+            ints, rest = zip(*map(packed, frames), strict=True) if frames else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + b.num_rows)), b.column(0), pa.array([len(f) for f in frames], pa.int64()), pa.array(ints, pa.binary()), pa.array(rest, pa.binary())], ["row", "doc_id", "n_frames", "ints", "rest"])
             at += b.num_rows
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "row long, doc_id long, n_frames long, ints binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "row long, doc_id long, n_frames long, ints binary, rest binary")
 
 
 def marks(prints: DataFrame) -> DataFrame:
-    """(row, key) of all landmarks."""
+    """(row, key, times, few) of all marks, with their places; few: the row has fewer than LEAST."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.unique(landmarks(np.frombuffer(x, "<u4"))[0]) for x in b.column(1).to_pylist()]
-            which = pa.array(np.repeat(np.arange(b.num_rows), np.array([len(k) for k in found], np.int64)))
-            keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(which), pa.array(keys.astype(np.uint64).view(np.int64))], ["row", "key"])
+            found = [np.unique(landmarks(np.frombuffer(x, "<u4"))[0], return_counts=True) for x in b.column(1).to_pylist()]
+            n, few = np.array([len(k) for k, _ in found], np.int64), np.array([t.sum() < LEAST for _, t in found], bool)
+            keys, times = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), n))), pa.array(keys.astype(np.uint64).view(np.int64)), pa.array(times.astype(np.int64)), pa.array(np.repeat(few, n))], ["row", "key", "times", "few"])
 
-    return prints.select("row", "ints").mapInArrow(run, "row long, key long")
+    return prints.select("row", F.concat("ints", "rest").alias("ints")).mapInArrow(run, "row long, key long, times long, few boolean")
 
 
 def alignment(mine: bytes, other: bytes, marks_of=lambda b: landmarks(np.frombuffer(b, "<u4"))) -> tuple[int, int, float] | None:
-    """Offset, votes and bit error rate over the overlap of two recordings' packed integers; none without votes."""
-    offsets, votes = columns(marks_of(mine), marks_of(other))
-    if not len(votes):
+    """Offset, votes and bit error rate over the overlap of two recordings, of both parts of their packed() integers."""
+    left, right = marks_of(mine), marks_of(other)
+    offsets, votes = columns(left, right)
+    sums = np.concatenate([[0], np.cumsum(votes)])
+    close = sums[np.searchsorted(offsets, offsets + DRIFT, "right")] - sums[np.searchsorted(offsets, offsets - DRIFT, "left")]
+    good = np.flatnonzero(close >= min(LEAST, len(left[0]), len(right[0])))
+    if not len(good):
         return None
-    best = int(np.argmax(votes))
+    best = good[np.lexsort((offsets[good], -close[good], -votes[good]))[0]]
     offset = int(offsets[best])
-    x, y = np.frombuffer(mine, "<u4")[max(0, -offset) :], np.frombuffer(other, "<u4")[max(0, offset) :]
+    x, y = (np.frombuffer(b, "<u4")[: max(1, len(b) // 4 - SPAN + SHORT)] for b in (mine, other))
+    x, y = x[max(0, -offset) :], y[max(0, offset) :]
     n = min(len(x), len(y))
     return offset, int(votes[best]), float(np.bitwise_count(x[:n] ^ y[:n]).sum()) / (32 * n) if n else 1.0
 
@@ -221,9 +242,10 @@ def align(docs: DataFrame, query: int = QUERY) -> DataFrame:
     two = asked.join(one, same).where("q <> one").groupBy(*same).agg(F.min("q").alias("two"))
     queries = materialize(one.join(two, same, "left").select(F.col("one.row").alias("query_row"), "one", "two"), "queries")
     asking = prints.join(queries.select(F.col("query_row").alias("row")), "row", "left_semi")
-    pairs = marks(prints).join(marks(asking).withColumnRenamed("row", "query_row"), "key").select("row", "query_row").distinct()
+    found = marks(prints).join(marks(asking).select(F.col("row").alias("query_row"), "key", F.col("times").alias("times_asked"), F.col("few").alias("few_asked")), "key")
+    pairs = found.groupBy("row", "query_row").agg(F.sum(F.col("times") * F.col("times_asked")).alias("n"), F.max(F.col("few") | F.col("few_asked")).alias("few")).where((F.col("n") >= LEAST) | F.col("few")).select("row", "query_row")
     pairs = materialize(pairs.join(classes.select(F.col("class_row").alias("row")), "row", "left_semi"), "pairs")
-    both = pairs.join(prints.select("row", "ints"), "row").join(asking.select(F.col("row").alias("query_row"), F.col("ints").alias("query_ints")), "query_row")
+    both = pairs.join(prints.select("row", F.concat("ints", "rest").alias("ints")), "row").join(asking.select(F.col("row").alias("query_row"), F.concat("ints", "rest").alias("query_ints")), "query_row")
     listed = alignments(both).join(queries, "query_row").groupBy("row").agg(F.collect_list(F.struct("one", "two", "offset", "votes", "bit_error_rate")).alias("listed"))
     named = classes.join(materialize(listed.withColumnRenamed("row", "class_row"), "alignments"), "class_row", "left").drop("class_row")
 

@@ -323,7 +323,7 @@ def test_chroma_aligns_a_shifted_passage(spark):
 
 def _chroma_pairs(texts, query=100):
     """Alignments of every row with the other rows that are queries, all pairs compared: {id: {query: (offset, votes)}}."""
-    packed = {k: chroma.integers(chroma.frames_of_text(t)).astype("<u4").tobytes() for k, t in texts.items()}
+    packed = {k: b"".join(chroma.packed(chroma.frames_of_text(t))) for k, t in texts.items()}
     out = {}
     for k, x in packed.items():
         found = {q: a for q, y in packed.items() if q % query == 0 and q != k and (a := chroma.alignment(x, y))}
@@ -349,6 +349,38 @@ def test_chroma_keeps_every_query_of_a_passage(spark):
     assert len(chroma.columns(*(chroma.landmarks(np.frombuffer(packed[k], "<u4")) for k in (3, 1)))[0]) >= 2
 
 
+def test_chroma_finds_short_passages_and_edited_copies(spark, texts):
+    """Of real texts: passages set into another text, and copies with a word changed every 20 words."""
+    rng = np.random.default_rng(9)
+    long = sorted({t for t in texts.values() if 150 <= len(t.split()) <= 1000})
+    words = [t.split() for t in long]
+    some, plain = [w for ws in words for w in ws], {}
+    rows, planted, k = [], {}, 0
+    for i in range(40):
+        own, host = words[i], words[-1 - i]
+        rows.append((100 * (i + 1), " ".join(own)))
+        for kind, n in (("passage", 60), ("passage", 100), ("edited", 150)):
+            k += 1
+            new = own[10 : 10 + n]
+            if kind == "edited":
+                new = [str(rng.choice(some)) if j % 20 == 10 else w for j, w in enumerate(new)]
+            else:
+                at = int(rng.integers(len(host)))
+                new = host[:at] + new + host[at:]
+            rows.append((100000 + k + k // 99, " ".join(new)))
+            planted[rows[-1][0]] = (100 * (i + 1), kind, n)
+    plain = dict(rows)
+    got = {r["doc_id"]: {a["query_id"] for a in json.loads(r["alignments"])} for r in chroma.align(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    packed, every = _chroma_pairs(plain)
+    least = {}
+    for q in sorted(q for q in packed if q % 100 == 0):
+        least.setdefault(packed[q], q)
+    hit = Counter((kind, n) for d, (q, kind, n) in planted.items() if least[packed[q]] in got[d])
+    for d in planted:  # nothing that all pairs show is lost
+        assert got[d] == {least[packed[q]] for q in every[d]}
+    assert hit["passage", 60] >= 22 and hit["passage", 100] >= 36 and hit["edited", 150] >= 18
+
+
 def test_chroma_votes_against_all_pairs_of_places(monkeypatch):
     rng = np.random.default_rng(8)
     x, y = ((np.sort(rng.integers(0, 4, n).astype(np.uint64)), rng.integers(0, 200, n)) for n in (90, 70))
