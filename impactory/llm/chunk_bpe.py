@@ -19,7 +19,6 @@ rows are encoded alike; an empty table gives no rows. Only doc_id and text are r
 from __future__ import annotations
 
 import hashlib
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import load, small_batches
+from .common import expand, load, small_batches, squeeze
 from .packing import byte_chars
 
 #: Chunks end where the low bits of the rolling hash are zero, and have at least and at most so many characters.
@@ -121,18 +120,6 @@ class WordEncoder:
         return " ".join(map(self.names.__getitem__, np.frombuffer(ids, self.dtype).tolist()))
 
 
-def squeeze(x: object, level: int = 3) -> bytes:
-    import zstandard
-
-    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(x, protocol=5))
-
-
-def expand(b: bytes) -> object:
-    import zstandard
-
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(b))
-
-
 BLOCK = "kind int, bucket int, batch long, body binary"
 
 

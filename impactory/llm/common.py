@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 import zlib
@@ -9,8 +10,8 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows a Python worker gets at once; bounds its memory whatever the table holds.
-ROWS_PER_BATCH = 512
+#: Rows and bytes that a Python worker gets at once (a text is never divided).
+ROWS_PER_BATCH, BYTES_PER_BATCH = 512, 16 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,14 +19,17 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most ROWS_PER_BATCH rows, so that long texts fit in a worker."""
+    """Arrow batches of bounded rows and bytes, for the session from now on, so that long texts fit in a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is named."""
+    """The folder that driver and executors share. In local mode a temporary one will do; a cluster must name it."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="impactory-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -50,6 +54,19 @@ def discard(df: DataFrame | None) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def squeeze(x: object, level: int = 3) -> bytes:
+    """Arrays and lists as compressed bytes, to be sent in one piece."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(x, protocol=5))
+
+
+def expand(b: bytes) -> object:
+    import zstandard
+
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(b))
+
+
 def fold(doc_id: int, n: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % n
 

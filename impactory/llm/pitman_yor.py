@@ -33,8 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunk_bpe import expand, squeeze
-from .common import load, materialize, small_batches
+from .common import expand, load, materialize, small_batches, squeeze
 
 CLASSES = 64
 STRENGTH = (1.0, 1.0, 1.0)  # of the root, its children, their children

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, load, materialize, small_batches
+from .common import discard, expand, load, materialize, small_batches, squeeze
 
 SHINGLE, BITS, SEED, FAN = 3, 2, 42, 64
 #: Fingerprints in a partition of the index at most, about; a root has as many nodes as FAN * FAN goes into it.
@@ -264,7 +264,9 @@ def components(edges: DataFrame) -> DataFrame:
             break
     else:
         raise RuntimeError("components did not settle")
-    return now.select("u", F.col("v").alias("root"))
+    out = now.select("u", F.col("v").alias("root"))
+    out._scratch_path = now._scratch_path
+    return out
 
 
 def fingerprint_components(fps: DataFrame, bits: int = BITS) -> DataFrame:
@@ -274,10 +276,16 @@ def fingerprint_components(fps: DataFrame, bits: int = BITS) -> DataFrame:
     pairs = root_pairs(nodes, bits)
     for level in (2, 1):
         pairs = descend(pairs, nodes, level, bits)
-    root = components(links(pairs, nodes, bits))
+    found = materialize(links(pairs, nodes, bits), "links")
+    discard(nodes)
+    root = components(found)
+    discard(found)
     named = distinct.join(root, distinct["fp"] == root["u"], "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least, "root").select("fp", "component_id")
+    out = materialize(named.join(least, "root").select("fp", "component_id"), "components")
+    for t in (distinct, root):
+        discard(t)
+    return out
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
@@ -296,21 +304,22 @@ def op5_simhash(spark, sf_dir: str) -> DataFrame:
 # ---- The pipeline stage: five-word shingles and a similarity of 0.8, with an exact check.
 
 STAGE_SHINGLE, STAGE_LIKENESS = 5, 0.8
-#: Of the groups into which a hash deals a text's shingles, GROUP_SIZE to twice as many in each, so many get a fingerprint.
-GROUPS, GROUP_SIZE = 32, 4
-#: Bounds of the number of bins of a set's histogram, powers of two.
-LEAST_BINS, MOST_BINS = 16, 256
 #: Words whose hashes a Python worker remembers.
 WORDS = 300_000
-#: Rows of a key that its rows left over are compared with at once, after the first time.
-HEADS = 32
+#: Characters of text in a block of documents, and of the texts whose shingles one range holds, about.
+BLOCK_CHARS, RANGE_CHARS = 6_000_000, 16_000_000
+#: Rows of a key up to which its pairs are listed; larger groups are compared in blocks of so many rows or shingles, about.
+LISTED, BLOCK_ROWS, BLOCK_SHINGLES = 64, 1024, 1_000_000
+#: Shingles of a block compared at once.
+COLUMNS = 4096
 TIMES = np.uint64(0xD6E8FEB86659FD93)
+HALF = np.uint64(32)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """The hashes mixed anew, one to one."""
-    x = (x ^ (x >> np.uint64(32))) * TIMES
-    return x ^ (x >> np.uint64(32))
+    x = (x ^ (x >> HALF)) * TIMES
+    return x ^ (x >> HALF)
 
 
 class WordHashes(dict):
@@ -343,160 +352,291 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def partial_keys(hashes: np.ndarray) -> np.ndarray:
-    """Keys of (level, group, SimHash) of GROUPS groups of a set's hashes.
-
-    A level has 2 ** level groups; if that is under GROUPS, a set is dealt out so many times anew, each
-    time by other bits. A set takes the level of its own size and that of the largest set that can be
-    similar to it, so that two similar sets have a level in common.
-    """
-    out, n = [], len(hashes)
-    for level in sorted({max(1, int(np.log2(max(1.0, x / GROUP_SIZE)))) for x in (n, n / STAGE_LIKENESS)}):
-        deals = np.arange(max(1, GROUPS >> level), dtype=np.uint64)[:, None]
-        dealt = mixed(hashes[None, :] ^ mixed(deals + np.uint64(1)))
-        group = (dealt >> np.uint64(64 - level)).astype(np.int64)
-        mine = group < GROUPS
-        group = (group + (deals.astype(np.int64) << level))[mine]
-        order = np.argsort(group, kind="stable")
-        at, first, sizes = np.unique(group[order], return_index=True, return_counts=True)
-        if len(at):
-            bits = np.unpackbits(mixed(dealt[mine][order]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
-            ones = np.add.reduceat(bits, first)
-            prints = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
-            out.append(mixed(prints * TIMES + (at + GROUPS * (level + 1)).astype(np.uint64)))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
-
-
-def histogram(hashes: np.ndarray) -> np.ndarray:
-    """How many of a sorted set's hashes begin with each run of bits; about two in a bin."""
-    level = int(np.clip(len(hashes) // 2, LEAST_BINS, MOST_BINS)).bit_length() - 1
-    return np.bincount((hashes >> np.uint64(64 - level)).astype(np.int64), minlength=1 << level).astype(np.uint32)
-
-
-def may_agree(x: np.ndarray, y: np.ndarray) -> bool:
-    """False only if two sets with these histograms can't be similar: bins that differ bound the sets' difference from below."""
-    if len(x) < len(y):
-        x, y = y, x
-    x, y = x.reshape(len(y), -1).sum(axis=1, dtype=np.int64), y.astype(np.int64)
-    total, apart = int(x.sum() + y.sum()), int(np.abs(x - y).sum())
-    return total - apart >= STAGE_LIKENESS * (total + apart) - 1e-9
-
-
 def agree(x: np.ndarray, y: np.ndarray) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both >= STAGE_LIKENESS * (len(x) + len(y) - both) - 1e-9
 
 
-def kept_edges(edges: DataFrame, values: DataFrame, kind: type, test) -> DataFrame:
-    """Those edges (u, v) whose values (row, value), arrays of a kind, pass a test."""
+def may_agree(n: Column, common: Column, m: Column, other: Column) -> Column:
+    """Whether sets of n and m shingles, of which so many occur in other texts as well, can be similar."""
+    return F.least(common, other) >= (n + m) * STAGE_LIKENESS / (1 + STAGE_LIKENESS) - 1e-9
+
+
+MESSAGE = [("range", pa.int32()), ("block", pa.int64()), ("whole", pa.bool_()), ("body", pa.binary())]
+MESSAGE_SQL = "range int, block long, whole boolean, body binary"
+
+
+def messages(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(MESSAGE)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, MESSAGE, strict=True)], [n for n, _ in MESSAGE])
+
+
+def block_messages(block: int, rows: list[int], texts: list[str | None], words: WordHashes, n_ranges: int) -> pa.RecordBatch:
+    """What a block of texts sends: to each range of hashes its shingles, and one message about the block as a whole.
+
+    Of equal texts in a block the first one speaks. A shingle that several of the block's texts hold goes
+    once, without naming them; another goes with its text's digest, so that copies don't count as others.
+    """
+    import xxhash
+
+    first: dict[int, int] = {}
+    for i, text in enumerate(texts):
+        first.setdefault(xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")), i)
+    digests = np.fromiter(first, np.uint64, len(first))
+    hashes = [stage_shingles(texts[i], words) for i in first.values()]
+    own = [np.unique(h) for h in hashes]
+    flat, who = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
+    order = np.argsort(flat, kind="stable")
+    flat, who = flat[order], who[order]
+    starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    times = np.diff(np.append(starts, len(flat)))
+    several = np.repeat(times > 1, times)
+    inside = np.bincount(who[several], minlength=len(own))
+
+    def dealt(x: np.ndarray) -> np.ndarray:
+        return ((x >> HALF) * np.uint64(n_ranges) >> HALF).astype(np.int64)
+
+    shared, single, who = flat[starts[times > 1]], flat[~several], who[~several]
+    order = np.lexsort((who, dealt(single)))
+    single, who = single[order], who[order]
+    edges = np.arange(n_ranges + 1)
+    one, two = (np.searchsorted(dealt(x), edges) for x in (single, shared))
+    out = []
+    for k in np.flatnonzero((np.diff(one) > 0) | (np.diff(two) > 0)).tolist():
+        mine = slice(one[k], one[k + 1])
+        at, counts = np.unique(who[mine], return_counts=True)
+        body = (at.astype(np.uint32), counts.astype(np.uint32), digests[at], single[mine].astype(np.uint32), shared[two[k] : two[k + 1]].astype(np.uint32))
+        out.append((k, block, False, squeeze(body)))
+    whole = (np.array([rows[i] for i in first.values()], np.int64), np.array([majority(h) for h in hashes], np.uint64), np.array([len(x) for x in own], np.int64), inside)
+    out.append((block % n_ranges, block, True, squeeze(whole)))
+    return messages(out)
+
+
+def sent(docs: DataFrame, n_ranges: int) -> DataFrame:
+    """The messages of all blocks of (row, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, part, k, rows, texts, room = WordHashes(), TaskContext.get().partitionId() << 32, 0, [], [], BLOCK_CHARS
         for b in batches:
-            pairs = zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)
-            keep = [test(np.frombuffer(x, kind), np.frombuffer(y, kind)) for x, y in pairs]
-            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            for row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                rows.append(row)
+                texts.append(text)
+                room -= len(text or "")
+                if room <= 0:
+                    yield block_messages(part | k, rows, texts, words, n_ranges)
+                    k, rows, texts, room = k + 1, [], [], BLOCK_CHARS
+        if rows:
+            yield block_messages(part | k, rows, texts, words, n_ranges)
+
+    return docs.select("row", "text").mapInArrow(run, MESSAGE_SQL)
+
+
+def answered(table: pa.Table) -> pa.Table:
+    """A range's messages to each block's counts: how many of a text's shingles here occur in other texts."""
+    out, asked = [], []
+    for r in table.to_pylist():
+        if r["whole"]:
+            out.append((r["range"], r["block"], True, r["body"]))
+        else:
+            asked.append((r["block"], *expand(r["body"])))
+    if asked:
+        slots = np.concatenate([x for _, _, _, _, one, two in asked for x in (one, two)])
+        texts = np.concatenate([x for _, _, n, d, _, two in asked for x in (np.repeat(d, n), np.zeros(len(two), np.uint64))])
+        several = np.concatenate([x for *_, one, two in asked for x in (np.zeros(len(one), bool), np.ones(len(two), bool))])
+        order = np.argsort(slots, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], slots[order][1:] != slots[order][:-1]]))
+        texts = texts[order]
+        other = (np.minimum.reduceat(texts, starts) != np.maximum.reduceat(texts, starts)) | np.logical_or.reduceat(several[order], starts)
+        found = np.empty(len(slots), np.int64)
+        found[order] = np.repeat(other, np.diff(np.append(starts, len(slots))))
+        lo = 0
+        for block, at, n, _, one, two in asked:
+            if len(at):
+                out.append((0, block, False, squeeze((at, np.add.reduceat(found[lo : lo + len(one)], np.cumsum(n, dtype=np.int64) - n).astype(np.uint32)))))
+            lo += len(one) + len(two)
+    return pa.Table.from_batches([messages(out)])
+
+
+def added_up(table: pa.Table) -> pa.Table:
+    """A block's answers to (row, fp, n, common) of its texts."""
+    bodies = [(r["whole"], expand(r["body"])) for r in table.to_pylist()]
+    rows, prints, n, common = next(b for whole, b in bodies if whole)
+    common = common.copy()
+    for whole, b in bodies:
+        if not whole:
+            common[b[0]] += b[1]
+    return pa.Table.from_arrays([pa.array(rows), pa.array(prints.view(np.int64)), pa.array(n), pa.array(common)], ["row", "fp", "n", "common"])
+
+
+def stage_prints(docs: DataFrame, n_chars: int) -> DataFrame:
+    """(row, fp, n, common) of the texts (row, text), of copies one at least: the SimHash, how many shingles, and how many of them other texts hold."""
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_chars // RANGE_CHARS)
+    told = sent(docs, n).groupBy("range").applyInArrow(answered, MESSAGE_SQL)
+    return told.groupBy("block").applyInArrow(added_up, "row long, fp long, n long, common long")
 
-    left, right = (values.select(F.col("row").alias(c), F.col("value").alias(x)) for c, x in (("u", "x"), ("v", "y")))
-    return edges.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(run, "u long, v long")
 
+def stage_sets(texts: DataFrame) -> DataFrame:
+    """(row, n, common, value) for (row, text, n, common): the sorted distinct hashes of the shingles."""
 
-def ends(edges: DataFrame) -> DataFrame:
-    """(row): the rows in written edges (u, v), written, so that Spark knows the size of them."""
-    return materialize(edges.select(F.col("u").alias("row")).union(edges.select("v")).distinct(), "ends")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for b in batches:
+            sets = [np.unique(stage_shingles(t, words)).tobytes() for t in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(3)), pa.array(sets, pa.binary())], ["row", "n", "common", "value"])
 
+    return texts.select("row", "n", "common", "text").mapInArrow(run, "row long, n long, common long, value binary")
 
-def stage_prints(texts: DataFrame) -> DataFrame:
-    """(row, key, bins) for (row, text): the whole fingerprint with a histogram, and keys of partial ones without."""
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """(token, row, n, common): of each set so many of its smallest hashes that two similar sets share one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for b in batches:
-            rows, keys, bins = [], [], []
-            for row, one in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                hashes = stage_shingles(one, words)
-                own = np.unique(hashes)
-                part = partial_keys(own)
-                keys += [np.array([majority(hashes)], np.uint64), part]
-                rows.append(np.full(len(part) + 1, row, np.int64))
-                bins += [histogram(own).tobytes(), *[None] * len(part)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), pa.array(np.concatenate(keys).view(np.int64)), pa.array(bins, pa.binary())], ["row", "key", "bins"])
+            found = []
+            for x in b.column(3).to_pylist():
+                own = np.sort(mixed(np.frombuffer(x, np.uint64)))
+                found.append(own[: len(own) - int(np.ceil(STAGE_LIKENESS * len(own) - 1e-9)) + 1])
+            if found:
+                again = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in found]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), *(b.column(k).take(again) for k in range(3))], ["token", "row", "n", "common"])
 
-    return texts.select("row", "text").mapInArrow(run, "row long, key long, bins binary")
+    return sets.mapInArrow(run, "token long, row long, n long, common long")
 
 
-def stage_sets(texts: DataFrame) -> DataFrame:
-    """(row, value) for (row, text): the sorted distinct hashes of the shingles."""
+def kept_edges(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those edges (u, v) whose sets are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for b in batches:
-            sets = [np.unique(stage_shingles(t, words)).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["row", "value"])
+            pairs = zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)
+            keep = [agree(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in pairs]
+            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return texts.select("row", "text").mapInArrow(run, "row long, value binary")
+    left, right = (sets.select(F.col("row").alias(c), F.col("value").alias(x)) for c, x in (("u", "x"), ("v", "y")))
+    return edges.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(run, "u long, v long")
 
 
-def first_heads(part: DataFrame) -> DataFrame:
-    """(key, row, head): rows of the keys that several rows have, each with the first and the last row of the key."""
-    heads = part.groupBy("key").agg(F.min("row").alias("one"), F.max("row").alias("two")).where("one < two")
-    return part.join(heads, "key").select("key", "row", F.explode(F.array("one", "two")).alias("head"))
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of all pairs of sets."""
+    flat = [np.concatenate(s) for s in (a, b)]
+    who = [np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in (a, b)]
+    names = np.intersect1d(*flat)
+    for k in range(2):
+        kept = np.flatnonzero(np.isin(flat[k], names))
+        column = np.searchsorted(names, flat[k][kept])
+        order = np.argsort(column, kind="stable")
+        flat[k], who[k] = column[order], who[k][kept][order]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for lo in range(0, len(names), COLUMNS):
+        sides = []
+        for x, w, n in zip(flat, who, out.shape, strict=True):
+            own, side = slice(*np.searchsorted(x, (lo, lo + COLUMNS))), np.zeros((n, COLUMNS), np.float32)
+            side[w[own], x[own] - lo] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
 
 
-def next_heads(multi: DataFrame, root: DataFrame) -> DataFrame:
-    """Of rows with heads, those that are in no component of their key's heads, with HEADS new ones from among themselves."""
-    out = multi
-    for c in ("row", "head"):
-        out = out.join(root.select(F.col("u").alias(c), F.col("root").alias(f"{c}_root")), c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
-    left = out.groupBy("key", "row").agg(F.max(F.col("row_root") == F.col("head_root")).alias("done")).where("not done").select("key", "row")
-    heads = left.groupBy("key", F.pmod(F.xxhash64("row"), F.lit(HEADS)).alias("spot")).agg(F.min("row").alias("head")).select("key", "head")
-    return left.join(heads, "key")
+def compared(table: pa.Table) -> pa.Table:
+    """Rows that ask and rows of a block to the links between rows of different components, a spanning forest of them."""
+    asking = table.column("asks").to_numpy(zero_copy_only=False)
+    row, root = (table.column(c).to_numpy() for c in ("row", "root"))
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("value").to_pylist()]
+    n = np.array([len(x) for x in sets])
+    i, j = np.flatnonzero(asking), np.flatnonzero(~asking)
+    u = v = np.zeros(0, np.int64)
+    if len(i) and len(j):
+        both = overlaps([sets[k] for k in i], [sets[k] for k in j])
+        x, y = np.nonzero((both >= STAGE_LIKENESS * (n[i][:, None] + n[j][None, :] - both) - 1e-6) & (root[i][:, None] != root[j][None, :]))
+        u, v = row[i[x]], row[j[y]]
+        if len(u):
+            u, v = forest(u, v)
+    return pa.Table.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+
+def rest_of_links(posts: DataFrame, groups: DataFrame, root: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) between rows that share a token and are in different components (u, root) so far."""
+    ours = posts.join(groups.where("m > 2").select("token"), "token", "left_semi").join(root.select(F.col("u").alias("row"), "root"), "row", "left")
+    ours = ours.withColumn("root", F.coalesce("root", "row"))
+    parts = ours.groupBy("token", "root").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    main = F.max(F.struct("m", "root", "n")).alias("main")
+    left = parts.groupBy("token").agg(F.sum("m").alias("m"), F.sum("n").alias("total"), F.count("*").alias("k"), main).where("k > 1")
+    left = materialize(left.select("token", "m", "total", F.col("main.root").alias("main"), (F.col("m") - F.col("main.m")).alias("m_left"), (F.col("total") - F.col("main.n")).alias("n_left")), "open")
+    members = materialize(ours.join(left, "token"), "members")
+    a, b = (members.where(F.col("m") <= LISTED).select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("row", "root", "n", "common"))) for x in "ab")
+    close = (F.col("row_a") < F.col("row_b")) & (F.col("root_a") != F.col("root_b")) & may_agree(F.col("n_a"), F.col("common_a"), F.col("n_b"), F.col("common_b"))
+    pairs = materialize(a.withColumnRenamed("token", "same").join(b, (F.col("same") == F.col("token")) & close).select(F.col("row_a").alias("u"), F.col("row_b").alias("v")).distinct(), "pairs")
+
+    def blocks(rows: str, shingles: str) -> Column:
+        return F.greatest(F.ceil(F.col(rows) / BLOCK_ROWS), F.ceil(F.col(shingles) / BLOCK_SHINGLES)).cast("int")
+
+    large = members.where(F.col("m") > LISTED).withColumns({"asking": blocks("m_left", "n_left"), "asked": blocks("m", "total")})
+
+    def spread(rows: DataFrame, asks: bool) -> DataFrame:
+        mine, others = ("asking", "asked") if asks else ("asked", "asking")
+        own, each = F.pmod(F.xxhash64("row"), F.col(mine)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(others) - 1))
+        return rows.select("token", "row", "root", F.lit(asks).alias("asks"), own.alias(mine), each.alias(others)).select("token", "asking", "asked", "row", "root", "asks")
+
+    both = spread(large.where("root <> main"), True).union(spread(large, False))
+    found = both.join(sets.select("row", "value"), "row").groupBy("token", "asking", "asked").applyInArrow(compared, "u long, v long")
+    out = materialize(kept_edges(pairs, sets).union(found).distinct(), "links")
+    for t in (left, members, pairs):
+        discard(t)
+    return out
 
 
 def similar(docs: DataFrame) -> DataFrame:
     """(row, root) for rows (row, text): every row but the first of each group, with its group's first row.
 
-    Equal texts are one from the start. The others are compared with the first row of their component of
-    whole fingerprints and, for each partial fingerprint, with the first and the last row that have it.
-    Rows that prove to be in neither one's component are compared again, with HEADS of those
-    that are left, until none are left; so a group of any size costs a few comparisons per row, and
-    unlike texts that share a partial fingerprint hide no others. A pair is dropped if the histograms of
-    its sets show that they can't be similar, and else the sets of shingles are compared: a Jaccard
-    similarity of STAGE_LIKENESS or more is a link.
+    Groups are the components of a Jaccard similarity of STAGE_LIKENESS or more between sets of shingles;
+    equal texts are one from the start. Candidates come from the Gray-order index over the texts' SimHashes,
+    and, as similar texts may differ in more bits than the index takes, from an exact search:
+
+    1. Two sets are similar only if so many of either's shingles are in the other. Ranges of the hashes
+       count for every text how many of its shingles other texts hold; texts with too few have no partner
+       and are done.
+    2. Of the others, two similar sets share one of a fifth of their smallest hashes. Rows that share
+       one are compared with the row among them that has the smallest part of its own, so a group of
+       copies of any size costs a comparison per row.
+    3. Rows that share a hash and are still in different components are compared with each other: listed
+       in pairs where few share it, and else all rows but those of the largest component in blocks
+       against all, within tasks, of which only links come out. A pair that the counts rule out is
+       never listed.
     """
     text = F.coalesce("text", F.lit(""))
-    sums = materialize(docs.select("row", F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")), "texts")
+    sums = materialize(docs.select("row", F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), F.length(text).alias("chars")), "texts")
     same = materialize(sums.groupBy("a", "b").agg(F.min("row").alias("root")), "firsts")
-    copies = sums.join(same, ["a", "b"]).where("row <> root").select("row", "root")
+    copies = materialize(sums.join(same, ["a", "b"]).where("row <> root").select("row", "root"), "copies")
+    n_chars = sums.agg(F.sum("chars")).first()[0] or 0
     small_batches(docs.sparkSession)
-    every = materialize(stage_prints(docs), "prints")
-    found = every.join(same.select(F.col("root").alias("row")), "row", "left_semi")
-    whole = materialize(found.where("bins is not null"), "whole")
-    near = whole.select(F.col("row").alias("doc_id"), F.col("key").alias("fp"))
-    near = near.join(fingerprint_components(near), "fp").select(F.col("doc_id").alias("row"), F.col("component_id").alias("other"))
-    multi = materialize(first_heads(found.where("bins is null").select("key", "row")), "heads")
-    discard(every)
-    bins = whole.select("row", F.col("bins").alias("value"))
-    links_ = root = None
-    while True:
-        tries = multi.select("row", F.col("head").alias("other"))
-        if links_ is None:
-            tries = tries.union(near)
-        edges = tries.where("row <> other").select(F.greatest("row", "other").alias("u"), F.least("row", "other").alias("v")).distinct()
-        tried = materialize(edges, "tries")  # so that Spark knows the size of it
-        edges = materialize(kept_edges(tried, bins.join(ends(tried), "row", "left_semi"), np.uint32, may_agree), "candidates")
-        discard(tried)
-        held = materialize(stage_sets(docs.select("row", "text").join(ends(edges), "row", "left_semi")), "sets")
-        new = kept_edges(edges, held, np.uint64, agree)
-        links_ = materialize(new if links_ is None else links_.union(new), "links")
-        root = components(links_)
-        discard(held)
-        discard(edges)
-        multi, was = materialize(next_heads(multi, root), "heads"), multi
-        discard(was)
-        if multi.isEmpty():
-            break
-    return copies.union(root)
+    every = materialize(stage_prints(docs, n_chars), "prints")
+    prints = materialize(every.join(same.select(F.col("root").alias("row")), "row", "left_semi"), "prints")
+    for t in (sums, same, every):
+        discard(t)
+    alive = materialize(prints.where(F.col("common") >= STAGE_LIKENESS * F.col("n") - 1e-9).select("row", "n", "common"), "alive")
+    sets = materialize(stage_sets(docs.select("row", "text").join(alive, "row")), "sets")
+    posts = materialize(prefixes(sets), "prefixes")
+    own = F.struct(((F.col("n") - F.col("common")) / F.col("n")).alias("own"), "row", "n", "common")
+    groups = materialize(posts.groupBy("token").agg(F.count("*").alias("m"), F.min(own).alias("head")).where("m > 1"), "groups")
+    near = prints.select(F.col("row").alias("doc_id"), "fp")
+    indexed = fingerprint_components(near)
+    near = near.join(indexed, "fp").where("doc_id <> component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    fits = may_agree(F.col("n"), F.col("common"), F.col("head.n"), F.col("head.common"))
+    tries = posts.join(groups, "token").where((F.col("row") != F.col("head.row")) & fits).select(F.greatest("row", "head.row").alias("u"), F.least("row", "head.row").alias("v"))
+    tries = materialize(near.union(tries).distinct(), "tries")
+    links_ = materialize(kept_edges(tries, sets), "links")
+    for t in (tries, indexed):
+        discard(t)
+    root = components(links_)
+    more = rest_of_links(posts, groups, root, sets)
+    if not more.isEmpty():
+        discard(root)
+        root = components(links_.union(more))
+    named = copies.join(root.select(F.col("u").alias("first"), F.col("root").alias("to")), F.col("root") == F.col("first"), "left")
+    out = materialize(named.select("row", F.coalesce("to", "root").alias("root")).union(root), "similar")
+    for t in (copies, prints, alive, sets, posts, groups, links_, more, root):
+        discard(t)
+    return out
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
