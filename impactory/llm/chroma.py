@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import load, materialize, small_batches
+from .common import expand, load, materialize, small_batches, squeeze
 
 QUERY, BEAT, SPAN = 100, 4, 12
 #: Frames of the longest filter in a mark, neighbours in a mark.
@@ -47,6 +47,8 @@ SHORT, RUN = 4, 3
 LEAST, DRIFT = 2, 4
 #: Pairs of places of a key that are listed one by one; beyond that they are counted by Fourier transforms.
 PLAIN = 1 << 16
+#: Marks in a block of recordings and in a shuffle partition, about, and buckets in the latter.
+BLOCK_MARKS, PARTITION_MARKS, BUCKETS_PER_PARTITION = 1_000_000, 3_000_000, 4
 EDGES = (-0.25, 0.0, 0.25)
 #: By rule: four kinds of partition, over four widths in frames, each at a place in pitch of its own.
 FILTERS = tuple((kind, width, (5 * kind + 3 * i) % 9, 4 if kind else 6) for i, width in enumerate((2, 4, 8, SPAN)) for kind in range(4))
@@ -186,17 +188,83 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "row long, doc_id long, n_frames long, ints binary, rest binary")
 
 
-def marks(prints: DataFrame) -> DataFrame:
-    """(row, key, times, few) of all marks, with their places; few: the row has fewer than LEAST."""
+MESSAGE = [("bucket", pa.int32()), ("asks", pa.bool_()), ("body", pa.binary())]
+MESSAGE_SQL = "bucket int, asks boolean, body binary"
+
+
+def planes(keys: np.ndarray) -> tuple[int, bytes]:
+    """Sorted keys as the bytes of their differences, the highest bytes of all first: most of those are zero."""
+    return len(keys), np.diff(keys, prepend=np.zeros(1, np.uint64)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(n: int, body: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(8, n).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
+    """To each bucket of keys the marks of blocks of recordings: keys in order, rows, how often, and whether the row has fewer than LEAST."""
+
+    def block(rows: list[int], found: list[tuple]) -> pa.RecordBatch:
+        who = np.repeat(np.arange(len(rows)), [len(k) for k, _ in found])
+        keys, times = (np.concatenate(x) for x in zip(*found, strict=True))
+        few = np.array([t.sum() < LEAST for _, t in found], bool)
+        order = np.argsort(keys, kind="stable")
+        keys, who, times = keys[order], who[order], times[order]
+        at = np.searchsorted(((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64), np.arange(n_buckets + 1))
+        out = []
+        for k in np.flatnonzero(np.diff(at)).tolist():
+            own, mine = np.unique(who[at[k] : at[k + 1]], return_inverse=True)
+            named = np.array(rows, np.int64)[own]
+            out.append((k, asks, squeeze((planes(keys[at[k] : at[k + 1]]), mine.astype(np.uint32), times[at[k] : at[k + 1]].astype(np.uint32), named, few[own]))))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True) if out else ((), (), ()), MESSAGE, strict=True)], [n for n, _ in MESSAGE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, found, room = [], [], BLOCK_MARKS
         for b in batches:
-            found = [np.unique(landmarks(np.frombuffer(x, "<u4"))[0], return_counts=True) for x in b.column(1).to_pylist()]
-            n, few = np.array([len(k) for k, _ in found], np.int64), np.array([t.sum() < LEAST for _, t in found], bool)
-            keys, times = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), n))), pa.array(keys.astype(np.uint64).view(np.int64)), pa.array(times.astype(np.int64)), pa.array(np.repeat(few, n))], ["row", "key", "times", "few"])
-
-    return prints.select("row", F.concat("ints", "rest").alias("ints")).mapInArrow(run, "row long, key long, times long, few boolean")
+            for row, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                rows.append(row)
+                found.append(np.unique(landmarks(np.frombuffer(x, "<u4"))[0], return_counts=True))
+                room -= len(found[-1][0])
+                if room <= 0:
+                    yield block(rows, found)
+                    rows, found, room = [], [], BLOCK_MARKS
+        if rows:
+            yield block(rows, found)
+
+    return prints.select("row", F.concat("ints", "rest").alias("ints")).mapInArrow(run, MESSAGE_SQL)
+
+
+def met(table: pa.Table) -> pa.Table:
+    """A bucket's marks to (row, query_row, n, few): how often the two share a mark, each place with each."""
+    sides: dict[bool, list] = {False: [], True: []}
+    for r in table.to_pylist():
+        keys, who, times, rows, few = expand(r["body"])
+        sides[r["asks"]].append((from_planes(*keys), rows[who], times.astype(np.int64), few[who]))
+    out = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
+    if sides[True] and sides[False]:
+        keys, rows, times, few = (np.concatenate(x) for x in zip(*sides[True], strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys, rows, times, few = keys[order], rows[order], times[order], few[order]
+        parts = []
+        for own, row, n, short in sides[False]:
+            lo, hi = (np.searchsorted(keys, own, side) for side in ("left", "right"))
+            i = np.repeat(np.arange(len(own)), hi - lo)
+            j = np.arange(len(i)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
+            if len(i):
+                pair, at = np.unique(np.stack([row[i], rows[j]]), axis=1, return_inverse=True)
+                parts.append((*pair, np.bincount(at.ravel(), n[i] * times[j]).astype(np.int64), np.bincount(at.ravel(), short[i] | few[j]) > 0))
+        if parts:
+            out = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    return pa.Table.from_arrays([pa.array(x) for x in out], ["row", "query_row", "n", "few"])
+
+
+def candidates(prints: DataFrame, asking: DataFrame) -> DataFrame:
+    """(row, query_row) of all pairs with LEAST marks in common, or one where either has no more."""
+    frames = prints.agg(F.sum("n_frames")).first()[0] or 0
+    parts = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), frames // PARTITION_MARKS)
+    sent = marks(prints, False, BUCKETS_PER_PARTITION * parts).union(marks(asking, True, BUCKETS_PER_PARTITION * parts))
+    found = sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(met, "row long, query_row long, n long, few boolean")
+    return found.groupBy("row", "query_row").agg(F.sum("n").alias("n"), F.max("few").alias("few")).where((F.col("n") >= LEAST) | F.col("few")).select("row", "query_row")
 
 
 def alignment(mine: bytes, other: bytes, marks_of=lambda b: landmarks(np.frombuffer(b, "<u4"))) -> tuple[int, int, float] | None:
@@ -242,8 +310,7 @@ def align(docs: DataFrame, query: int = QUERY) -> DataFrame:
     two = asked.join(one, same).where("q <> one").groupBy(*same).agg(F.min("q").alias("two"))
     queries = materialize(one.join(two, same, "left").select(F.col("one.row").alias("query_row"), "one", "two"), "queries")
     asking = prints.join(queries.select(F.col("query_row").alias("row")), "row", "left_semi")
-    found = marks(prints).join(marks(asking).select(F.col("row").alias("query_row"), "key", F.col("times").alias("times_asked"), F.col("few").alias("few_asked")), "key")
-    pairs = found.groupBy("row", "query_row").agg(F.sum(F.col("times") * F.col("times_asked")).alias("n"), F.max(F.col("few") | F.col("few_asked")).alias("few")).where((F.col("n") >= LEAST) | F.col("few")).select("row", "query_row")
+    pairs = candidates(prints, asking)
     pairs = materialize(pairs.join(classes.select(F.col("class_row").alias("row")), "row", "left_semi"), "pairs")
     both = pairs.join(prints.select("row", F.concat("ints", "rest").alias("ints")), "row").join(asking.select(F.col("row").alias("query_row"), F.concat("ints", "rest").alias("query_ints")), "query_row")
     listed = alignments(both).join(queries, "query_row").groupBy("row").agg(F.collect_list(F.struct("one", "two", "offset", "votes", "bit_error_rate")).alias("listed"))
