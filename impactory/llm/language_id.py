@@ -23,18 +23,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold_column, load, small_batches
+from .common import discard, fold_column, load, materialize, small_batches
 
 UND = "und"
 #: Character n-gram lengths of the backoff, longest first; words are padded with a blank at both ends.
 NGRAMS = (4, 3, 2, 1)
-#: Bounds of the fit: labelled rows, and per language the most frequent words and n-grams of each length.
-SAMPLE_ROWS, WORDS_PER_LANG, GRAMS_PER_LANG = 2000, 30_000, 8_000
+#: Bounds of the fit: languages (the most frequent ones), labelled rows of each, and its most frequent words and n-grams of each length.
+LANGS = 1000
+SAMPLE_ROWS, WORDS_PER_LANG, GRAMS_PER_LANG = 800, 100_000, 40_000
 CACHE = 300_000
 WORD = re.compile(r"[^\W\d_]+")
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
+def has_letter(words: list[str]) -> bool:
+    """The pattern's words may be of fractions, superscripts and the like alone, which are no letters."""
+    return any(w.isalpha() or any(c.isalpha() for c in w) for w in words)
+
+
 @dataclass
 class Model:
     """units[n] gives the row of a word (n = 0) or n-gram in tables[n]: log frequencies per language, less their mean."""
@@ -88,16 +94,21 @@ def _counts(sample: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """From columns doc_id, text, lang; the sample is the rows with the smallest hash, at most sample_rows."""
+    """From columns doc_id, text, lang; of each language the sample is a share of the rows, by hash, that makes about sample_rows."""
     small_batches(docs.sparkSession)
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-    chosen = rows.select(F.xxhash64("doc_id", "lang").alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h"), F.count("*")).first()
-    if not chosen[1]:
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    share = sizes.orderBy(F.desc("rows"), "lang").limit(LANGS).select("lang", F.least(F.lit(1.0), 0.9 * sample_rows / F.col("rows")).alias("share"))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
+    drawn = rows.join(F.broadcast(share), "lang").where(draw < F.col("share")).select("text", "lang")
+    counts = materialize(_counts(drawn), "language-counts")
+    if counts.isEmpty():
+        discard(counts)
         return Model([], {n: {} for n in (0, *NGRAMS)}, {n: np.zeros((0, 0)) for n in (0, *NGRAMS)})
-    counts = _counts(rows.where(F.xxhash64("doc_id", "lang") <= chosen[0]).select("text", "lang"))
     groups = Window.partitionBy("lang", "n")
     ranked = counts.select("*", F.row_number().over(groups.orderBy(F.desc("k"), "unit")).alias("r"), F.sum("k").over(groups).alias("total"))
     top = ranked.where(F.col("r") <= F.when(F.col("n") == 0, WORDS_PER_LANG).otherwise(GRAMS_PER_LANG)).toArrow().to_pylist()
+    discard(counts)
     totals = {(r["lang"], r["n"]): r["total"] for r in top}
     langs = sorted({lang for lang, _ in totals})
     at = {lang: i for i, lang in enumerate(langs)}
@@ -136,7 +147,7 @@ def identify(docs: DataFrame, text: Column, model: Model) -> Column:
             langs, scores = [], []
             for one in texts:
                 words = WORD.findall(one.lower()) if one else []
-                if not words or not m.langs:
+                if not m.langs or not has_letter(words):
                     langs.append(UND)
                     scores.append(0.0)
                     continue
