@@ -12,8 +12,9 @@ Data moves in blocks: each block of documents sends its distinct chunks, grouped
 one compressed block per bucket; the bucket's task returns one block of ids per batch. A chunk that
 very many documents share is thus sent at most once per batch. Nothing is collected.
 
-Rows: null and empty texts have no ids and decode to the empty text; null ids stay null; repeated
-rows are encoded alike; an empty table gives no rows. Only doc_id and text are read.
+Rows: null and empty texts have no ids and decode to the empty text; very long texts are a block of
+their own, in chunks as any other; null ids stay null; repeated rows are encoded alike (there are no
+ties to break); an empty table gives no rows. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -27,17 +28,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import expand, load, small_batches, squeeze
-from .packing import byte_chars
+from .common import expand, load, partitions_for, small_batches, squeeze
+from .packing import AFTER_WORD, LATIN_END, byte_chars
 
 #: Chunks end where the low bits of the rolling hash are zero, and have at least and at most so many characters.
 CUT_BITS, LEAST, MOST = 11, 256, 16384
 CACHE = 600_000
-BUCKETS_PER_PARTITION = 4
+#: Characters of text that a shuffle partition holds, about, and buckets in it.
+PARTITION_CHARS, BUCKETS_PER_PARTITION = 16_000_000, 4
 #: Characters of text in a block of documents, about (a text is never divided), and how hard its parts are compressed.
 BLOCK_CHARS, LEVEL = 12_000_000, 12
-#: Punctuation that may follow a word; a word that ends in a letter below LATIN_END splits from it.
-AFTER_WORD, LATIN_END = ".,!?;:*$%&#", "\u0250"
 _GEAR = np.random.default_rng(7).integers(0, 2**32, 65536, dtype=np.uint32)
 
 
@@ -93,7 +93,7 @@ class WordEncoder:
         class Units(dict):
             def __missing__(self, unit: str) -> bytes:
                 stem = unit.rstrip(AFTER_WORD)
-                if stem and stem != unit and stem[-1].isalpha() and stem[-1] < LATIN_END:
+                if stem and stem != unit and stem[-1].isalpha() and stem[-1] < LATIN_END and stem[-1].lower().isalpha():  # a lower case with a mark, as U+0130 has, joins what follows
                     out = self[stem] + self[unit[len(stem) :]]
                 elif unit.isalpha() and max(unit) < LATIN_END and (low := unit.lower()).isalpha():
                     # one word, in normal form and with simple lower case: the model alone is enough
@@ -247,12 +247,12 @@ def encode(docs: DataFrame, path: str, full: bool = True) -> DataFrame:
     """Documents (doc_id, text) to doc_id, n_tokens, ids and decoded text; digests of the two if not full."""
     spark = docs.sparkSession
     small_batches(spark)
-    n = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sent = rows.mapInArrow(chunked(n), BLOCK)
-    back = sent.groupBy("bucket").applyInArrow(encoded(path), BLOCK)
+    parts = partitions_for(rows, PARTITION_CHARS)
+    sent = rows.mapInArrow(chunked(BUCKETS_PER_PARTITION * parts), BLOCK)
+    back = sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(encoded(path), BLOCK)
     columns = "ids array<long>, decoded string" if full else "ids_sha256 string, decoded_sha256 string"
-    return back.groupBy("batch").applyInArrow(assembled(path, full), f"doc_id long, n_tokens long, {columns}")
+    return back.repartition(parts, "batch").groupBy("batch").applyInArrow(assembled(path, full), f"doc_id long, n_tokens long, {columns}")
 
 
 def op7_chunk_bpe(spark, sf_dir: str) -> DataFrame:

@@ -54,6 +54,12 @@ def discard(df: DataFrame | None) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def partitions_for(docs: DataFrame, chars: int) -> int:
+    """Shuffle partitions for docs' texts: so many characters in each, about, and no fewer than the session's."""
+    total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // chars)
+
+
 def squeeze(x: object, level: int = 3) -> bytes:
     """Arrays and lists as compressed bytes, to be sent in one piece."""
     import zstandard
