@@ -305,9 +305,9 @@ def op5_simhash(spark, sf_dir: str) -> DataFrame:
 
 STAGE_SHINGLE, STAGE_LIKENESS = 5, 0.8
 #: Words whose hashes a Python worker remembers.
-WORDS = 300_000
+WORDS = 200_000
 #: Characters of text in a block of documents, and of the texts whose shingles one range holds, about.
-BLOCK_CHARS, RANGE_CHARS = 6_000_000, 16_000_000
+BLOCK_CHARS, RANGE_CHARS = 3_000_000, 16_000_000
 #: Rows of a key up to which its pairs are listed; larger groups are compared in blocks of so many rows or shingles, about.
 LISTED, BLOCK_ROWS, BLOCK_SHINGLES = 64, 1024, 1_000_000
 #: Shingles of a block compared at once.
@@ -375,26 +375,32 @@ def block_messages(block: int, rows: list[int], texts: list[str | None], words:
     """What a block of texts sends: to each range of hashes its shingles, and one message about the block as a whole.
 
     Of equal texts in a block the first one speaks. A shingle that several of the block's texts hold goes
-    once, without naming them; another goes with its text's digest, so that copies don't count as others.
+    once, without naming them; another goes with its text's digest of 32 bits, so that copies don't count
+    as others (texts that differ and have one digest, a chance of 2 ** -32, don't either).
     """
     import xxhash
 
     first: dict[int, int] = {}
     for i, text in enumerate(texts):
         first.setdefault(xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")), i)
-    digests = np.fromiter(first, np.uint64, len(first))
-    hashes = [stage_shingles(texts[i], words) for i in first.values()]
-    own = [np.unique(h) for h in hashes]
-    flat, who = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
+    digests = np.fromiter(first, np.uint64, len(first)).astype(np.uint32)
+    own, prints = [], np.zeros(len(first), np.uint64)
+    for k, i in enumerate(first.values()):
+        hashes = stage_shingles(texts[i], words)
+        prints[k] = majority(hashes)
+        own.append(np.unique(hashes))
+    sizes = np.array([len(x) for x in own], np.int64)
+    flat, who = np.concatenate(own), np.repeat(np.arange(len(own), dtype=np.int32), sizes)
+    own.clear()
     order = np.argsort(flat, kind="stable")
     flat, who = flat[order], who[order]
     starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
     times = np.diff(np.append(starts, len(flat)))
     several = np.repeat(times > 1, times)
-    inside = np.bincount(who[several], minlength=len(own))
+    inside = np.bincount(who[several], minlength=len(sizes))
 
     def dealt(x: np.ndarray) -> np.ndarray:
-        return ((x >> HALF) * np.uint64(n_ranges) >> HALF).astype(np.int64)
+        return ((x >> HALF) * np.uint64(n_ranges) >> HALF).astype(np.int32)
 
     shared, single, who = flat[starts[times > 1]], flat[~several], who[~several]
     order = np.lexsort((who, dealt(single)))
@@ -405,9 +411,9 @@ def block_messages(block: int, rows: list[int], texts: list[str | None], words:
     for k in np.flatnonzero((np.diff(one) > 0) | (np.diff(two) > 0)).tolist():
         mine = slice(one[k], one[k + 1])
         at, counts = np.unique(who[mine], return_counts=True)
-        body = (at.astype(np.uint32), counts.astype(np.uint32), digests[at], single[mine].astype(np.uint32), shared[two[k] : two[k + 1]].astype(np.uint32))
+        body = (np.diff(at, prepend=0).astype(np.uint32), counts.astype(np.uint32), digests[at], single[mine].astype(np.uint32), shared[two[k] : two[k + 1]].astype(np.uint32))
         out.append((k, block, False, squeeze(body)))
-    whole = (np.array([rows[i] for i in first.values()], np.int64), np.array([majority(h) for h in hashes], np.uint64), np.array([len(x) for x in own], np.int64), inside)
+    whole = (np.array([rows[i] for i in first.values()], np.int64), prints, sizes, inside)
     out.append((block % n_ranges, block, True, squeeze(whole)))
     return messages(out)
 
@@ -441,7 +447,7 @@ def answered(table: pa.Table) -> pa.Table:
             asked.append((r["block"], *expand(r["body"])))
     if asked:
         slots = np.concatenate([x for _, _, _, _, one, two in asked for x in (one, two)])
-        texts = np.concatenate([x for _, _, n, d, _, two in asked for x in (np.repeat(d, n), np.zeros(len(two), np.uint64))])
+        texts = np.concatenate([x for _, _, n, d, _, two in asked for x in (np.repeat(d, n), np.zeros(len(two), np.uint32))])
         several = np.concatenate([x for *_, one, two in asked for x in (np.zeros(len(one), bool), np.ones(len(two), bool))])
         order = np.argsort(slots, kind="stable")
         starts = np.flatnonzero(np.concatenate([[True], slots[order][1:] != slots[order][:-1]]))
@@ -464,7 +470,7 @@ def added_up(table: pa.Table) -> pa.Table:
     common = common.copy()
     for whole, b in bodies:
         if not whole:
-            common[b[0]] += b[1]
+            common[np.cumsum(b[0])] += b[1]
     return pa.Table.from_arrays([pa.array(rows), pa.array(prints.view(np.int64)), pa.array(n), pa.array(common)], ["row", "fp", "n", "common"])
 
 
