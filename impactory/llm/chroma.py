@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import expand, load, materialize, small_batches, squeeze
+from .common import ascending, expand, from_ascending, load, materialize, small_batches, squeeze
 
 QUERY, BEAT, SPAN = 100, 4, 12
 #: Frames of the longest filter in a mark, neighbours in a mark.
@@ -192,15 +192,6 @@ MESSAGE = [("bucket", pa.int32()), ("asks", pa.bool_()), ("body", pa.binary())]
 MESSAGE_SQL = "bucket int, asks boolean, body binary"
 
 
-def planes(keys: np.ndarray) -> tuple[int, bytes]:
-    """Sorted keys as the bytes of their differences, the highest bytes of all first: most of those are zero."""
-    return len(keys), np.diff(keys, prepend=np.zeros(1, np.uint64)).view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def from_planes(n: int, body: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(8, n).T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
 def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
     """To each bucket of keys the marks of blocks of recordings: keys in order, rows, how often, and whether the row has fewer than LEAST."""
 
@@ -215,7 +206,7 @@ def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
         for k in np.flatnonzero(np.diff(at)).tolist():
             own, mine = np.unique(who[at[k] : at[k + 1]], return_inverse=True)
             named = np.array(rows, np.int64)[own]
-            out.append((k, asks, squeeze((planes(keys[at[k] : at[k + 1]]), mine.astype(np.uint32), times[at[k] : at[k + 1]].astype(np.uint32), named, few[own]))))
+            out.append((k, asks, squeeze((ascending(keys[at[k] : at[k + 1]]), mine.astype(np.uint32), times[at[k] : at[k + 1]].astype(np.uint32), named, few[own]))))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True) if out else ((), (), ()), MESSAGE, strict=True)], [n for n, _ in MESSAGE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +230,7 @@ def met(table: pa.Table) -> pa.Table:
     sides: dict[bool, list] = {False: [], True: []}
     for r in table.to_pylist():
         keys, who, times, rows, few = expand(r["body"])
-        sides[r["asks"]].append((from_planes(*keys), rows[who], times.astype(np.int64), few[who]))
+        sides[r["asks"]].append((from_ascending(*keys), rows[who], times.astype(np.int64), few[who]))
     out = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
     if sides[True] and sides[False]:
         keys, rows, times, few = (np.concatenate(x) for x in zip(*sides[True], strict=True))

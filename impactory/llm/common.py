@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zlib
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +74,25 @@ def expand(b: bytes) -> object:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(b))
 
 
+def planes(x: np.ndarray) -> tuple[str, bytes]:
+    """An array of numbers with the first bytes of all, then the second ones and so on: small numbers compress well."""
+    return x.dtype.str, x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def from_planes(kind: str, body: bytes) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def ascending(x: np.ndarray) -> tuple[str, bytes]:
+    """Sorted unsigned 64-bit numbers by their differences."""
+    return planes(np.diff(x, prepend=np.zeros(1, np.uint64)))
+
+
+def from_ascending(kind: str, body: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(kind, body), dtype=np.uint64)
+
+
 def fold(doc_id: int, n: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % n
 

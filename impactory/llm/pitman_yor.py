@@ -1,24 +1,32 @@
 """Language-model scores from a hierarchical Pitman-Yor process.
 
-Restaurants: one for each class of the two bytes before a word (CLASSES * CLASSES contexts at most),
-sharing a parent for each class of the last byte, and these a root over the uniform distribution on
-the V training words and one unknown. A restaurant's customers of a word are its counts (of the tables
-of its children, further up); how many tables they sit at is sampled by Gibbs: given the parent's
-probabilities and the restaurant's totals, the tables of each word are drawn anew in every sweep, for
-up to EXACT customers from the exact conditional by generalized Stirling numbers, and beyond that by
-seating the customers one after another (in steps of a fiftieth). Words of a restaurant depend on each
-other through its totals only, so every task seats a share of the words against totals of all tasks,
-which are summed up after each of ROUNDS rounds. Discounts come from counts of counts. The last round
-averages the predictive probabilities of SAMPLES seatings.
-
-Blocks of documents ask for the word and context pairs that they hold, once each, sent by word to the
-task that seats the word, together with their training counts; the answers are log probabilities. Both
-directions are shuffled as packed arrays, never one row per token, and grow with the input. Seatings
-are drawn from seeds of the bucket's number, so that a task run again gives the same.
-
-The end of a text is a token. Rows: null and empty texts are the end token alone; null ids count as the
-empty text for the folds; repeated rows are scored (and learnt) again; without training rows every
-token has probability 1 / (V + 1) with V = 0; an empty table gives no rows. Only doc_id and text are read.
+Restaurants: one for every pair of words that stands before a word (END before the first), however many
+pairs the texts hold; all share the root as their parent, whose own base is uniform over the V training
+words and one unknown. A restaurant's customers of a word are its training counts; the tables they sit
+at are the root's customers. Restaurants are dealt to buckets by a hash of the pair, whole.
+
+A bucket's seating is sampled by Gibbs: in each sweep the tables of each word are drawn given the others,
+from the exact conditional by generalized Stirling numbers for up to EXACT customers and by seating them
+one after another (in steps of a fiftieth) beyond that. Words of one restaurant depend on each other
+through its totals only and are drawn in PARTS groups, totals being renewed after each. After a sweep
+the discount and the strength are drawn from their conditionals over a grid. While it samples, a bucket's
+restaurants share a root of their own, seated from their tables in the same sweeps; the chain is never
+restarted. Its BURN first sweeps are dropped; over SAMPLES more the predictive probabilities are averaged.
+
+For predictions the buckets' tables meet in one root, dealt by word; its tables are drawn as often. A word's
+probability is a + b * p, where a and b come from its context's restaurant, with the totals of the same
+seating, and p from the root: over the vocabulary and the unknown they sum to one.
+
+Blocks of documents send their distinct (context, word) entries to the contexts' buckets, and their
+distinct words to the words'; both answer, and a block adds its documents up. All is sent as packed
+arrays, never a row per token, and grows with the input. Seatings are drawn from seeds of the bucket's
+number, so that a task run again gives the same. Contexts are told apart by 40 bits, words within one
+by 32; counts and known words go by 64.
+
+The end of a text is a token. Rows: null and empty texts are the end token alone; very long texts are a
+block of their own; null ids count as the empty text for the folds; repeated rows are scored (and learnt)
+again, all alike; without training rows every token has probability 1 / (V + 1) with V = 0; an empty
+table gives no rows. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -33,38 +41,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import expand, load, materialize, small_batches, squeeze
+from .common import ascending, discard, expand, from_ascending, from_planes, load, materialize, partitions_for, planes, small_batches, squeeze
 
-CLASSES = 64
-STRENGTH = (1.0, 1.0, 1.0)  # of the root, its children, their children
-EXACT, BURN, SAMPLES, ROUNDS, SEED = 24, 2, 4, 2, 20
-#: Characters of text in a block, about; a text is never divided.
-BLOCK_CHARS = 6_000_000
-BUCKETS_PER_PARTITION = 4
+EXACT, BURN, SAMPLES, PARTS, SEED = 24, 6, 4, 4, 20
+#: Grids of discounts and strengths, and the discount and strength to begin with.
+DISCOUNTS, STRENGTHS = np.linspace(0.05, 0.95, 19), np.exp(np.linspace(np.log(0.01), np.log(100), 25))
+FIRST = (float(DISCOUNTS[13]), float(STRENGTHS[12]))
+#: Characters of text in a block (a text is never divided) and in a shuffle partition, about, and buckets in the latter.
+BLOCK_CHARS, PARTITION_CHARS, BUCKETS_PER_PARTITION = 4_000_000, 16_000_000, 2
 END = b"\n"  # no word holds white space
+CONTEXT_BITS, WORD_BITS = 40, 32
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def context_of(words: list[bytes]) -> np.ndarray:
-    """The context that each word is for the next: classes of its last byte and of the one before."""
-    last = np.fromiter((w[-1] if w else 0 for w in words), np.int64, len(words)) % CLASSES
-    before = np.fromiter((w[-2] if len(w) > 1 else 0 for w in words), np.int64, len(words)) % CLASSES
-    return last * CLASSES + before
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * ODD
+    return x ^ (x >> np.uint64(29))
 
 
-@dataclass
-class Block:
-    """A block's distinct (word, context) pairs, ordered by bucket, word and context."""
-
-    hashes: np.ndarray  # of the words, in the order of their first pair
-    sizes: np.ndarray  # pairs of each word
-    contexts: np.ndarray
-    counts: np.ndarray  # in training documents
-    bucket_words: np.ndarray  # words of each bucket
-    tokens: np.ndarray  # pair of each token
-    lengths: np.ndarray  # tokens of each document
-
-
-def block_of(texts: list[str | None], held_out: np.ndarray, n_buckets: int) -> Block:
+def tokens_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words, the word of each token, and the tokens of each text."""
     import xxhash
 
     class Places(dict):
@@ -77,154 +73,166 @@ def block_of(texts: list[str | None], held_out: np.ndarray, n_buckets: int) -> B
     for text in texts:
         words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
         words.append(END)
-        ids.append(np.fromiter(map(places.__getitem__, words), np.int64, len(words)))
+        ids.append(np.fromiter(map(places.__getitem__, words), np.int32, len(words)))
         lengths.append(len(words))
-    lengths = np.array(lengths, np.int64)
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-    names = list(places)
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names), np.uint64, len(names))
-    after = context_of(names)
-    context = np.zeros(len(flat), np.int64)
-    context[1:] = after[flat[:-1]]
-    context[np.cumsum(lengths) - lengths] = 0
-    rank = np.argsort(np.lexsort((hashes, hashes % np.uint64(n_buckets))))  # by bucket, then hash
-    key, tokens = np.unique(rank[flat] * (CLASSES * CLASSES) + context, return_inverse=True)
-    word = key // (CLASSES * CLASSES)
-    counts = np.bincount(tokens[np.repeat(~held_out, lengths)], minlength=len(key)).astype(np.uint32)
-    ordered = np.empty_like(hashes)
-    ordered[rank] = hashes
-    return Block(ordered, np.bincount(word, minlength=len(names)).astype(np.uint32), (key % (CLASSES * CLASSES)).astype(np.uint16), counts, np.bincount((ordered % np.uint64(n_buckets)).astype(np.int64), minlength=n_buckets), tokens.astype(np.uint32), lengths)
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in places), np.uint64, len(places))
+    return hashes, np.concatenate(ids) if ids else np.zeros(0, np.int32), np.array(lengths, np.int64)
+
+
+def entries_of(hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (context, word) entries in the order of their contexts, and the entry of each token."""
+    own = hashes[ids]
+    one, two = np.zeros_like(own), np.zeros_like(own)
+    one[1:], two[2:] = own[:-1], own[:-2]
+    starts = np.cumsum(lengths) - lengths
+    one[starts] = two[starts] = 0
+    two[starts[lengths > 1] + 1] = 0
+    context = mixed(mixed(two) + one) >> np.uint64(64 - CONTEXT_BITS)
+    order = np.lexsort((ids, context))
+    context, word = context[order], ids[order]
+    first = np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])]) if len(ids) else np.zeros(0, bool)
+    of_token = np.empty(len(ids), np.int64)
+    of_token[order] = np.cumsum(first) - 1
+    return context[first], word[first], of_token
+
+
+def dealt(keys: np.ndarray, bits: int, n: int) -> np.ndarray:
+    """Where each bucket of sorted keys begins; and their number at the end."""
+    bucket = (keys >> np.uint64(bits - 32)) * np.uint64(n) >> np.uint64(32)
+    return np.searchsorted(bucket, np.arange(n + 1))
 
 
 def fold_of(ids: list[int | None]) -> np.ndarray:
     return np.array([zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1 for i in ids], bool)
 
 
-Read = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[int, list, np.ndarray, Block]]]
+MESSAGE = [("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("body", pa.binary())]
+MESSAGE_SQL = "kind int, bucket int, block long, body binary"
+#: What a message is about: words of a block, tables of a context's bucket; answers for entries and words; a block itself.
+WORDS, TABLES, ENTRY_ANSWER, WORD_ANSWER, BLOCK = range(5)
 
 
-def blocks(n_buckets: int) -> Read:
-    """Batches (doc_id, text) to blocks; the same ones whenever a task runs again."""
+def batch(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema, strict=True)], [n for n, _ in schema])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, np.ndarray, Block]]:
-        part, ids, texts, room, k = TaskContext.get().partitionId(), [], [], BLOCK_CHARS, 0
 
-        def done() -> tuple[int, list, np.ndarray, Block]:
-            held = fold_of(ids)
-            return (part << 32) | k, list(ids), held, block_of(texts, held, n_buckets)
+def by_block(messages_of: Callable) -> Callable:
+    """A function from batches (doc_id, text) to messages, given one from a block; the blocks are the same whenever a task runs again."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, ids, texts, room, k = TaskContext.get().partitionId() << 32, [], [], BLOCK_CHARS, 0
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids.append(doc_id)
                 texts.append(text)
                 room -= len(text or "")
                 if room <= 0:
-                    yield done()
-                    ids.clear()
-                    texts.clear()
-                    room, k = BLOCK_CHARS, k + 1
+                    yield batch(MESSAGE, messages_of(part | k, ids, texts))
+                    ids, texts, room, k = [], [], BLOCK_CHARS, k + 1
         if ids:
-            yield done()
+            yield batch(MESSAGE, messages_of(part | k, ids, texts))
 
     return run
 
 
-def batch(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema, strict=True)], [n for n, _ in schema])
+def small(x: np.ndarray) -> tuple[str, bytes]:
+    return planes(x.astype("<u4"))
 
 
-BODY = [("block", pa.int64()), ("bucket", pa.int32()), ("body", pa.binary())]
-BODY_SQL = "block long, bucket int, body binary"
+def ask_contexts(n: int) -> Callable:
+    """To each bucket of contexts: entries (context, 32 bits of the word) and their training counts."""
 
+    def messages(block: int, ids: list, texts: list) -> list[tuple]:
+        hashes, tokens, lengths = tokens_of(texts)
+        context, word, at = entries_of(hashes, tokens, lengths)
+        counts = np.bincount(at[np.repeat(~fold_of(ids), lengths)], minlength=len(context))
+        edge, short = dealt(context, CONTEXT_BITS, n), (hashes >> np.uint64(32)).astype("<u4")[word]
+        return [(WORDS, k, block, squeeze((ascending(context[edge[k] : edge[k + 1]]), short[edge[k] : edge[k + 1]], small(counts[edge[k] : edge[k + 1]])))) for k in np.flatnonzero(np.diff(edge)).tolist()]
 
-def requests(n_buckets: int):
-    """What each block asks of each bucket: hashes, pairs per word, contexts, counts."""
+    return by_block(messages)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _, _, b in blocks(n_buckets)(batches):
-            w = np.concatenate([[0], np.cumsum(b.bucket_words)])
-            p = np.concatenate([[0], np.cumsum(b.sizes, dtype=np.int64)])
-            rows = []
-            for k in np.flatnonzero(b.bucket_words).tolist():
-                s, pairs = slice(w[k], w[k + 1]), slice(p[w[k]], p[w[k + 1]])
-                rows.append((block, k, squeeze((b.hashes[s], b.sizes[s], b.contexts[pairs], b.counts[pairs]))))
-            yield batch(BODY, rows)
 
-    return run
+def ask_words(n: int) -> Callable:
+    """To each bucket of words: hashes, and their training counts."""
 
+    def messages(block: int, ids: list, texts: list) -> list[tuple]:
+        hashes, tokens, lengths = tokens_of(texts)
+        counts = np.bincount(tokens[np.repeat(~fold_of(ids), lengths)], minlength=len(hashes))
+        order = np.argsort(hashes)
+        hashes, counts = hashes[order], counts[order]
+        edge = dealt(hashes, 64, n)
+        return [(WORDS, k, block, squeeze((ascending(hashes[edge[k] : edge[k + 1]]), small(counts[edge[k] : edge[k + 1]])))) for k in np.flatnonzero(np.diff(edge)).tolist()]
 
-def structures(n_buckets: int):
-    """What it takes to add up a block's answers: ids, folds, and the pair of each token."""
+    return by_block(messages)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, ids, held, b in blocks(n_buckets)(batches):
-            yield batch(BODY, [(block, -1, squeeze((ids, held, b.lengths, b.sizes, b.tokens)))])
 
-    return run
+def describe() -> Callable:
+    """What it takes to add up a block's answers."""
 
+    def messages(block: int, ids: list, texts: list) -> list[tuple]:
+        hashes, tokens, lengths = tokens_of(texts)
+        return [(BLOCK, -1, block, squeeze((list(ids), hashes, planes(tokens), lengths)))]
 
-@dataclass
-class Totals:
-    """Of each restaurant: tables (level by level); and over all, for the discounts and the base."""
+    return by_block(messages)
 
-    tables: list[np.ndarray]  # root (1), last byte (CLASSES), two bytes (CLASSES * CLASSES)
-    customers: np.ndarray  # of the restaurants of two bytes
-    discounts: tuple[float, ...]
-    n: int
-    v: int
 
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """Of positive numbers, by Stirling's series."""
+    x = np.asarray(x, float)
+    small_ = x < 8
+    z = np.where(small_, x + 8, x)
+    out = (z - 0.5) * np.log(z) - z + 0.9189385332046727 + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
+    shift = np.ones_like(z)
+    for k in range(8):
+        shift = np.where(small_, shift * (x + k), shift)
+    return out - np.log(shift)
 
-class Bucket:
-    """The words of a bucket, all (word, context) pairs that anyone asks for, and their seating."""
-
-    def __init__(self, bodies: list[tuple]):
-        hashes = np.concatenate([b[0] for b in bodies])
-        self.names, at = np.unique(hashes, return_inverse=True)
-        sizes = np.concatenate([b[1] for b in bodies])
-        contexts = np.concatenate([b[2] for b in bodies]).astype(np.int64)
-        counts = np.concatenate([b[3] for b in bodies]).astype(np.int64)
-        self.asked_words, word = at, np.repeat(at, sizes)
-        key, self.asked = np.unique(word * (CLASSES * CLASSES) + contexts, return_inverse=True)
-        self.word2, self.context2 = key // (CLASSES * CLASSES), key % (CLASSES * CLASSES)
-        self.count2 = np.bincount(self.asked, counts, len(key)).astype(np.int64)
-        key1, self.up2 = np.unique(key // CLASSES, return_inverse=True)  # (word, last byte)
-        self.word1, self.context1 = key1 // CLASSES, key1 % CLASSES
-        self.count0 = np.bincount(self.word2, self.count2, len(self.names)).astype(np.int64)
-        self.seat(lambda level, c, *_: np.minimum(c, 1))
-
-    def seat(self, draw) -> None:
-        """Tables of each level from the customers, bottom up."""
-        self.t2 = draw(2, self.count2)
-        self.c1 = np.bincount(self.up2, self.t2, len(self.word1)).astype(np.int64)
-        self.t1 = draw(1, self.c1)
-        self.c0 = np.bincount(self.word1, self.t1, len(self.names)).astype(np.int64)
-        self.t0 = draw(0, self.c0)
-
-    def tables(self) -> list[np.ndarray]:
-        return [np.array([self.t0.sum()], float), np.bincount(self.context1, self.t1, CLASSES), np.bincount(self.context2, self.t2, CLASSES * CLASSES)]
-
-    def predict(self, x: Totals) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probabilities of the words in the root, in their restaurants of a last byte, and of two bytes."""
-        (t0,), t1, t2 = x.tables
-        d0, d1, d2 = x.discounts
-        below1, below0 = t2.reshape(CLASSES, CLASSES).sum(axis=1), t1.sum()
-        p0 = (np.maximum(self.c0 - d0 * self.t0, 0) + (STRENGTH[0] + d0 * t0) / (x.v + 1)) / (STRENGTH[0] + below0)
-        p1 = (np.maximum(self.c1 - d1 * self.t1, 0) + (STRENGTH[1] + d1 * t1[self.context1]) * p0[self.word1]) / (STRENGTH[1] + below1[self.context1])
-        p2 = (np.maximum(self.count2 - d2 * self.t2, 0) + (STRENGTH[2] + d2 * t2[self.context2]) * p1[self.up2]) / (STRENGTH[2] + x.customers[self.context2])
-        return p0, p1, p2
-
-    def sweep(self, x: Totals, rng: np.random.Generator) -> None:
-        p0, p1, _ = self.predict(x)
-        above = (np.full(len(self.names), 1 / (x.v + 1)), p0[self.word1], p1[self.up2])
-        sums = (np.full(len(self.names), x.tables[0][0]), x.tables[1][self.context1], x.tables[2][self.context2])
-        now = (self.t0, self.t1, self.t2)
-
-        def draw(level: int, c: np.ndarray) -> np.ndarray:
-            others = np.maximum(sums[level] - now[level], 0)
-            return draw_tables(c, others, above[level], x.discounts[level], STRENGTH[level], rng)
-
-        self.seat(draw)
+
+#: Customers and tables up to which logarithms of Stirling numbers are kept; beyond that their asymptotic form is taken.
+MOST_CUSTOMERS, MOST_TABLES = 256, 64
+_LOGS: list[np.ndarray] = []
+
+
+def log_stirling_grid() -> np.ndarray:
+    """(discount, customers, tables) of logarithms of generalized Stirling numbers, for the grid of discounts."""
+    if not _LOGS:
+        out = np.full((len(DISCOUNTS), MOST_CUSTOMERS + 1, MOST_TABLES + 1), -np.inf)
+        out[:, 1, 1] = 0
+        t = np.arange(MOST_TABLES + 1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for n in range(1, MOST_CUSTOMERS):
+                grow = np.log(np.maximum(n - DISCOUNTS[:, None] * t, 0)) + out[:, n]
+                grow[:, 1:] = np.logaddexp(grow[:, 1:], out[:, n, :-1])
+                out[:, n + 1] = np.where(t > n + 1, -np.inf, grow)
+        _LOGS.append(out)
+    return _LOGS[0]
+
+
+def log_stirling(c: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """(discount, ...) for customers and tables of the grid's discounts."""
+    table = log_stirling_grid()
+    out = table[:, np.minimum(c, MOST_CUSTOMERS), np.minimum(t, MOST_TABLES)]
+    far = np.flatnonzero((c > MOST_CUSTOMERS) | (t > MOST_TABLES))
+    d = DISCOUNTS[:, None]
+    out[:, far] = log_gamma(c[far]) - d * np.log(c[far]) - log_gamma(1 - d) - (t[far] - 1) * np.log(d) - log_gamma(t[far])
+    return out
+
+
+def draw_strengths(customers: np.ndarray, tables: np.ndarray, c: np.ndarray, t: np.ndarray, strength: float, rng: np.random.Generator) -> tuple[float, float]:
+    """A discount and a strength from their conditionals on the grid, given restaurants' totals and the counts of their words."""
+    rooms, many = np.unique(np.stack([customers, tables]), axis=1, return_counts=True)
+    cells, times = np.unique(np.stack([c, t]), axis=1, return_counts=True)
+
+    def draw(logs: np.ndarray, grid: np.ndarray) -> float:
+        return float(grid[np.argmax(logs + rng.gumbel(size=len(grid)))])
+
+    def seats(d: np.ndarray, s: np.ndarray) -> np.ndarray:
+        n, k = rooms.astype(float)
+        return ((k * np.log(d) + log_gamma(s / d + k) - log_gamma(s / d) - log_gamma(s + n) + log_gamma(s)) * many).sum(axis=1)
+
+    d = draw(seats(DISCOUNTS[:, None], np.array(strength)) + (log_stirling(*cells) * times).sum(axis=1), DISCOUNTS)
+    return d, draw(seats(np.array(d), STRENGTHS[:, None]), STRENGTHS)
 
 
 _STIRLING: dict[float, np.ndarray] = {}
@@ -264,104 +272,235 @@ def draw_tables(c: np.ndarray, others: np.ndarray, above: np.ndarray, d: float,
     return t
 
 
-def seated(bodies: list, number: int, x: Totals | None) -> tuple[Bucket, np.random.Generator]:
-    """A bucket after BURN sweeps (none without totals)."""
-    bucket, rng = Bucket(bodies), np.random.default_rng([SEED, number])
-    for _ in range(BURN if x else 0):
-        bucket.sweep(x, rng)
-    return bucket, rng
+class Restaurants:
+    """A bucket's contexts and their words, the seating of their customers, and the root that they share while it is sampled."""
+
+    def __init__(self, context: np.ndarray, word: np.ndarray, count: np.ndarray, rng: np.random.Generator):
+        order = np.lexsort((word, context))
+        context, word = context[order], word[order]
+        first = np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])])
+        self.asked = np.empty(len(order), np.int64)
+        self.asked[order] = np.cumsum(first) - 1
+        self.c = np.add.reduceat(count[order], np.flatnonzero(first))
+        self.room = np.cumsum(np.concatenate([[True], (lambda x: x[1:] != x[:-1])(context[first])])) - 1
+        self.words, self.word = np.unique(word[first], return_inverse=True)
+        self.customers = np.bincount(self.room, self.c).astype(np.int64)
+        self.rng, self.t = rng, np.minimum(self.c, 1)
+        self.shared, (self.d, self.strength), (self.d0, self.strength0) = self.up(), FIRST, FIRST
+        self.tables0 = np.minimum(self.shared, 1)
+        self.several = np.flatnonzero(self.c > 1)
+
+    def up(self) -> np.ndarray:
+        return np.bincount(self.word, self.t, len(self.words)).astype(np.int64)
+
+    def tables(self) -> np.ndarray:
+        return np.bincount(self.room, self.t, len(self.customers)).astype(np.int64)
+
+    def sweep(self) -> None:
+        v = max(1, len(self.words))
+        for k in range(PARTS):
+            at = self.several[k::PARTS]
+            if len(at):
+                p = (np.maximum(self.shared - self.d0 * self.tables0, 0) + (self.strength0 + self.d0 * self.tables0.sum()) / v) / (self.strength0 + self.shared.sum())
+                others = self.tables()[self.room[at]] - self.t[at]
+                self.t[at] = draw_tables(self.c[at], others, p[self.word[at]], self.d, self.strength, self.rng)
+                self.shared = self.up()
+                self.tables0 = np.minimum(np.maximum(self.tables0, self.shared > 0), self.shared)
+        self.tables0 = draw_tables(self.shared, self.tables0.sum() - self.tables0, np.full(len(self.words), 1 / v), self.d0, self.strength0, self.rng)
+        seen, known = self.c > 0, self.customers > 0
+        if seen.any():
+            self.d, self.strength = draw_strengths(self.customers[known], self.tables()[known], self.c[seen], self.t[seen], self.strength, self.rng)
+            full = self.shared > 0
+            self.d0, self.strength0 = draw_strengths(self.shared.sum()[None], self.tables0.sum()[None], self.shared[full], self.tables0[full], self.strength0, self.rng)
+
+    def log_seating(self) -> float:
+        """Of the seating given discount and strength, but for the root's part: what a trace of the chain shows."""
+        at = int(np.argmin(np.abs(DISCOUNTS - self.d)))
+        seen, known = self.c > 0, self.customers > 0
+        n, k = self.customers[known].astype(float), self.tables()[known].astype(float)
+        rooms = k * np.log(self.d) + log_gamma(self.strength / self.d + k) - log_gamma(self.strength / self.d) - log_gamma(self.strength + n) + log_gamma(self.strength)
+        return float(rooms.sum() + log_stirling(self.c[seen], self.t[seen])[at].sum())
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each entry: its own part of the probability, and the weight of the root's."""
+        below = (self.strength + self.customers)[self.room]
+        return np.maximum(self.c - self.d * self.t, 0) / below, ((self.strength + self.d * self.tables()) / (self.strength + self.customers))[self.room]
+
+
+def seated(table: pa.Table) -> pa.Table:
+    """A bucket of contexts: answers to each block's entries, and the tables of each word for the words' buckets (dealt out later)."""
+    rows = sorted(table.select(["bucket", "block", "body"]).to_pylist(), key=lambda r: r["block"])
+    asked = [expand(r["body"]) for r in rows]
+    context = np.concatenate([from_ascending(*a[0]) for a in asked])
+    word, count = np.concatenate([a[1] for a in asked]), np.concatenate([from_planes(*a[2]) for a in asked]).astype(np.int64)
+    sizes = [len(a[1]) for a in asked]
+    del asked
+    number = rows[0]["bucket"]
+    x = Restaurants(context, word, count, np.random.default_rng([SEED, number]))
+    own, rest = np.zeros(len(x.c)), np.zeros(len(x.c))
+    for k in range(BURN + SAMPLES):
+        x.sweep()
+        if k >= BURN:
+            a, b = x.predict()
+            own += a / SAMPLES
+            rest += b / SAMPLES
+    out, lo = [], 0
+    for r, n in zip(rows, sizes, strict=True):
+        at = x.asked[lo : lo + n]
+        out.append((ENTRY_ANSWER, number, r["block"], squeeze((planes(own[at].astype("<f4")), planes(rest[at].astype("<f4"))))))
+        lo += n
+    full = x.shared > 0
+    out.append((TABLES, number, -1 - number, squeeze((x.words[full], small(x.shared[full])))))
+    return pa.Table.from_batches([batch(MESSAGE, out)])
+
+
+def spread(n: int) -> Callable:
+    """The tables of words from the contexts' buckets, dealt out to the words' buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block, body in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                words, tables = expand(body)
+                tables = from_planes(*tables)
+                edge = dealt(words.astype(np.uint64), WORD_BITS, n)
+                yield batch(MESSAGE, [(TABLES, k, block, squeeze((words[edge[k] : edge[k + 1]], small(tables[edge[k] : edge[k + 1]])))) for k in np.flatnonzero(np.diff(edge)).tolist()])
+
+    return run
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list]]:
-    """(bucket, blocks, requests) of each row of the written table."""
-    for b in batches:
-        for i in range(b.num_rows):
-            asked = sorted(b.column(1)[i].as_py(), key=lambda r: r["block"])
-            yield b.column(0)[i].as_py(), [r["block"] for r in asked], [expand(r["body"]) for r in asked]
+TOLD = [("bucket", pa.int32()), ("n", pa.int64()), ("v", pa.int64()), ("customers", pa.int64()), ("full", pa.int64()), ("ones", pa.int64()), ("twos", pa.int64()), ("body", pa.binary())]
+TOLD_SQL = "bucket int, n long, v long, customers long, full long, ones long, twos long, body binary"
+
+
+def gathered(table: pa.Table) -> pa.Table:
+    """A bucket of words: their counts, their customers in the root, and who asks for them; with sums over them."""
+    asks, tables = [], []
+    for r in sorted(table.to_pylist(), key=lambda r: (r["kind"], r["block"])):
+        body = expand(r["body"])
+        if r["kind"] == WORDS:
+            asks.append((r["block"], from_ascending(*body[0]), from_planes(*body[1])))
+        else:
+            tables.append((body[0], from_planes(*body[1])))
+    names, at = np.unique(np.concatenate([a[1] for a in asks]), return_inverse=True)
+    count = np.bincount(at, np.concatenate([a[2] for a in asks]), len(names)).astype(np.int64)
+    short, root = np.unique((names >> np.uint64(32)).astype("<u4"), return_inverse=True)
+    customers = np.zeros(len(short), np.int64)
+    for words, n in tables:
+        np.add.at(customers, np.searchsorted(short, words), n)
+    lo, who = 0, []
+    for block, words, _ in asks:
+        who.append((block, planes(at[lo : lo + len(words)].astype("<u4"))))
+        lo += len(words)
+    body = squeeze((small(count), planes(root.astype("<u4")), small(customers), who))
+    sums = (int(count.sum()), int((count > 0).sum()), int(customers.sum()), int((customers > 0).sum()), int((customers == 1).sum()), int((customers == 2).sum()))
+    return pa.Table.from_batches([batch(TOLD, [(table.column("bucket")[0].as_py(), *sums, body)])])
 
 
-def counted(x: Totals | None):
-    """Sums over a task's buckets, a row for each place: tables, customers, counts of counts, tokens, words."""
+@dataclass
+class Root:
+    """Over all words: training tokens and words, the root's customers, words that have any, the discount; and the tables of each seating."""
 
+    n: int
+    v: int
+    customers: int
+    full: int
+    discount: float
+    strength: float = 1.0
+    tables: tuple[int, ...] = ()
+
+    def seatings(self, number: int, customers: np.ndarray) -> Iterator[np.ndarray]:
+        """A bucket's tables in each of SAMPLES seatings; the same whenever they are drawn."""
+        rng, t = np.random.default_rng([SEED, 1, number]), np.minimum(customers, 1)
+        for k in range(2 + SAMPLES):
+            rest = np.maximum(self.full + t.sum() - (customers > 0).sum() - t, 0)  # the other buckets as they begin
+            t = draw_tables(customers, rest, np.full(len(t), 1 / (self.v + 1)), self.discount, self.strength, rng)
+            if k >= 2:
+                yield t
+
+    def predict(self, number: int, customers: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(customers))
+        for t, total in zip(self.seatings(number, customers), self.tables, strict=True):
+            out += (np.maximum(customers - self.discount * t, 0) + (self.strength + self.discount * total) / (self.v + 1)) / (self.strength + self.customers)
+        return out / SAMPLES
+
+
+def root_tables(x: Root) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for number, _, bodies in rows_of(batches):
-            b, _ = seated(bodies, number, x)
-            ones = [float((c == k).sum()) for c in (b.c0, b.c1, b.count2) for k in (1, 2)]
-            sums = np.concatenate([*b.tables(), np.bincount(b.context2, b.count2, CLASSES * CLASSES), ones, [b.count2.sum(), (b.count0 > 0).sum()]])
-            total = sums if total is None else total + sums
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total.astype(np.int64))], ["place", "n"])
+        for b in batches:
+            for number, body in zip(b.column(0).to_pylist(), b.column(7).to_pylist(), strict=True):
+                sums = [int(t.sum()) for t in x.seatings(number, from_planes(*expand(body)[2]).astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(SAMPLES, dtype=np.int32)), pa.array(sums, pa.int64())], ["k", "tables"])
 
     return run
 
 
-def answers(x: Totals):
-    """To each block: the log10 probabilities of its pairs, and the counts of its words."""
+def answer_words(x: Root) -> Callable:
+    """To each block: counts and root probabilities of its words. Words that one hash of 32 bits stands for share its probability."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, to, bodies in rows_of(batches):
-            b, rng = seated(bodies, number, x)
-            mean = np.zeros(len(b.word2))
-            for _ in range(SAMPLES):
-                b.sweep(x, rng)
-                mean += b.predict(x)[2] / SAMPLES
-            logs = np.log10(mean).astype(np.float32)[b.asked]
-            counts = b.count0[b.asked_words]
-            p, w, rows = 0, 0, []
-            for block, body in zip(to, bodies, strict=True):
-                n_words, n_pairs = len(body[0]), len(body[2])
-                rows.append((block, number, squeeze((counts[w : w + n_words], logs[p : p + n_pairs]))))
-                w, p = w + n_words, p + n_pairs
-            yield batch(BODY, rows)
+        for b in batches:
+            for number, body in zip(b.column(0).to_pylist(), b.column(7).to_pylist(), strict=True):
+                count, root, customers, who = expand(body)
+                count, root = from_planes(*count), from_planes(*root).astype(np.int64)
+                alike = np.maximum(np.bincount(root, count > 0), 1)
+                p = (x.predict(number, from_planes(*customers).astype(np.int64)) / alike)[root]
+                out = []
+                for block, at in who:
+                    at = from_planes(*at)
+                    out.append((WORD_ANSWER, number, block, squeeze((small(count[at]), planes(p[at].astype("<f4"))))))
+                yield batch(MESSAGE, out)
 
     return run
 
 
 SCORES = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
+SCORES_SQL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def added(x: Totals):
-    """A block's structure and the answers of all buckets to a row per document."""
+def added(x: Root) -> Callable:
+    """A block and the answers of all buckets to a row per document."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(table.column("bucket").to_pylist(), table.column("body").to_pylist(), strict=True))
-        ids, held, lengths, sizes, tokens = expand(rows[0][1])
-        got = [expand(body) for _, body in rows[1:]]
-        counts = np.repeat(np.concatenate([g[0] for g in got]), sizes)[tokens]
-        logs = np.concatenate([g[1] for g in got]).astype(float)[tokens]
+        rows = sorted(table.select(["kind", "bucket", "body"]).to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
+        ids, hashes, tokens, lengths = expand(rows[-1]["body"])
+        tokens = from_planes(*tokens)
+        _, word, at = entries_of(hashes, tokens, lengths)
+        got = {k: [expand(r["body"]) for r in rows if r["kind"] == k] for k in (ENTRY_ANSWER, WORD_ANSWER)}
+        own, rest = (np.concatenate([from_planes(*g[i]) for g in got[ENTRY_ANSWER]]) for i in range(2))
+        count, p = np.zeros(len(hashes)), np.zeros(len(hashes))
+        order = np.argsort(hashes)
+        count[order], p[order] = (np.concatenate([from_planes(*g[i]) for g in got[WORD_ANSWER]]) for i in range(2))
+        logs = np.log10(own.astype(float) + rest * p[word])[at]
+        known = count[tokens]
         starts = np.cumsum(lengths) - lengths
-        base = np.log10((counts + 0.5) / (x.n + 0.5 * (x.v + 1)))
-        sums = [np.add.reduceat(a, starts) for a in ((counts > 0).astype(np.int64), base, logs)]
-        return pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip((ids, held, lengths, sums[0], np.full(len(ids), x.n), sums[1], sums[2]), SCORES, strict=True)], [n for n, _ in SCORES])
+        base = np.log10((known + 0.5) / (x.n + 0.5 * (x.v + 1)))
+        sums = [np.add.reduceat(a, starts) for a in ((known > 0).astype(np.int64), base, logs)]
+        return pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip((ids, fold_of(ids), lengths, sums[0], np.full(len(ids), x.n), sums[1], sums[2]), SCORES, strict=True)], [n for n, _ in SCORES])
 
     return run
 
 
-def totals(table: DataFrame, x: Totals | None) -> Totals:
-    """Sums over all buckets; a row of numbers for each restaurant comes to the driver, whatever the input."""
-    zero = np.zeros(1 + CLASSES + 2 * CLASSES * CLASSES + 8)
-    for r in table.mapInArrow(counted(x), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
-        zero[r["place"]] = r["n"]
-    at = np.cumsum([1, CLASSES, CLASSES * CLASSES, CLASSES * CLASSES, 6])
-    t0, t1, t2, customers, ones, rest = np.split(zero, at)
-    d = tuple(round(float(np.clip(a / (a + 2 * b) if a + b else 0.5, 0.05, 0.95)), 6) for a, b in ones.reshape(3, 2))
-    return Totals([t0, t1, t2], customers, x.discounts if x else d, int(rest[0]), int(rest[1]))
-
-
 def score(docs: DataFrame) -> DataFrame:
     """Documents (doc_id, text) to held_out, n_tokens, n_known, train_tokens, base_score and score."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    n = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    asked = rows.mapInArrow(requests(n), BODY_SQL).groupBy("bucket").agg(F.collect_list(F.struct("block", "body")).alias("asked"))
-    table = materialize(asked, "requests")
-    x = totals(table, None)
-    for _ in range(ROUNDS):
-        x = totals(table, x)
-    both = rows.mapInArrow(structures(n), BODY_SQL).union(table.mapInArrow(answers(x), BODY_SQL))
-    return both.groupBy("block").applyInArrow(added(x), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    parts = partitions_for(rows, PARTITION_CHARS)
+    n = parts * BUCKETS_PER_PARTITION
+    contexts = rows.mapInArrow(ask_contexts(n), MESSAGE_SQL).repartition(parts, "bucket").groupBy("bucket").applyInArrow(seated, MESSAGE_SQL)
+    contexts = materialize(contexts, "contexts")
+    words = rows.mapInArrow(ask_words(n), MESSAGE_SQL).union(contexts.where(F.col("kind") == TABLES).mapInArrow(spread(n), MESSAGE_SQL))
+    words = materialize(words.repartition(parts, "bucket").groupBy("bucket").applyInArrow(gathered, TOLD_SQL), "words")
+    t = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "customers", "full", "ones", "twos"))).first()
+    d = t["ones"] / (t["ones"] + 2 * t["twos"]) if t["ones"] + t["twos"] else 0.5
+    root = Root(t["n"], t["v"], t["customers"], t["full"], float(DISCOUNTS[np.argmin(np.abs(DISCOUNTS - d))]))
+    sums = words.mapInArrow(root_tables(root), "k int, tables long").groupBy("k").agg(F.sum("tables").alias("tables")).collect()  # SAMPLES rows
+    root.tables = tuple(r["tables"] for r in sorted(sums)) or (0,) * SAMPLES
+    # The documents come first in a union, so that tasks, and so blocks, have the same numbers in every pass.
+    told = rows.mapInArrow(describe(), MESSAGE_SQL).union(contexts.where(F.col("kind") == ENTRY_ANSWER)).union(words.mapInArrow(answer_words(root), MESSAGE_SQL))
+    out = materialize(told.repartition(parts, "block").groupBy("block").applyInArrow(added(root), SCORES_SQL), "scores")
+    for table in (contexts, words):
+        discard(table)
+    return out
 
 
 def op3_pitman_yor(spark, sf_dir: str) -> DataFrame:
