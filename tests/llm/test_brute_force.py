@@ -6,8 +6,10 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import xxhash
@@ -67,6 +69,16 @@ def test_encoders_agree_with_the_library(texts):
         assert np.frombuffer(ids, enc.dtype).tolist() == want and enc.decode(ids) == tok.decode(want, skip_special_tokens=False)
 
 
+def test_word_encoder_on_every_code_point():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, enc = Tokenizer.from_file(path), chunk_bpe.WordEncoder(path)
+    shapes = ["{}", "{}.", "a{},", "{}b.", "a{}b!!", "{}{}?", "{}'s", "1{};", "é{}."]
+    for lo in range(0x21, 0x3000, 1024):
+        some = [s.replace("{}", chr(c)) for c in range(lo, min(lo + 1024, 0x3000)) for s in shapes]
+        for t, e in zip(some, tok.encode_batch(some, add_special_tokens=False), strict=True):
+            assert np.frombuffer(enc.encode(t), enc.dtype).tolist() == e.ids, t
+
+
 def test_chunks_are_shared_and_whole(texts):
     passage = " ".join(list(texts.values())[:6])
     a, b = "one beginning " + passage, "another, and longer, beginning " + passage
@@ -104,30 +116,67 @@ def test_scores_of_the_language_model(spark, texts):
 
 
 def test_predictive_probabilities_sum_to_one():
-    """Over all words and the unknown one, in every restaurant."""
-    texts = ["a b a c", "a b b a", "c a b", "b b"]
-    held = np.zeros(len(texts), bool)
-    b = pitman_yor.block_of(texts, held, 1)
-    names, n = b.hashes, len(b.hashes)
-    contexts = np.unique(b.contexts)
-    sizes = np.full(n, len(contexts), np.uint32)
-    counts = np.zeros((n, len(contexts)), np.uint32)
-    word = np.repeat(np.arange(n), b.sizes)
-    counts[word, np.searchsorted(contexts, b.contexts)] = b.counts
-    bucket = pitman_yor.Bucket([(names, sizes, np.tile(contexts, n), counts.ravel())])
-    x = pitman_yor.Totals(bucket.tables(), np.bincount(bucket.context2, bucket.count2, 64 * 64), (0.5, 0.5, 0.5), int(counts.sum()), n)
-    for _ in range(3):
-        bucket.sweep(x, np.random.default_rng(1))
-        x.tables = bucket.tables()
-        p0, _, p2 = bucket.predict(x)
-        (t0,), t1, t2 = x.tables
-        unknown0 = (1 + 0.5 * t0) / (n + 1) / (1 + t1.sum())
-        assert p0.sum() + unknown0 == pytest.approx(1)
-        below = t2.reshape(64, 64).sum(axis=1)
-        for k in contexts:
-            up = (1 + 0.5 * t1[k // 64]) * unknown0 / (1 + below[k // 64])
-            unknown2 = (1 + 0.5 * t2[k]) * up / (1 + x.customers[k])
-            assert p2[bucket.context2 == k].sum() + unknown2 == pytest.approx(1)
+    """Over all words and the unknown one, after every context and at the root, by the functions that the query runs in its buckets."""
+    texts = ["a b a c", "a b b a", "c a b", "b b", "a b a c a b a"]
+    hashes, tokens, lengths = pitman_yor.tokens_of(texts)
+    context, word, at = pitman_yor.entries_of(hashes, tokens, lengths)
+    held = np.array([False] * 4 + [True])
+    counts = np.bincount(at[np.repeat(~held, lengths)], minlength=len(context))
+    short = (hashes >> np.uint64(32)).astype("<u4")
+    every = np.unique(context)  # each context asks for every word
+    full = np.zeros((len(every), len(hashes)), np.int64)
+    full[np.searchsorted(every, context), word] = counts
+
+    def message(kind, bucket, block, body):
+        return (kind, bucket, block, pitman_yor.squeeze(body))
+
+    asked = (pitman_yor.ascending(np.repeat(every, len(hashes))), np.tile(short, len(every)), pitman_yor.small(full.ravel()))
+    told = pitman_yor.seated(pa.Table.from_batches([pitman_yor.batch(pitman_yor.MESSAGE, [message(pitman_yor.WORDS, 0, 7, asked)])])).to_pylist()
+    own, rest = (pitman_yor.from_planes(*x).reshape(full.shape) for x in pitman_yor.expand(told[0]["body"]))
+    order = np.argsort(hashes)
+    train = np.bincount(tokens[np.repeat(~held, lengths)], minlength=len(hashes))
+    ask = message(pitman_yor.WORDS, 0, 7, (pitman_yor.ascending(hashes[order]), pitman_yor.small(train[order])))
+    tables = (pitman_yor.TABLES, 0, -1, told[1]["body"])
+    r = pitman_yor.gathered(pa.Table.from_batches([pitman_yor.batch(pitman_yor.MESSAGE, [ask, tables])])).to_pylist()[0]
+    root = pitman_yor.Root(r["n"], r["v"], r["customers"], r["full"], 0.5)
+    customers = pitman_yor.from_planes(*pitman_yor.expand(r["body"])[2]).astype(np.int64)
+    root.tables = tuple(int(t.sum()) for t in root.seatings(0, customers))
+    row = [pa.record_batch({c: [r[c]] for c, _ in pitman_yor.TOLD})]
+    p = pitman_yor.from_planes(*pitman_yor.expand(next(pitman_yor.answer_words(root)(iter(row))).column(3)[0].as_py())[1]).astype(float)
+    known = train[order] > 0
+    unknown = np.mean([(root.strength + root.discount * t) / (root.v + 1) / (root.strength + root.customers) for t in root.tables])
+    assert r["n"] == train.sum() and r["v"] == known.sum() and p[known].sum() + unknown == pytest.approx(1, abs=1e-6)
+    for k in range(len(every)):
+        sums = (own[k][order] + rest[k][order] * p)[known].sum() + rest[k][0] * unknown
+        assert sums == pytest.approx(1, abs=1e-6)
+
+
+def test_generalized_stirling_numbers():
+    """Against the recursion in plain numbers, and the asymptotic form against the table near its end."""
+    d, s = pitman_yor.DISCOUNTS[9], {(1, 1): 1.0}
+    for n in range(1, 40):
+        for t in range(1, n + 2):
+            s[n + 1, t] = s.get((n, t - 1), 0) + (n - d * t) * s.get((n, t), 0)
+    c, t = np.array([c for c, _ in s]), np.array([t for _, t in s])
+    assert pitman_yor.log_stirling(c, t)[9] == pytest.approx(np.log(list(s.values())), rel=1e-9)
+    near, far = pitman_yor.log_stirling(np.array([256, 257]), np.array([2, 2]))[9]
+    assert far - near == pytest.approx(np.log(256 - d), abs=0.05)
+
+
+def test_language_model_knows_a_text_that_it_has_learnt(spark):
+    """A held-out copy of a training text is likelier than other held-out texts, and so is a training text that occurs twice."""
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(200)]
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1]
+    train = [i for i in range(200) if i not in held]
+    for k in range(10):
+        texts[held[k]] = texts[train[k]]
+        texts[train[20 + k]] = texts[train[40 + k]]
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in pitman_yor.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert min(got[i] for i in held[:10]) > max(got[i] for i in held[10:])
+    twice = [got[i] for i in train[20:30]]
+    assert np.median(twice) > np.percentile([got[i] for i in train[60:]], 95)
 
 
 def _print(text):
@@ -188,6 +237,50 @@ def test_near_duplicate_stage(spark):
     assert kept == set(range(30))
 
 
+def _groups(rows):
+    """The first row of each row's group, all pairs of texts compared by their five-word shingles."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in rows]
+    first = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j]) if first[i] != first[j] else 0
+            if both and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((first[i], first[j]))
+                first = [a if x == b else x for x in first]
+    return first
+
+
+def test_near_duplicates_of_large_groups(spark, monkeypatch):
+    """Against all pairs: copies near one base but not near each other, unlike texts around one passage, a chain; small blocks, few pairs listed."""
+    rng = np.random.default_rng(13)
+    words = np.array([f"w{i}" for i in range(5000)])
+    base, passage = rng.choice(words, 100), rng.choice(words, 60)
+    rows = [base.copy() for _ in range(150)]
+    for r in rows[1:]:  # two words changed: 10 of 96 shingles, so 0.81 to the base and less to most others
+        r[rng.choice(np.arange(5, 95), 2, replace=False)] = rng.choice(words, 2)
+    rows += [np.concatenate([rng.choice(words, 8), passage, rng.choice(words, 8)]) for _ in range(150)]
+    chain = rng.choice(words, 80)
+    for _ in range(30):
+        chain = np.concatenate([chain[3:], rng.choice(words, 3)])
+        rows.append(chain)
+    rows = [list(map(str, rows[i])) for i in rng.permutation(len(rows))]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string").coalesce(1)
+    for listed, block in ((64, 1024), (8, 40)):
+        monkeypatch.setattr(simhash, "LISTED", listed)
+        monkeypatch.setattr(simhash, "BLOCK_ROWS", block)
+        assert {r["doc_id"] for r in simhash.keep_one(spark, df, "").collect()} == set(_groups(rows))
+
+
+def test_near_duplicates_leave_no_table_behind(spark):
+    from impactory.llm.common import shared_dir
+
+    where = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(where.iterdir())
+    df = spark.createDataFrame([(i, f"one two three four five six {i // 2}") for i in range(10)], "doc_id long, text string").coalesce(1)
+    assert simhash.keep_one(spark, df, "").count() == 5
+    assert [p.name.split("-")[0] for p in set(where.iterdir()) - before] == ["similar"]  # the ids of the rows that go
+
+
 def test_near_duplicates_of_short_texts_and_common_passages(spark):
     """Against all pairs: a word appended or changed, and unlike texts around one passage."""
     rng = np.random.default_rng(11)
@@ -275,6 +368,13 @@ def test_languages_on_held_out_rows(spark, docs):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_texts_without_a_letter_have_no_language(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, "½ ² ① Ⅷ 12 --", "en"), (4, "", "en"), (5, None, "en"), (6, "m²", "en"), (7, "_ \u0301", "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["p"]["lang_pred"] for r in df.select("doc_id", language_id.identify(df, F.col("text"), language_id.fit(df)).alias("p")).collect()}
+    assert {k for k, v in got.items() if v == "und"} == {3, 4, 5, 7} and got[1] == "en" and got[2] == "fr"
+
+
 def test_quality_on_held_out_rows(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = line_quality.op6_quality(spark, SF).where("held_out").join(labels, "doc_id").collect()
