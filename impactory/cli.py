@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import argparse
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.fixpoint import save
+from .functions.fixpoint import drop, save
 from .functions.graph import CitationGraph, graph_of, parse
 from .operators import classes, rankings, topics
 from .sources import tsv
@@ -46,53 +47,78 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--top", type=int, default=3)
     p.add_argument("--min-confidence", type=float)
     p.add_argument("--drop-null-pids", action="store_true")
+    p.add_argument("--scores-folder", default="bip-db", help="folder of the citation impact files below the output")
     return out
 
 
+def told(step: int, error: float, seconds: float) -> None:
+    print(f"step {step}\terror {error:g}\t{seconds:.1f} s", flush=True)
+
+
 def scores_of(g: CitationGraph, a: argparse.Namespace) -> tuple[DataFrame, str, dict[str, object]]:
-    """Scores, the name of the metric's column, and the parameters that name the output."""
+    """Scores (of ECM with the year), the name of the metric's column, and the parameters that name the output."""
     if a.command == "pagerank":
-        return rankings.pagerank(g, a.alpha, a.error), "pr", {"a": a.alpha, "error": a.error}
+        return rankings.pagerank(g, a.alpha, a.error, log=told), "pr", {"a": a.alpha, "error": a.error}
     if a.command == "attrank":
-        got = rankings.attrank(g, a.alpha, a.beta, a.gamma, a.rho, a.current_year, a.start_year, a.error, a.null_year)
+        got = rankings.attrank(g, a.alpha, a.beta, a.gamma, a.rho, a.current_year, a.start_year, a.error, a.null_year, log=told)
         return got, "attrank", {"a": a.alpha, "b": a.beta, "c": a.gamma, "rho": a.rho, "year": f"{a.start_year}-{a.current_year}", "error": a.error}
     if a.command == "ram":
         return rankings.ram(g, a.gamma, a.current_year), "ram", {"c": a.gamma, "year": a.current_year}
     if a.command == "ecm":
-        got = rankings.ecm(g, a.alpha, a.gamma, a.current_year, a.error).select("paper", "score")
-        return got, "ecm", {"c": a.gamma, "year": a.current_year, "a": a.alpha, "error": a.error}
+        return rankings.ecm(g, a.alpha, a.gamma, a.current_year, a.error, log=told), "ecm", {"c": a.gamma, "year": a.current_year, "a": a.alpha, "error": a.error}
     return rankings.citation_count(g, a.limit_year), f"{a.limit_year}-cc" if a.limit_year else "cc", {}
 
 
 def rank(spark: SparkSession, a: argparse.Namespace) -> str:
-    g = graph_of(parse(tsv.read_graph(spark, a.input, a.partitions), a.mode))
-    scores, metric, named = scores_of(g, a)
+    """Parse the graph once, score its papers once, print the cut-offs and write the classes (and, of ECM, the years)."""
+    began = time.time()
+    g = graph_of(parse(tsv.read_graph(spark, a.input, a.partitions), a.mode)).saved
+    print(f"graph\t{time.time() - began:.1f} s", flush=True)
+    scored, metric, named = scores_of(g, a)
+    scores = save(scored, "scored")
     label = a.prefix if a.command == "cc" else LABELS[a.command]
     if a.command == "cc" and a.limit_year:
         label = f"{a.limit_year}-year_{label}"
-    for r in classes.report(scores, a.clamp).collect():  # four rows
+    began = time.time()
+    cuts = classes.thresholds(scores, a.clamp)
+    summary = cuts.first()
+    print(f"papers\t{summary['n_papers']}\nmax\t{summary['max_score']}\ncut-offs\t{time.time() - began:.1f} s\nPercentage\tScore")
+    for r in classes.report(scores, a.clamp, cuts).collect():  # four rows
         print(f"{r['percentage']:g}%\t{r['score']}")
-    return tsv.write_tsv(classes.classify(scores, metric, a.clamp), f"{a.output.rstrip('/')}/{tsv.rank_name(label, a.input, **named)}")
+    name = tsv.rank_name(label, a.input, **named)
+    out = tsv.write_tsv(classes.classify(scores, metric, a.clamp, cuts), f"{a.output.rstrip('/')}/{name}")
+    if "year" in scores.columns:
+        tsv.write_tsv(scores.select(tsv.decode_ids("paper").alias("doi"), F.col("score").alias(metric), "year"), f"{a.output.rstrip('/')}/years_{name}")
+    drop(g.nodes, g.edges, scores, cuts)
+    return out
 
 
 def write_topics(spark: SparkSession, a: argparse.Namespace) -> list[str]:
-    out = a.output.rstrip("/")
+    out, impact = a.output.rstrip("/"), f"{a.output.rstrip('/')}/{a.scores_folder}"
     raw = tsv.read_scores(spark, a.scores)
     ids = topics.bridge(raw)
     top = save(topics.top_concepts(topics.concept_confidence(tsv.read_concepts(spark, a.concepts), ids, a.min_confidence), a.top), "concepts")
     d = save(topics.fwci(topics.fact(top, topics.scores_by_id(raw))), "fact")
-    named = topics.topic_classes(d, topics.topic_thresholds(d))
-    pids = topics.by_pid(named, ids, not a.drop_null_pids)
+    cuts = topics.topic_thresholds(d)
+    # A row for each concept goes by, one partition at a time.
+    names = cuts.columns
+    print("\t".join(names))
+    for r in topics.report(cuts).toLocalIterator():
+        print("\t".join(str(r[c]) for c in names))
+    pids = save(topics.by_pid(topics.topic_classes(d, cuts), ids, not a.drop_null_pids), "pids")
     classes_ = [F.col(f"`{m}_class`") for m in topics.METRICS]
     plain = {"header": False, "gzip": True, "null": ""}
-    return [
+    paths = [
         tsv.write_tsv(top.orderBy("openaire_id", "confidence"), f"{out}/concepts", header=False),
-        tsv.write_tsv(d.select("id", "concept", "fwci"), f"{out}/bip-db/FWCI_openaire_ids.txt.gz", **plain),
-        tsv.write_tsv(d.select("id", "concept", "3y-fwci"), f"{out}/bip-db/3-year_FWCI_openaire_ids.txt.gz", **plain),
+        tsv.write_tsv(d.select("id", "concept", "fwci"), f"{impact}/FWCI_openaire_ids.txt.gz", **plain),
+        tsv.write_tsv(d.select("id", "concept", "3y-fwci"), f"{impact}/3-year_FWCI_openaire_ids.txt.gz", **plain),
         tsv.write_tsv(pids.select("identifier", "concept", *classes_), f"{out}/topics"),
-        tsv.write_tsv(pids.select("identifier", "concept", "fwci"), f"{out}/bip-db/FWCI.txt.gz", **plain),
-        tsv.write_tsv(pids.select("identifier", "concept", "3y-fwci"), f"{out}/bip-db/3-year_FWCI.txt.gz", **plain),
+        tsv.write_tsv(pids.select("identifier", "concept", "fwci"), f"{impact}/FWCI.txt.gz", **plain),
+        tsv.write_tsv(pids.select("identifier", "concept", "3y-fwci"), f"{impact}/3-year_FWCI.txt.gz", **plain),
     ]
+    print(f"rows\t{pids.count()}")
+    drop(top, d, cuts, pids)
+    return paths
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -10,45 +11,66 @@ from pyspark.sql import Column, DataFrame, Observation
 
 
 def _folder(spark) -> str:
-    """The folder that driver and executors share; a temporary one only where none is named."""
+    """The folder that driver and executors share. In local mode a temporary one will do; a cluster must name it."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="impactory-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-def save(df: DataFrame, name: str, measures: dict[str, Column] | None = None) -> DataFrame:
-    """df as a written table: cuts lineage, and lost executors lose nothing. Measures are taken while it is written."""
-    path = f"{_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+def save(df: DataFrame, name: str, measures: dict[str, Column] | None = None, by: str | None = None) -> DataFrame:
+    """df as a written table: cuts lineage, and lost executors lose nothing. Measures are taken while it is written.
+
+    by: a column by whose hash the table is bucketed, in as many buckets as a shuffle has partitions, so that
+    joins and groupings by it need no exchange of this side.
+    """
+    spark, path = df.sparkSession, f"{_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     seen = Observation()
-    (df.observe(seen, *(c.alias(k) for k, c in measures.items())) if measures else df).write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = df.observe(seen, *(c.alias(k) for k, c in measures.items())) if measures else df
+    if by:
+        table, n = f"impactory_{name}_{uuid.uuid4().hex}".replace("-", "_"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows.repartition(n, by).write.format("parquet").bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table)
+        out = spark.table(table)
+        out._saved_table = table
+    else:
+        rows.write.parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
     out._measures = seen.get if measures else None
     return out
 
 
-def drop(df: DataFrame) -> None:
-    path = getattr(df, "_saved_at", None)
-    if path:
-        p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+def drop(*tables: DataFrame) -> None:
+    """Delete tables made by save()."""
+    for df in tables:
+        if hasattr(df, "_saved_table"):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._saved_table}")
+        path = getattr(df, "_saved_at", None)
+        if path:
+            p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def iterate(state: DataFrame, step: Callable[[DataFrame, dict], DataFrame], measures: dict[str, Column], error: str, tolerance: float, max_iter: int = 500, name: str = "state") -> tuple[DataFrame, int]:
+def iterate(state: DataFrame, step: Callable[[DataFrame, dict], DataFrame], measures: dict[str, Column], error: str, tolerance: float, max_iter: int = 500, name: str = "state", by: str | None = None, log: Callable[[int, float, float], None] | None = None) -> tuple[DataFrame, int]:
     """Repeat step until the measure named error is below tolerance; the last state and the number of steps.
 
     Each step is one action: the write itself yields the measures, the error and whatever the next step needs.
+    The state is bucketed by a column if by names one. log is told each step's number, error and seconds.
     """
     if not tolerance > 0:
         raise ValueError("the tolerance must be positive")
-    now = save(state, name, measures)
+    now = save(state, name, measures, by)
     seen = now._measures
     for k in range(1, max_iter + 1):
-        new = save(step(now, seen), name, measures)
+        began = time.time()
+        new = save(step(now, seen), name, measures, by)
         drop(now)
         now, seen = new, new._measures
+        if log:
+            log(k, seen[error], time.time() - began)
         if seen[error] is None:
             raise ValueError("no score can be compared: are all initial scores null?")
         if seen[error] < tolerance:

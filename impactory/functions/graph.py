@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .fixpoint import save
+
 NO_REFERENCES = "0"
 
 
@@ -60,6 +62,13 @@ class CitationGraph:
     nodes: DataFrame
     edges: DataFrame
 
+    @property
+    def saved(self) -> CitationGraph:
+        """The same, parsed once: written, nodes bucketed by paper and edges by the citing paper. drop() deletes it."""
+        if hasattr(self.nodes, "_saved_at"):
+            return self
+        return CitationGraph(save(self.nodes, "nodes", by="paper"), save(self.edges, "edges", by="src"))
+
     @property
     def inner(self) -> DataFrame:
         """Edges to nodes: src, dst, weight (how often src cites dst), share (of src's references)."""

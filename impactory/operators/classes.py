@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fixpoint import save
+from ..functions.fixpoint import drop, save
 from ..sources.tsv import decode_ids
 
 TOPS = (("top001", 1e-4), ("top01", 1e-3), ("top1", 1e-2), ("top10", 1e-1))
@@ -44,16 +44,23 @@ def running_count(hist: DataFrame) -> DataFrame:
         before[part], so_far = so_far, so_far + totals[part]
     base = F.create_map(*(F.lit(x) for kv in before.items() for x in kv))[F.col("part")] if before else F.lit(0)
     within = F.sum("n").over(Window.partitionBy("part").orderBy(F.col("score").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
-    return dealt.select("score", "n", (within + base).cast("long").alias("cumulative"))
+    out = dealt.select("score", "n", (within + base).cast("long").alias("cumulative"))
+    out._saved_at = dealt._saved_at
+    return out
 
 
 def thresholds(scores: DataFrame, clamp: str = "compat") -> DataFrame:
-    """One row: n_papers, max_score, and the least score in each top share (null if a tie at the top is too large for it)."""
-    stats = scores.agg(F.count("*").alias("n"), F.max("score").alias("m")).first()
-    off = offsets(stats["n"], clamp)
-    counts = running_count(histogram(scores))
+    """One row: n_papers, max_score, and the least score in each top share (null if a tie at the top is too large for it).
+
+    The scores are read once: the number of papers is that of their histogram.
+    """
+    hist = save(histogram(scores), "scores")
+    off = offsets(hist.agg(F.sum("n")).first()[0] or 0, clamp)
+    counts = running_count(hist)
     cuts = [F.min(F.when(F.col("cumulative") <= off[k], F.col("score"))).alias(k) for k, _ in TOPS]
-    return counts.agg(F.lit(stats["n"]).cast("long").alias("n_papers"), F.max("score").alias("max_score"), *cuts)
+    out = save(counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_papers"), F.max("score").alias("max_score"), *cuts), "thresholds")
+    drop(hist, counts)
+    return out
 
 
 def _class(score: Column, cuts: list[tuple[str, Column]], last: str) -> Column:
@@ -63,17 +70,17 @@ def _class(score: Column, cuts: list[tuple[str, Column]], last: str) -> Column:
     return out
 
 
-def classify(scores: DataFrame, metric: str, clamp: str = "compat") -> DataFrame:
-    """doi, <metric>, normalized_<metric>, three_point_class, five_point_class."""
-    t = F.broadcast(thresholds(scores, clamp))  # one row
+def classify(scores: DataFrame, metric: str, clamp: str = "compat", cuts: DataFrame | None = None) -> DataFrame:
+    """doi, <metric>, normalized_<metric>, three_point_class, five_point_class; cuts: thresholds() of the scores, if known already."""
+    t = F.broadcast(thresholds(scores, clamp) if cuts is None else cuts)  # one row
     x = F.col("score")
     three = _class(x, [("A", F.col("top001")), ("B", F.col("top1"))], "C")
     five = _class(x, list(zip("ABCD", (F.col(k) for k, _ in TOPS), strict=True)), "E")
     return scores.join(t).select(decode_ids("paper").alias("doi"), x.alias(metric), F.try_divide(x.cast("double"), F.col("max_score").cast("double")).alias(f"normalized_{metric}"), three.alias("three_point_class"), five.alias("five_point_class"))
 
 
-def report(scores: DataFrame, clamp: str = "compat") -> DataFrame:
+def report(scores: DataFrame, clamp: str = "compat", cuts: DataFrame | None = None) -> DataFrame:
     """(percentage, score): the printed table of cut-offs."""
-    t = thresholds(scores, clamp)
+    t = thresholds(scores, clamp) if cuts is None else cuts
     rows = [F.struct(F.lit(100 * p).alias("percentage"), F.col(k).cast("double").alias("score")) for k, p in TOPS]
     return t.select(F.explode(F.array(*rows)).alias("r")).select("r.percentage", "r.score")

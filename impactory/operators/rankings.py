@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fixpoint import iterate, save
+from ..functions.fixpoint import drop, iterate, save
 from ..functions.graph import CitationGraph, sane_year
 
 ERROR, START = "error", 1000.0
@@ -33,22 +33,24 @@ def ram(g: CitationGraph, gamma: float, current_year: int) -> DataFrame:
     return g.nodes.select("paper").join(sums, F.col("paper") == F.col("dst"), "left").select("paper", F.coalesce("s", F.lit(0.0)).alias("score"))
 
 
-def ecm(g: CitationGraph, alpha: float, gamma: float, current_year: int, tolerance: float, max_iter: int = 500) -> DataFrame:
+def ecm(g: CitationGraph, alpha: float, gamma: float, current_year: int, tolerance: float, max_iter: int = 500, log=None) -> DataFrame:
     """(paper, score, year): sums over citation paths, each step weighing alpha * gamma ** age of the citing paper."""
+    own, g = g, g.saved
     year = sane_year(F.col("src_year"), current_year)
     step_weight = F.col("weight") * alpha * F.pow(F.lit(gamma), current_year - year)
-    edges = save(g.inner.select("src", "dst", step_weight.alias("w")), "ecm-edges")
-
-    def push(r: DataFrame) -> DataFrame:
-        sent = edges.join(r.select(F.col("paper").alias("src"), "r"), "src")
-        return sent.groupBy("dst").agg(F.sum(F.col("w") * F.col("r")).alias("in"))
+    edges = save(g.inner.select("src", "dst", step_weight.alias("w")), "ecm-edges", by="src")
 
     def step(state: DataFrame, _: dict) -> DataFrame:
-        got = state.join(push(state.where("r > 0")), F.col("paper") == F.col("dst"), "left").withColumn("in", F.coalesce("in", F.lit(0.0)))
-        return got.select("paper", "pub_year", F.col("in").alias("r"), (F.col("total") + F.col("in")).alias("total"))
+        sent = edges.join(state.where("r > 0").select(F.col("paper").alias("src"), "r"), "src")
+        got = state.join(sent.groupBy("dst").agg(F.sum(F.col("w") * F.col("r")).alias("in")), F.col("paper") == F.col("dst"), "left")
+        into = F.coalesce("in", F.lit(0.0))
+        return got.select("paper", "pub_year", into.alias("r"), (F.col("total") + into).alias("total"))
 
     start = g.nodes.select("paper", "pub_year", F.lit(1.0).alias("r"), F.lit(0.0).alias("total"))
-    out, _ = iterate(start, step, {ERROR: F.max("r")}, ERROR, tolerance, max_iter, "ecm")
+    out, _ = iterate(start, step, {ERROR: F.max("r")}, ERROR, tolerance, max_iter, "ecm", "paper", log)
+    drop(edges)
+    if own is not g:
+        drop(g.nodes, g.edges)
     return out.select("paper", F.col("total").alias("score"), sane_year(F.col("pub_year"), current_year).alias("year"))
 
 
@@ -62,30 +64,38 @@ def dangling_mass(state: DataFrame):
     return F.coalesce(F.sum(F.when(F.col("dangling"), F.col("score"))), F.lit(0.0))
 
 
-def _power(g: CitationGraph, start: DataFrame, alpha: float, jump, tolerance: float, max_iter: int) -> tuple[DataFrame, int]:
-    """Fixpoint of alpha * (received + dangling mass / N) + jump over start: paper, dangling, score and what jump reads."""
+def _power(g: CitationGraph, start: DataFrame, alpha: float, jump, tolerance: float, max_iter: int, log=None) -> DataFrame:
+    """(paper, score): the fixpoint of alpha * (received + dangling mass / N) + jump over start, of paper, dangling, score and what jump reads.
+
+    Edges stay in buckets of the citing paper and the state in those of the paper, so a step moves sums by cited paper only.
+    """
     n = g.nodes.count()
     if not n:
-        return start.select("paper", "score"), 0
-    edges = save(g.inner.select("src", "dst", "share").repartition("src"), "edges")
+        return start.select("paper", "score")
+    edges = save(g.inner.select("src", "dst", "share"), "edges", by="src")
     kept = [c for c in start.columns if c != "score"]
 
     def step(state: DataFrame, seen: dict) -> DataFrame:
-        got = state.withColumnRenamed("score", "old").withColumnRenamed("change", "_").drop("_")
+        got = state.withColumnRenamed("score", "old").drop("change")
         got = got.join(contributions(edges, state), F.col("paper") == F.col("dst"), "left")
         new = alpha * (F.coalesce("in", F.lit(0.0)) + seen["mass"] / n) + jump
         return got.withColumn("score", new).select(*kept, "score", F.abs(F.col("score") - F.col("old")).alias("change"))
 
     measures = {ERROR: F.max("change"), "mass": dangling_mass(start)}
-    out, steps = iterate(start.withColumn("change", F.lit(START)), step, measures, ERROR, tolerance, max_iter, "rank")
-    return out.select("paper", "score"), steps
+    out, _ = iterate(start.withColumn("change", F.lit(START)), step, measures, ERROR, tolerance, max_iter, "rank", "paper", log)
+    drop(edges)
+    return out.select("paper", "score")
 
 
-def pagerank(g: CitationGraph, alpha: float, tolerance: float, max_iter: int = 500) -> DataFrame:
+def pagerank(g: CitationGraph, alpha: float, tolerance: float, max_iter: int = 500, log=None) -> DataFrame:
     """(paper, score) from the initial scores of the file; dangling papers give their score to all alike."""
+    own, g = g, g.saved
     n = g.nodes.count()
     start = g.nodes.select("paper", "dangling", F.col("initial").alias("score"))
-    return _power(g, start, alpha, F.lit((1 - alpha) / n if n else 0.0), tolerance, max_iter)[0]
+    out = _power(g, start, alpha, F.lit((1 - alpha) / n if n else 0.0), tolerance, max_iter, log)
+    if own is not g and n:
+        drop(g.nodes, g.edges)
+    return out
 
 
 def pagerank_one_step(g: CitationGraph, alpha: float) -> DataFrame:
@@ -120,8 +130,12 @@ def attrank_vectors(g: CitationGraph, rho: float, current_year: int, start_year:
     return age.join(attention, "paper", "left").select("paper", F.coalesce("attention", F.lit(0.0)).alias("attention"), "age")
 
 
-def attrank(g: CitationGraph, alpha: float, beta: float, gamma: float, rho: float, current_year: int, start_year: int, tolerance: float, null_year: str = "null", max_iter: int = 500) -> DataFrame:
+def attrank(g: CitationGraph, alpha: float, beta: float, gamma: float, rho: float, current_year: int, start_year: int, tolerance: float, null_year: str = "null", max_iter: int = 500, log=None) -> DataFrame:
     """(paper, score): PageRank whose jumps follow recent attention (beta) and age (gamma)."""
+    own, g = g, g.saved
     vectors = attrank_vectors(g, rho, current_year, start_year, null_year)
     start = g.nodes.select("paper", "dangling", F.col("initial").alias("score")).join(vectors, "paper")
-    return _power(g, start, alpha, beta * F.col("attention") + gamma * F.col("age"), tolerance, max_iter)[0]
+    out = _power(g, start, alpha, beta * F.col("attention") + gamma * F.col("age"), tolerance, max_iter, log)
+    if own is not g and not g.nodes.isEmpty():
+        drop(g.nodes, g.edges)
+    return out

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.fixpoint import drop, save
 from ..sources.schemas import METRICS
 from .classes import TOPS
 
@@ -63,22 +64,36 @@ def topic_offsets(d: DataFrame) -> DataFrame:
 
 
 def running_count_by_concept(d: DataFrame) -> DataFrame:
-    """(concept, metric, value, n, cumulative): one pass for all metrics."""
+    """(concept, metric, value, n, cumulative): one pass for all metrics.
+
+    A prefix sum in two levels, as a concept may hold most papers: values are dealt by ranges, counts run
+    within a range, and each range of a concept and metric begins at the total of those before it.
+    """
     pairs = F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(f"`{m}`").alias("value")) for m in METRICS))).alias("p")
     hist = d.select("concept", pairs).groupBy("concept", F.col("p.metric").alias("metric"), F.col("p.value").alias("value")).agg(F.count("*").alias("n"))
-    w = Window.partitionBy("concept", "metric").orderBy(F.desc_nulls_last("value")).rowsBetween(Window.unboundedPreceding, 0)
-    return hist.withColumn("cumulative", F.sum("n").over(w))
+    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = save(hist.repartitionByRange(parts, "concept", "metric", F.desc_nulls_last("value")).withColumn("part", F.spark_partition_id()), "running")
+    group = Window.partitionBy("concept", "metric")
+    totals = dealt.groupBy("concept", "metric", "part").agg(F.sum("n").alias("total"))  # a row for each range, and one for each concept and metric
+    before = totals.select("concept", "metric", "part", F.coalesce(F.sum("total").over(group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    within = F.sum("n").over(Window.partitionBy("concept", "metric", "part").orderBy(F.desc_nulls_last("value")).rowsBetween(Window.unboundedPreceding, 0))
+    out = dealt.withColumn("within", within).join(before, ["concept", "metric", "part"]).select("concept", "metric", "value", "n", (F.col("within") + F.col("before")).alias("cumulative"))
+    out._saved_at = dealt._saved_at
+    return out
 
 
 def topic_thresholds(d: DataFrame) -> DataFrame:
     """(concept, and for each metric its four cut-offs): one pivoting aggregate."""
-    run = running_count_by_concept(d).join(topic_offsets(d), "concept")
+    counts = running_count_by_concept(d)
+    run = counts.join(topic_offsets(d), "concept")
     cuts = [
         F.min(F.when((F.col("metric") == m) & (F.col("cumulative") <= F.col(f"{k}_offset")), F.col("value"))).alias(f"{m}_{k}")
         for m in METRICS
         for k, _ in TOPS
     ]
-    return run.groupBy("concept").agg(*cuts)
+    out = save(run.groupBy("concept").agg(*cuts), "cuts")
+    drop(counts)
+    return out
 
 
 def topic_classes(d: DataFrame, cuts: DataFrame) -> DataFrame:
@@ -93,6 +108,11 @@ def topic_classes(d: DataFrame, cuts: DataFrame) -> DataFrame:
     return d.join(cuts, "concept", "left").select(*(F.col(f"`{c}`") for c in d.columns), *(label(m) for m in METRICS))
 
 
+def report(cuts: DataFrame) -> DataFrame:
+    """The table of cut-offs by concept: a row each, in order, named as in the output."""
+    return cuts.distinct().orderBy("concept")
+
+
 def by_pid(d: DataFrame, ids: DataFrame, keep_null: bool = True) -> DataFrame:
     """Rows of d for every pid of their paper, as identifier; papers without a pid stay as null unless told otherwise."""
     rows = d.join(ids.select(F.col("openaire_id").alias("id"), F.col("pid").alias("identifier")), "id").drop("id")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import graph as G
-from ..functions.fixpoint import _folder
+from ..functions.fixpoint import _folder, drop, save
 from ..operators import classes as C
 from ..operators import rankings as R
 from ..operators import topics as T
@@ -96,6 +96,12 @@ def sink_rank_tsv(spark, d):
     return rounded(tsv._reader(spark, header=True).schema(out.schema).csv(path), "normalized_cc")
 
 
+def _sunk(df: DataFrame, metric: str) -> DataFrame:
+    """Classes of scores written and read again."""
+    out = C.classify(df, metric)
+    return rounded(tsv._reader(df.sparkSession, header=True).schema(out.schema).csv(written(out)), metric, f"normalized_{metric}")
+
+
 @query("sink_fwci_gzip", f"{TOPICS} SELECT id, concept, round(fwci, 9) AS fwci, round(\"3y-fwci\", 9) AS \"3y-fwci\" FROM fwci")
 def sink_fwci_gzip(spark, d):
     out = T.fwci(_fact(spark, d)).select("id", "concept", "fwci", "3y-fwci")
@@ -175,7 +181,10 @@ def fill_uncited(spark, d):
 SANE = f"CASE WHEN s.pub_year < 1000 OR s.pub_year > {NOW_P} THEN 0 ELSE s.pub_year END"
 
 
-@query("ram", f"{PARTS} SELECT n.paper, round(coalesce(sum(pow(0.5::DOUBLE, {NOW_P} - {SANE})), 0), 9) AS score FROM p_nodes n LEFT JOIN p_edges e ON e.dst = n.paper LEFT JOIN p_nodes s ON s.paper = e.src GROUP BY 1")
+RAM = f"SELECT n.paper, round(coalesce(sum(pow(0.5::DOUBLE, {NOW_P} - {SANE})), 0), 9) AS score FROM p_nodes n LEFT JOIN p_edges e ON e.dst = n.paper LEFT JOIN p_nodes s ON s.paper = e.src GROUP BY 1"
+
+
+@query("ram", f"{PARTS} {RAM}")
 def ram(spark, d):
     return rounded(R.ram(X.graph(spark, d), 0.5, NOW_P), "score")
 
@@ -342,6 +351,30 @@ def pagerank_classes(spark, d):
     return _ranked(rounded(R.pagerank(X.graph(spark, d), 0.5, 1e-9), "score"), "pr")
 
 
+@query("sink_pagerank_tsv", _rank_sql("scores AS (SELECT paper, round(score, 9) AS score FROM raw)", "pr", _PR.replace("\nscores AS", "\nraw AS").rstrip()))
+def sink_pagerank_tsv(spark, d):
+    return _sunk(rounded(R.pagerank(X.graph(spark, d), 0.5, 1e-9), "score"), "pr")
+
+
+_ATT = _power_sql(X.P_SQL, "g_edges", "p_nodes", 0.2, ATT_JUMP, _vectors("null"), last="")
+
+
+@query("sink_attrank_tsv", _rank_sql("scores AS (SELECT paper, round(score, 9) AS score FROM raw)", "attrank", _ATT.replace("\nscores AS", "\nraw AS").rstrip()))
+def sink_attrank_tsv(spark, d):
+    return _sunk(rounded(R.attrank(X.graph(spark, d, "G"), 0.2, 0.5, 0.3, -0.16, NOW_P, 2018, 1e-9), "score"), "attrank")
+
+
+@query("sink_ram_tsv", _rank_sql(f"scores AS ({RAM})", "ram"))
+def sink_ram_tsv(spark, d):
+    return _sunk(rounded(R.ram(X.graph(spark, d), 0.5, NOW_P), "score"), "ram")
+
+
+@query("sink_ecm_years_tsv", f"SELECT paper AS doi, score AS ecm, year FROM ({ECM})")
+def sink_ecm_years_tsv(spark, d):
+    rows = R.ecm(X.graph(spark, d), 0.5, 0.5, NOW_P, 1e-9).select(tsv.decode_ids("paper").alias("doi"), F.col("score").alias("ecm"), "year")
+    return rounded(tsv._reader(spark, header=True).schema(rows.schema).csv(written(rows)), "ecm")
+
+
 # ---- Topics
 
 
@@ -351,7 +384,12 @@ def _top3(spark, d):
 
 
 def _fact(spark, d):
-    return T.fact(_top3(spark, d), T.scores_by_id(X.topic_scores(spark, d)))
+    """Written once: the queries read it several times."""
+    scores = save(X.topic_scores(spark, d), "scores")
+    top = T.top_concepts(T.concept_confidence(X.topic_concepts(spark, d), T.bridge(scores)))
+    out = save(T.fact(top, T.scores_by_id(scores)), "fact")
+    drop(scores)
+    return out
 
 
 @query("scores_by_id", f"{TOPICS} SELECT * FROM by_id")

@@ -169,3 +169,49 @@ def test_command_line(spark, tmp_path):
     assert tsv._reader(spark, header=True).csv(path).columns == ["doi", "pr", "normalized_pr", "three_point_class", "five_point_class"]
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["pagerank", "x", "y", "--alpha", "0.5", "--error", "zero?"])
+
+
+def test_a_step_moves_sums_only(spark):
+    """Edges and state stay in their buckets: the one exchange is that of the sums by cited paper."""
+    from impactory.functions.fixpoint import drop, save
+    from impactory.operators import rankings
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = save(spark.createDataFrame([(f"p{i}", f"p{i // 2}", 1.0) for i in range(50)], "src string, dst string, share double"), "edges", by="src")
+        state = save(spark.createDataFrame([(f"p{i}", 0.02) for i in range(50)], "paper string, score double"), "rank", by="paper")
+        got = state.join(rankings.contributions(edges, state), F.col("paper") == F.col("dst"), "left").select("paper", F.col("in"))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(dst") == 1 and plan.count("Exchange") == 1
+        assert got.agg(F.sum("in")).first()[0] == pytest.approx(1.0)
+        drop(edges, state)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_command_line_reports_and_years(spark, tmp_path, capsys):
+    from impactory import cli
+
+    lines = ["a\tb,c|2|0.25\t0\t2001", "b\tc|1|0.25\t0\t2000", "c\t0|0|0.25\t0\t1999", "d\ta|1|0.25\t0\t\\N"]
+    (tmp_path / "g.tsv").write_text("\n".join(lines) + "\n")
+    a = cli.parser().parse_args(["ecm", str(tmp_path / "g.tsv"), str(tmp_path / "out"), "--alpha", "0.5", "--error", "1e-6", "--current-year", "2002", "--gamma", "0.5"])
+    path = cli.rank(spark, a)
+    said = capsys.readouterr().out
+    assert "step 1\t" in said and "papers\t4" in said and "max\t" in said and "Percentage\tScore" in said
+    years = {r["doi"]: r["year"] for r in spark.read.csv(str(tmp_path / "out" / f"years_{path.rsplit('/', 1)[-1]}"), sep="\t", header=True, nullValue="\\N").collect()}
+    assert years == {"a": "2001", "b": "2000", "c": "1999", "d": None}
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    from impactory.functions import fixpoint
+
+    class Elsewhere:
+        class sparkContext:
+            master = "yarn"
+
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        fixpoint._folder(Elsewhere)
