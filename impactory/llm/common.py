@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import tempfile
 import uuid
@@ -93,6 +94,12 @@ def from_ascending(kind: str, body: bytes) -> np.ndarray:
     return np.cumsum(from_planes(kind, body), dtype=np.uint64)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of finished steps now: it does so when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(doc_id: int, n: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % n
 

@@ -41,12 +41,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascending, discard, expand, from_ascending, from_planes, load, materialize, partitions_for, planes, small_batches, squeeze
+from .common import ascending, discard, expand, free_shuffles, from_ascending, from_planes, load, materialize, partitions_for, planes, small_batches, squeeze
 
-EXACT, BURN, SAMPLES, PARTS, SEED = 24, 6, 4, 4, 20
+EXACT, BURN, SAMPLES, PARTS, SEED = 24, 4, 4, 4, 20
 #: Grids of discounts and strengths, and the discount and strength to begin with.
-DISCOUNTS, STRENGTHS = np.linspace(0.05, 0.95, 19), np.exp(np.linspace(np.log(0.01), np.log(100), 25))
-FIRST = (float(DISCOUNTS[13]), float(STRENGTHS[12]))
+DISCOUNTS, STRENGTHS = np.linspace(0.05, 0.95, 19), np.exp(np.linspace(np.log(1e-3), np.log(1e4), 33))
+FIRST = (0.7, 1.0)
 #: Characters of text in a block (a text is never divided) and in a shuffle partition, about, and buckets in the latter.
 BLOCK_CHARS, PARTITION_CHARS, BUCKETS_PER_PARTITION = 4_000_000, 16_000_000, 2
 END = b"\n"  # no word holds white space
@@ -220,15 +220,23 @@ def log_stirling(c: np.ndarray, t: np.ndarray) -> np.ndarray:
 
 
 def draw_strengths(customers: np.ndarray, tables: np.ndarray, c: np.ndarray, t: np.ndarray, strength: float, rng: np.random.Generator) -> tuple[float, float]:
-    """A discount and a strength from their conditionals on the grid, given restaurants' totals and the counts of their words."""
-    rooms, many = np.unique(np.stack([customers, tables]), axis=1, return_counts=True)
-    cells, times = np.unique(np.stack([c, t]), axis=1, return_counts=True)
+    """A discount and a strength from their conditionals on the grid, given restaurants' totals and the counts of their words.
+
+    One customer at one table has probability one whatever the two are, so such restaurants and words may be left out.
+    """
+
+    def counted(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        more = x > 1
+        both, times = np.unique((x[more] << 31) | y[more], return_counts=True)
+        return both >> 31, both & ((1 << 31) - 1), times
+
+    n, k, many = counted(customers, tables)
+    *cells, times = counted(c, t)
 
     def draw(logs: np.ndarray, grid: np.ndarray) -> float:
         return float(grid[np.argmax(logs + rng.gumbel(size=len(grid)))])
 
     def seats(d: np.ndarray, s: np.ndarray) -> np.ndarray:
-        n, k = rooms.astype(float)
         return ((k * np.log(d) + log_gamma(s / d + k) - log_gamma(s / d) - log_gamma(s + n) + log_gamma(s)) * many).sum(axis=1)
 
     d = draw(seats(DISCOUNTS[:, None], np.array(strength)) + (log_stirling(*cells) * times).sum(axis=1), DISCOUNTS)
@@ -307,11 +315,8 @@ class Restaurants:
                 self.shared = self.up()
                 self.tables0 = np.minimum(np.maximum(self.tables0, self.shared > 0), self.shared)
         self.tables0 = draw_tables(self.shared, self.tables0.sum() - self.tables0, np.full(len(self.words), 1 / v), self.d0, self.strength0, self.rng)
-        seen, known = self.c > 0, self.customers > 0
-        if seen.any():
-            self.d, self.strength = draw_strengths(self.customers[known], self.tables()[known], self.c[seen], self.t[seen], self.strength, self.rng)
-            full = self.shared > 0
-            self.d0, self.strength0 = draw_strengths(self.shared.sum()[None], self.tables0.sum()[None], self.shared[full], self.tables0[full], self.strength0, self.rng)
+        self.d, self.strength = draw_strengths(self.customers, self.tables(), self.c, self.t, self.strength, self.rng)
+        self.d0, self.strength0 = draw_strengths(self.shared.sum()[None], self.tables0.sum()[None], self.shared, self.tables0, self.strength0, self.rng)
 
     def log_seating(self) -> float:
         """Of the seating given discount and strength, but for the root's part: what a trace of the chain shows."""
@@ -350,7 +355,7 @@ def seated(table: pa.Table) -> pa.Table:
         out.append((ENTRY_ANSWER, number, r["block"], squeeze((planes(own[at].astype("<f4")), planes(rest[at].astype("<f4"))))))
         lo += n
     full = x.shared > 0
-    out.append((TABLES, number, -1 - number, squeeze((x.words[full], small(x.shared[full])))))
+    out.append((TABLES, number, -1 - number, squeeze((ascending(x.words[full].astype(np.uint64)), small(x.shared[full])))))
     return pa.Table.from_batches([batch(MESSAGE, out)])
 
 
@@ -361,9 +366,9 @@ def spread(n: int) -> Callable:
         for b in batches:
             for block, body in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 words, tables = expand(body)
-                tables = from_planes(*tables)
-                edge = dealt(words.astype(np.uint64), WORD_BITS, n)
-                yield batch(MESSAGE, [(TABLES, k, block, squeeze((words[edge[k] : edge[k + 1]], small(tables[edge[k] : edge[k + 1]])))) for k in np.flatnonzero(np.diff(edge)).tolist()])
+                words, tables = from_ascending(*words), from_planes(*tables)
+                edge = dealt(words, WORD_BITS, n)
+                yield batch(MESSAGE, [(TABLES, k, block, squeeze((ascending(words[edge[k] : edge[k + 1]]), small(tables[edge[k] : edge[k + 1]])))) for k in np.flatnonzero(np.diff(edge)).tolist()])
 
     return run
 
@@ -380,7 +385,7 @@ def gathered(table: pa.Table) -> pa.Table:
         if r["kind"] == WORDS:
             asks.append((r["block"], from_ascending(*body[0]), from_planes(*body[1])))
         else:
-            tables.append((body[0], from_planes(*body[1])))
+            tables.append((from_ascending(*body[0]), from_planes(*body[1])))
     names, at = np.unique(np.concatenate([a[1] for a in asks]), return_inverse=True)
     count = np.bincount(at, np.concatenate([a[2] for a in asks]), len(names)).astype(np.int64)
     short, root = np.unique((names >> np.uint64(32)).astype("<u4"), return_inverse=True)
@@ -488,8 +493,10 @@ def score(docs: DataFrame) -> DataFrame:
     n = parts * BUCKETS_PER_PARTITION
     contexts = rows.mapInArrow(ask_contexts(n), MESSAGE_SQL).repartition(parts, "bucket").groupBy("bucket").applyInArrow(seated, MESSAGE_SQL)
     contexts = materialize(contexts, "contexts")
+    free_shuffles(docs.sparkSession)
     words = rows.mapInArrow(ask_words(n), MESSAGE_SQL).union(contexts.where(F.col("kind") == TABLES).mapInArrow(spread(n), MESSAGE_SQL))
     words = materialize(words.repartition(parts, "bucket").groupBy("bucket").applyInArrow(gathered, TOLD_SQL), "words")
+    free_shuffles(docs.sparkSession)
     t = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "customers", "full", "ones", "twos"))).first()
     d = t["ones"] / (t["ones"] + 2 * t["twos"]) if t["ones"] + t["twos"] else 0.5
     root = Root(t["n"], t["v"], t["customers"], t["full"], float(DISCOUNTS[np.argmin(np.abs(DISCOUNTS - d))]))
