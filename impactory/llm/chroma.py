@@ -12,9 +12,9 @@ is cut into four levels, and adds two bits (a Gray code) to the frame's 32-bit i
 
 Search: queries are the rows whose id is divisible by QUERY. Recordings with equal integers are one class,
 named by the smallest id, and so are queries. Marks stand for a class: at every frame, the bits of the
-filters of up to SHORT frames of RUN neighbours in a row, so that a mark spans six frames, survives bits
+filters of up to SHORT frames of RUN neighbours in a row, so that a mark spans seven frames, survives bits
 that differ elsewhere, and each unedited run of that length yields one. A class is compared with every
-class of queries that shares LEAST marks with it (one, if either has no more). All places of the shared
+class of queries that shares a mark with it. All places of the shared
 marks vote, each pair of places for its difference. The alignment of the two is the highest column of this
 histogram that has LEAST votes within DRIFT frames, as an edited copy gains or loses beats (ties: most votes
 there, then smallest offset), judged by the share of bits that differ over the overlap.
@@ -38,13 +38,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascending, expand, from_ascending, load, materialize, small_batches, squeeze
+from .common import ascending, discard, expand, from_ascending, from_planes, load, materialize, planes, small_batches, squeeze
 
 QUERY, BEAT, SPAN = 100, 4, 12
-#: Frames of the longest filter in a mark, neighbours in a mark.
-SHORT, RUN = 4, 3
-#: Marks in common and votes that an alignment needs, within so many frames.
-LEAST, DRIFT = 2, 4
+#: Filters in a mark (the first ones), frames of the longest of them, neighbours in a mark.
+MARKED, SHORT, RUN = 7, 4, 4
+#: Votes that an alignment needs, within so many frames.
+LEAST, DRIFT = 1, 4
 #: Pairs of places of a key that are listed one by one; beyond that they are counted by Fourier transforms.
 PLAIN = 1 << 16
 #: Marks in a block of recordings and in a shuffle partition, about, and buckets in the latter.
@@ -138,7 +138,7 @@ def landmarks(ints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys, in order, and places of all marks; few integers are one mark."""
     if not len(ints):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    bits = 2 * sum(width <= SHORT for _, width, _, _ in FILTERS)
+    bits = 2 * MARKED
     own = ints.astype(np.uint64) if len(ints) < RUN else ints.astype(np.uint64) >> np.uint64(32 - bits)  # FILTERS' first bits are the highest
     n = max(1, len(ints) - RUN + 1)
     keys = np.full(n, min(len(ints), RUN), np.uint64)
@@ -193,20 +193,17 @@ MESSAGE_SQL = "bucket int, asks boolean, body binary"
 
 
 def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
-    """To each bucket of keys the marks of blocks of recordings: keys in order, rows, how often, and whether the row has fewer than LEAST."""
+    """To each bucket of keys the marks of blocks of recordings: keys in order, and their rows."""
 
-    def block(rows: list[int], found: list[tuple]) -> pa.RecordBatch:
-        who = np.repeat(np.arange(len(rows)), [len(k) for k, _ in found])
-        keys, times = (np.concatenate(x) for x in zip(*found, strict=True))
-        few = np.array([t.sum() < LEAST for _, t in found], bool)
+    def block(rows: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
+        keys, who = np.concatenate(found), np.repeat(np.arange(len(rows)), [len(k) for k in found])
         order = np.argsort(keys, kind="stable")
-        keys, who, times = keys[order], who[order], times[order]
+        keys, who = keys[order], who[order]
         at = np.searchsorted(((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64), np.arange(n_buckets + 1))
         out = []
         for k in np.flatnonzero(np.diff(at)).tolist():
             own, mine = np.unique(who[at[k] : at[k + 1]], return_inverse=True)
-            named = np.array(rows, np.int64)[own]
-            out.append((k, asks, squeeze((ascending(keys[at[k] : at[k + 1]]), mine.astype(np.uint32), times[at[k] : at[k + 1]].astype(np.uint32), named, few[own]))))
+            out.append((k, asks, squeeze((ascending(keys[at[k] : at[k + 1]]), planes(mine.astype("<u4")), np.array(rows, np.int64)[own]))))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True) if out else ((), (), ()), MESSAGE, strict=True)], [n for n, _ in MESSAGE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +211,8 @@ def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
         for b in batches:
             for row, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 rows.append(row)
-                found.append(np.unique(landmarks(np.frombuffer(x, "<u4"))[0], return_counts=True))
-                room -= len(found[-1][0])
+                found.append(np.unique(landmarks(np.frombuffer(x, "<u4"))[0]))
+                room -= len(found[-1])
                 if room <= 0:
                     yield block(rows, found)
                     rows, found, room = [], [], BLOCK_MARKS
@@ -226,36 +223,30 @@ def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
 
 
 def met(table: pa.Table) -> pa.Table:
-    """A bucket's marks to (row, query_row, n, few): how often the two share a mark, each place with each."""
+    """A bucket's marks to the pairs (row, query_row) that share one."""
     sides: dict[bool, list] = {False: [], True: []}
     for r in table.to_pylist():
-        keys, who, times, rows, few = expand(r["body"])
-        sides[r["asks"]].append((from_ascending(*keys), rows[who], times.astype(np.int64), few[who]))
-    out = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
-    if sides[True] and sides[False]:
-        keys, rows, times, few = (np.concatenate(x) for x in zip(*sides[True], strict=True))
+        keys, who, rows = expand(r["body"])
+        sides[r["asks"]].append((from_ascending(*keys), rows[from_planes(*who)]))
+    pairs = [np.zeros((2, 0), np.int64)]
+    if sides[True]:
+        keys, rows = (np.concatenate(x) for x in zip(*sides[True], strict=True))
         order = np.argsort(keys, kind="stable")
-        keys, rows, times, few = keys[order], rows[order], times[order], few[order]
-        parts = []
-        for own, row, n, short in sides[False]:
+        keys, rows = keys[order], rows[order]
+        for own, row in sides[False]:
             lo, hi = (np.searchsorted(keys, own, side) for side in ("left", "right"))
-            i = np.repeat(np.arange(len(own)), hi - lo)
-            j = np.arange(len(i)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
-            if len(i):
-                pair, at = np.unique(np.stack([row[i], rows[j]]), axis=1, return_inverse=True)
-                parts.append((*pair, np.bincount(at.ravel(), n[i] * times[j]).astype(np.int64), np.bincount(at.ravel(), short[i] | few[j]) > 0))
-        if parts:
-            out = [np.concatenate(x) for x in zip(*parts, strict=True)]
-    return pa.Table.from_arrays([pa.array(x) for x in out], ["row", "query_row", "n", "few"])
+            n = hi - lo
+            i = np.repeat(np.arange(len(own)), n)
+            pairs.append(np.unique(np.stack([row[i], rows[np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]]), axis=1))
+    return pa.Table.from_arrays([pa.array(x) for x in np.concatenate(pairs, axis=1)], ["row", "query_row"])
 
 
 def candidates(prints: DataFrame, asking: DataFrame) -> DataFrame:
-    """(row, query_row) of all pairs with LEAST marks in common, or one where either has no more."""
+    """(row, query_row) of all pairs that share a mark."""
     frames = prints.agg(F.sum("n_frames")).first()[0] or 0
     parts = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), frames // PARTITION_MARKS)
     sent = marks(prints, False, BUCKETS_PER_PARTITION * parts).union(marks(asking, True, BUCKETS_PER_PARTITION * parts))
-    found = sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(met, "row long, query_row long, n long, few boolean")
-    return found.groupBy("row", "query_row").agg(F.sum("n").alias("n"), F.max("few").alias("few")).where((F.col("n") >= LEAST) | F.col("few")).select("row", "query_row")
+    return sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(met, "row long, query_row long").distinct()
 
 
 def alignment(mine: bytes, other: bytes, marks_of=lambda b: landmarks(np.frombuffer(b, "<u4"))) -> tuple[int, int, float] | None:
