@@ -62,6 +62,29 @@ def partitions_for(docs: DataFrame, chars: int) -> int:
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // chars)
 
 
+def one_row_each(rows: DataFrame) -> DataFrame:
+    """Of the rows of one doc_id the one with the smallest hash of its text."""
+    rest = F.min_by(F.struct(*(c for c in rows.columns if c != "doc_id")), F.xxhash64("text")).alias("one")
+    return rows.groupBy("doc_id").agg(rest).select("doc_id", "one.*")
+
+
+def within(rows: DataFrame, column: str, most: int) -> list[dict]:
+    """Rows (doc_id, ...), one for each id of a bounded sample, by hash of the id, as long as a column's bytes stay within a bound.
+
+    The sizes come first, so no more than that is ever sent to the driver.
+    """
+    rows = materialize(rows, "sample")
+    chosen, room = [], most
+    for r in rows.select("doc_id", F.octet_length(column).alias("size"), F.xxhash64("doc_id").alias("h")).orderBy("h").collect():  # a row of three numbers for each id
+        room -= r["size"] or 0
+        if room < 0:
+            break
+        chosen.append(r["doc_id"])
+    out = rows.where(F.col("doc_id").isin(chosen)).toArrow().to_pylist() if chosen else []
+    discard(rows)
+    return out
+
+
 def squeeze(x: object, level: int = 3) -> bytes:
     """Arrays and lists as compressed bytes, to be sent in one piece."""
     import zstandard

@@ -9,12 +9,14 @@ the training documents, turns it into the score.
 Only documents are labelled, so lines are labelled weakly: first by their document, then, for ROUNDS
 rounds, the lines of bad documents that the field itself finds good are relabelled, all but the worst.
 
-Rows: null and empty texts are one empty line; repeated rows and ties score alike; null labels are
-ignored; with labels of one kind only, the score is that label's. Extra columns are never read.
+Rows: null and empty texts are one empty line; very long texts are read whole; repeated rows and ties
+score alike (in the fit one row stands for an id, the one with the smallest hash of the text); null labels
+are ignored; with labels of one kind only, the score is that label's. Extra columns are never read.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,10 +25,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold_column, load, small_batches
+from .common import fold_column, load, one_row_each, small_batches, within
 
 #: Bound of the fit: labelled rows; and the bytes of line features taken in by the driver.
-SAMPLE_ROWS, FEATURE_BYTES = 4000, 200_000_000
+SAMPLE_ROWS, FEATURE_BYTES = 4000, 50_000_000
 KEEP, ROUNDS, STEPS = 0.3, 2, 60
 #: Edges of the bins: fixed values.
 SHARES = np.array([0.02, 0.08, 0.15, 0.3, 0.5, 0.7])
@@ -36,18 +38,21 @@ BINS = 7
 WIDTH = 3 * KINDS * BINS + 2  # this line, the one before, the one after; first, last
 
 
-def _classes() -> np.ndarray:
-    """For code points under 0x3000: 1 letter, and 2 more if capital; 4 digit, 8 white space, 16 other."""
-    out = np.zeros(0x3000, np.uint8)
-    for i in range(0x3000):
+@functools.cache
+def classes() -> np.ndarray:
+    """For all code points: 1 letter, and 2 more if capital; 4 digit, 8 white space, 16 other."""
+    out = np.full(0x110000, 16, np.uint8)
+    for i in range(0x110000):
         c = chr(i)
-        out[i] = 1 + 2 * c.isupper() if c.isalpha() else 4 if c.isdigit() else 8 if c.isspace() else 16
+        if c.isalpha():
+            out[i] = 1 + 2 * c.isupper()
+        elif c.isdigit():
+            out[i] = 4
+        elif c.isspace():
+            out[i] = 8
     return out
 
 
-CLASSES = _classes()
-
-
 def line_bins(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For texts: bins (lines, KINDS), lengths of lines, lines of each text."""
     lines = [t.split("\n") for t in texts]
@@ -57,7 +62,7 @@ def line_bins(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.flatnonzero(codes == 10)
     starts = np.concatenate([[0], ends[:-1] + 1])
     lengths = ends - starts
-    kind = CLASSES[np.minimum(codes, 0x2FFF)]
+    kind = classes()[codes]
 
     def count(mask: np.ndarray) -> np.ndarray:
         sums = np.concatenate([[0], np.cumsum(mask, dtype=np.int32)])
@@ -195,15 +200,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> F
                 cut = np.cumsum(n)[:-1]
                 yield pd.DataFrame({"doc_id": f["doc_id"], "quality": f["quality"], "bins": [b.tobytes() for b in np.split(bins, cut)], "lengths": [x.astype(np.int32).tobytes() for x in np.split(lengths, cut)]})
 
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "text", F.col("quality").cast("int").alias("quality"))
-    got = rows.mapInPandas(lines, "doc_id long, quality int, bins binary, lengths binary").toArrow().to_pylist()
-    got.sort(key=lambda r: (r["doc_id"], r["bins"]))
-    parts, room = [], FEATURE_BYTES
-    for r in got:
-        room -= len(r["bins"])
-        if room < 0:
-            break
-        parts.append(r)
+    rows = one_row_each(docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "text", F.col("quality").cast("int").alias("quality")))
+    parts = within(rows.mapInPandas(lines, "doc_id long, quality int, bins binary, lengths binary"), "bins", FEATURE_BYTES)
+    parts.sort(key=lambda r: (r["doc_id"], r["bins"]))
     if not parts:
         return train(np.zeros((0, KINDS), np.uint8), np.zeros(0), np.zeros(0, int), np.zeros(0, int))
     bins = np.concatenate([np.frombuffer(r["bins"], np.uint8).reshape(-1, KINDS) for r in parts])

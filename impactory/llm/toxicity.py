@@ -13,9 +13,10 @@ Each category is a logistic model over the indicators and the probabilities of t
 it. In training those are out-of-fold predictions (FOLDS folds), so that a later model doesn't trust
 an earlier one more than it may in use. A document is rejected at a toxic probability of REJECT or more.
 
-Rows: a null or empty text has no feature and gets the chain's base probabilities; repeated rows and
-ties are scored alike; null labels are ignored; without toxic labels every probability is 0. Extra
-columns are carried or ignored, never read.
+Rows: a null or empty text has no feature and gets the chain's base probabilities; very long texts are
+read whole; repeated rows and ties are scored alike (in the fit one row stands for an id, the one with the
+smallest hash of the text); null labels are ignored; without toxic labels every probability is 0. Extra
+columns, whatever their names, are carried or ignored, never read.
 """
 
 from __future__ import annotations
@@ -32,12 +33,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import load, small_batches
+from .common import load, one_row_each, small_batches, within
 
 CATEGORIES = ("explicit", "coded", "toxic")
 PREFIXES = (4, 5, 6, 7)
-#: Bounds of the fit: labelled rows, indicators of each kind.
-SAMPLE_ROWS, INDICATORS = 5_000, 120
+#: Bounds of the fit: labelled rows, bytes of their distinct words, indicators of each kind (the most frequent ones).
+SAMPLE_ROWS, WORD_BYTES, INDICATORS = 5_000, 60_000_000, 120
 #: An indicator occurs in so many toxic rows and in such a share of them at least, and is so many times likelier there.
 LEAST_ROWS, LEAST_SHARE, LEAST_LIFT = 3, 0.007, 20.0
 #: A coded beginning is shared by so many different words at least.
@@ -103,47 +104,88 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 12)
     return w
 
 
+@dataclass
+class Sample:
+    """Labelled rows as the places of those candidate features that they hold; the words behind the beginnings in toxic rows."""
+
+    names: list[str]
+    held: list[np.ndarray]
+    forms: list[list[tuple[str, str]]]
+    toxic: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[tuple[int, str, int]]) -> Sample:
+        """Candidates are features of LEAST_ROWS toxic rows or more: a fold can't select others."""
+        inside: Counter = Counter()
+        for _, words, y in rows:
+            if y:
+                inside.update(features_of(set(words.split())))
+        names = sorted(f for f, k in inside.items() if k >= LEAST_ROWS)
+        place = {f: i for i, f in enumerate(names)}
+        begun = {f[2:] for f in names if f[0] != "w"}
+        held, forms = [], []
+        for _, words, y in rows:
+            own = set(words.split())
+            held.append(np.array(sorted(place[f] for f in features_of(own) if f in place), np.int32))
+            forms.append([(w[:n], w) for w in own for n in PREFIXES if len(w) > n and w[:n] in begun] if y else [])
+        return cls(names, held, forms, np.array([bool(y) for _, _, y in rows]))
+
+    def select(self, rows: np.ndarray) -> tuple[list[int], int]:
+        """The indicators that a part of the rows yields, words first, and how many of them are words."""
+
+        def counts(some: np.ndarray) -> np.ndarray:
+            return np.bincount(np.concatenate([np.zeros(0, np.int32), *(self.held[i] for i in some)]), minlength=len(self.names))
+
+        yes, no = rows[self.toxic[rows]], rows[~self.toxic[rows]]
+        inside, outside = counts(yes), counts(no)
+        lift = inside / (outside + 0.5) * (len(no) + 1) / (len(yes) + 1)
+        marks = np.flatnonzero((inside >= max(LEAST_ROWS, LEAST_SHARE * len(yes))) & (lift >= LEAST_LIFT))
+        marks = marks[np.argsort(-inside[marks], kind="stable")].tolist()
+        forms: dict[str, set[str]] = defaultdict(set)
+        for i in yes:
+            for begun, word in self.forms[i]:
+                forms[begun].add(word)
+        explicit = [k for k in marks if self.names[k][0] == "w"][:INDICATORS]
+        coded = [k for k in marks if self.names[k][0] != "w" and len(forms[self.names[k][2:]]) >= LEAST_FORMS][: 2 * INDICATORS]
+        return [*explicit, *coded], len(explicit)
+
+    def inputs(self, chosen: list[int], n_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of all rows: presence of the chosen features, and the targets of the categories."""
+        at = np.full(len(self.names), -1)
+        at[chosen] = np.arange(len(chosen))
+        x = dense([at[h][at[h] >= 0] for h in self.held], len(chosen))
+        has = np.stack([x[:, :n_words].any(axis=1), x[:, n_words:].any(axis=1), np.ones(len(x), bool)])
+        return x, (has & self.toxic).astype(float)
+
+
 def train(rows: list[tuple[int, str, int]]) -> Model:
-    """rows: (fold key, distinct words joined by blanks, toxic). Only features of toxic rows are counted."""
-    toxic = [r for r in rows if r[2]]
-    if not toxic or len(toxic) == len(rows):
+    """rows: (fold key, distinct words joined by blanks, toxic).
+
+    Indicators are selected anew from each fold's training rows, and so are the weak labels that rest on
+    them: what a row's own label says never enters its out-of-fold predictions. The model that is returned
+    selects from all rows.
+    """
+    toxic = sum(r[2] for r in rows)
+    if not toxic or toxic == len(rows):
         return Model({}, [])
-    inside, outside = Counter(), Counter()
-    for _, words, _ in toxic:
-        inside.update(features_of(set(words.split())))
-    least = max(LEAST_ROWS, LEAST_SHARE * len(toxic))
-    inside = {f: k for f, k in inside.items() if k >= least}
-    begun = {f[2:] for f in inside if f[0] != "w"}
-    forms: dict[str, set[str]] = defaultdict(set)
-    for _, words, y in rows:
-        if not y:
-            outside.update(f for f in features_of(set(words.split())) if f in inside)
-            continue
-        for w in words.split():
-            for n in PREFIXES:
-                if len(w) > n and w[:n] in begun:
-                    forms[w[:n]].add(w)
-    scale = (len(rows) - len(toxic) + 1) / (len(toxic) + 1)
-    lift = {f: (k / (outside[f] + 0.5)) * scale for f, k in inside.items()}
-    marks = sorted((f for f, v in lift.items() if v >= LEAST_LIFT), key=lambda f: (-inside[f], f))
-    explicit = [f for f in marks if f[0] == "w"][:INDICATORS]
-    coded = [f for f in marks if f[0] != "w" and len(forms[f[2:]]) >= LEAST_FORMS][: 2 * INDICATORS]
-    at = {f: i for i, f in enumerate([*explicit, *coded])}
-    found = [sorted(at[f] for f in features_of(set(words.split())) if f in at) for _, words, _ in rows]
-    x, y = dense(found, len(at)), np.array([r[2] for r in rows], float)
-    has = [x[:, : len(explicit)].any(axis=1), x[:, len(explicit) :].any(axis=1), np.ones(len(rows), bool)]
-    fold = np.array([r[0] % FOLDS for r in rows])
+    sample, fold = Sample.of(rows), np.array([r[0] % FOLDS for r in rows])
+    parts = []
+    for k in range(FOLDS):
+        mine, others = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        if len(mine) and len(others):
+            parts.append((mine, others, *sample.inputs(*sample.select(others))))
+    chosen, n_words = sample.select(np.arange(len(rows)))
+    x, target = sample.inputs(chosen, n_words)
     weights, earlier = [], np.zeros((len(rows), 0))
-    for mask in has:
-        target, inputs = y * mask, np.column_stack([x, earlier])
+    for c in range(len(CATEGORIES)):
         oof = np.zeros(len(rows))
-        for k in range(FOLDS):
-            if (fold == k).any() and (fold != k).any():
-                w = logistic(inputs[fold != k], target[fold != k])
-                oof[fold == k] = sigmoid(inputs[fold == k] @ w[1:] + w[0])
-        weights.append(logistic(inputs, target))
+        for mine, others, own, wanted in parts:
+            seen = np.column_stack([own, earlier])
+            w = logistic(seen[others], wanted[c][others])
+            oof[mine] = sigmoid(seen[mine] @ w[1:] + w[0])
+        weights.append(logistic(np.column_stack([x, earlier]), target[c]))
         earlier = np.column_stack([earlier, oof])
-    return Model(at, weights)
+    return Model({sample.names[k]: i for i, k in enumerate(chosen)}, weights)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -156,8 +198,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         for f in frames:
             yield pd.DataFrame({"doc_id": f["doc_id"], "words": [" ".join(sorted(words_of(t))) for t in f["text"]], "toxic": f["toxic"]})
 
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    got = rows.mapInPandas(bags, "doc_id long, words string, toxic int").toArrow().to_pylist()
+    rows = one_row_each(docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")))
+    got = within(rows.mapInPandas(bags, "doc_id long, words string, toxic int"), "words", WORD_BYTES)
     got.sort(key=lambda r: (r["doc_id"], r["words"]))
     return train([(zlib.crc32(r["words"].encode()), r["words"], int(r["toxic"] > 0)) for r in got])
 
