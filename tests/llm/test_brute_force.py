@@ -500,3 +500,24 @@ def test_chroma_of_tones():
     frames = chroma.frames_of_sound(np.sin(2 * np.pi * 440 * t) + np.sin(2 * np.pi * 523.25 * t), rate)
     assert set(np.argsort(frames.sum(axis=0))[-2:]) == {0, 3}
     assert len(chroma.integers(frames)) == max(1, len(frames) - chroma.SPAN + 1)
+
+
+def test_toxicity_on_rows_that_it_has_not_seen(spark, tmp_path):
+    """Learnt from the labels of one half, held against those of the other."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{sf}/labels.parquet")
+    half = F.xxhash64(F.lit(5), "doc_id") % 2 == 0
+    model = toxicity.fit(docs, labels.where(half))
+    rest = docs.join(labels.where(~half & F.col("toxic").isNotNull()), "doc_id")
+    got = rest.select("toxic", (toxicity.probabilities(spark, F.col("text"), model)["toxic"] >= toxicity.REJECT).alias("rejected")).collect()
+    caught = [r["rejected"] for r in got if r["toxic"]]
+    spared = [not r["rejected"] for r in got if not r["toxic"]]
+    assert np.mean(caught) > 0.8 and np.mean(spared) > 0.98
+
+
+def test_a_repeated_labelled_row_does_not_reach_the_driver_twice(spark):
+    df = spark.createDataFrame([(1, "a b c")] * 500 + [(2, "d"), (3, "e f")], "doc_id long, text string")
+    from impactory.llm.common import one_row_each, within
+
+    assert sorted(r["doc_id"] for r in within(one_row_each(df), "text", 1000)) == [1, 2, 3]
+    assert len(within(one_row_each(df), "text", 5)) < 3
