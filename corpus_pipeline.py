@@ -1,4 +1,11 @@
-"""The corpus pipeline: toxicity, quality, near duplicates, secrets, packing."""
+"""The corpus pipeline: toxicity, quality, near duplicates, secrets, packing.
+
+Rows: null and empty texts pass through the stages as texts without words (one of them stays in near
+duplicates) and are packed as their end token alone; very long texts are read whole; repeated rows and
+ties have one verdict, and of equal texts one row stays; null ids are kept and never name anything; an
+empty table yields an empty one. All stages but the last keep every column of documents, whatever its
+name, and read doc_id and text only (secrets renews n_chars, where there is one).
+"""
 
 from __future__ import annotations
 

@@ -22,7 +22,7 @@ A document reports its alignments with all classes of queries, most votes
 first (ties: smallest query), each under the class's smallest query but the row itself; the first one is
 given in columns of its own, and all of them as JSON. The other queries of a class are the queries of the same class_id.
 
-Rows: null and empty texts have no frames, no class partner but each other, and no alignment; null ids
+Rows: very long texts are read whole; null and empty texts have no frames, no class partner but each other, and no alignment; null ids
 are never queries; repeated rows are copies; a recording of fewer frames than a filter needs is padded with silence; an
 empty table gives no rows. Only doc_id and text are read.
 """

@@ -5,7 +5,7 @@ word contributes its log frequency in each language; an unseen word backs off to
 longest length of which at least one is known (NGRAMS, longest first); one of unknown letters
 contributes nothing. The per-language sums give the prediction, a tempered softmax the score.
 
-Rows: null texts and texts without a letter give ``und`` with score 0; ties go to the language that
+Rows: null texts, empty ones and texts without a letter (as Unicode has it) give ``und`` with score 0; ties go to the language that
 sorts first; repeated rows are scored alike; with no labelled row every text is ``und``. Whole texts
 are scored. Only the text column is read, so other columns, whatever their names, don't matter.
 """

@@ -8,8 +8,11 @@ windows leaves a record for each of them. Only the last window can need padding.
 The stream's order is that of the tasks and of the rows in them. Both passes read the written ids of
 the first, so a lost executor changes nothing.
 
-Rows: a null or empty text is its end token alone; a null id stays null; repeated rows are packed
-again; an empty table gives no rows. Only doc_id and text are read, so clashing names don't matter.
+Ids are those of the tokenizers library for the vocabulary file, found faster: pieces that the
+vocabulary's splitting always cuts are encoded once each. The tests hold them against the library.
+
+Rows: a null or empty text is its end token alone; a very long text spans as many windows as it takes; a
+null id stays null; repeated rows are packed again (there are no ties to break); an empty table gives no rows. Only doc_id and text are read, so clashing names don't matter.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ fingerprints are one entry from the start, so a group of copies of any size cost
 
 Components come from alternating large-star and small-star steps, each written to the shared folder.
 
-Rows: null and empty texts have fingerprint zero and link like any other; null ids get the component of
+Rows: null and empty texts have fingerprint zero and link like any other; very long texts are read whole;
+a bit that exactly half the shingles have is 0, and of ties for the smallest id there is one value; null ids get the component of
 their fingerprint but never name it (null if there is no other id); repeated rows are copies of each
 other; an empty table gives no rows. Only doc_id and text are read by the query; the pipeline stage
 keeps all columns.

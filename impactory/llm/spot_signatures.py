@@ -13,7 +13,7 @@ only neighbouring partitions can hold partners, candidates come from the rarest
 
 Everything is built-in DataFrame functions.
 
-Rows: a null text is empty; a null id sorts before all others; rows with one id sort by the text's hash;
+Rows: a null text is empty; very long texts are read whole; a null id sorts before all others; rows with one id sort by the text's hash;
 repeated rows are each other's next document; a single row is its own; an empty table gives no rows.
 Only doc_id and text are read.
 """
