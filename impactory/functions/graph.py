@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .fixpoint import save
+from .fixpoint import drop, save
 
 NO_REFERENCES = "0"
 
@@ -57,17 +57,23 @@ def sane_year(year: Column, current: int) -> Column:
 
 @dataclass
 class CitationGraph:
-    """nodes: paper, pub_year, initial, dangling, n_out. edges: src, dst, src_year; one row per reference, of all references."""
+    """nodes: paper, pub_year, initial, dangling, n_out. edges: src, dst, src_year; one row per reference, of all references. parsed: what both come from."""
 
     nodes: DataFrame
     edges: DataFrame
+    parsed: DataFrame | None = None
 
     @property
     def saved(self) -> CitationGraph:
         """The same, parsed once: written, nodes bucketed by paper and edges by the citing paper. drop() deletes it."""
         if hasattr(self.nodes, "_saved_at"):
             return self
-        return CitationGraph(save(self.nodes, "nodes", by="paper"), save(self.edges, "edges", by="src"))
+        once = None if self.parsed is None else save(self.parsed, "parsed")
+        own = self if once is None else graph_of(once)
+        out = CitationGraph(save(own.nodes, "nodes", by="paper"), save(own.edges, "edges", by="src"))
+        if once is not None:
+            drop(once)
+        return out
 
     @property
     def inner(self) -> DataFrame:
@@ -81,4 +87,4 @@ class CitationGraph:
 def graph_of(parsed: DataFrame) -> CitationGraph:
     nodes = parsed.select("paper", "pub_year", "initial", is_dangling().alias("dangling"), F.size("cited").alias("n_out"))
     edges = citing(parsed).select(F.col("paper").alias("src"), F.explode("cited").alias("dst"), F.col("pub_year").alias("src_year"))
-    return CitationGraph(nodes, edges)
+    return CitationGraph(nodes, edges, parsed)
