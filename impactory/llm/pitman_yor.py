@@ -332,6 +332,18 @@ class Restaurants:
         return np.maximum(self.c - self.d * self.t, 0) / below, ((self.strength + self.d * self.tables()) / (self.strength + self.customers))[self.room]
 
 
+def pairs_packed(own: np.ndarray, rest: np.ndarray) -> bytes:
+    """Two numbers for each entry as the distinct pairs and the place of each: most entries are alike."""
+    pairs, at = np.unique(np.stack([own, rest], axis=1).astype("<f4").view(np.uint64).ravel(), return_inverse=True)
+    return squeeze((pairs, planes(at.astype(np.min_scalar_type(max(1, len(pairs)))))))
+
+
+def pairs_unpacked(body: bytes) -> np.ndarray:
+    """(entries, 2)."""
+    pairs, at = expand(body)
+    return pairs.view("<f4").reshape(-1, 2)[from_planes(*at)]
+
+
 def seated(table: pa.Table) -> pa.Table:
     """A bucket of contexts: answers to each block's entries, and the tables of each word for the words' buckets (dealt out later)."""
     rows = sorted(table.select(["bucket", "block", "body"]).to_pylist(), key=lambda r: r["block"])
@@ -352,7 +364,7 @@ def seated(table: pa.Table) -> pa.Table:
     out, lo = [], 0
     for r, n in zip(rows, sizes, strict=True):
         at = x.asked[lo : lo + n]
-        out.append((ENTRY_ANSWER, number, r["block"], squeeze((planes(own[at].astype("<f4")), planes(rest[at].astype("<f4"))))))
+        out.append((ENTRY_ANSWER, number, r["block"], pairs_packed(own[at], rest[at])))
         lo += n
     full = x.shared > 0
     out.append((TABLES, number, -1 - number, squeeze((ascending(x.words[full].astype(np.uint64)), small(x.shared[full])))))
@@ -470,12 +482,12 @@ def added(x: Root) -> Callable:
         ids, hashes, tokens, lengths = expand(rows[-1]["body"])
         tokens = from_planes(*tokens)
         _, word, at = entries_of(hashes, tokens, lengths)
-        got = {k: [expand(r["body"]) for r in rows if r["kind"] == k] for k in (ENTRY_ANSWER, WORD_ANSWER)}
-        own, rest = (np.concatenate([from_planes(*g[i]) for g in got[ENTRY_ANSWER]]) for i in range(2))
+        own, rest = np.concatenate([pairs_unpacked(r["body"]) for r in rows if r["kind"] == ENTRY_ANSWER]).astype(float).T
+        told = [expand(r["body"]) for r in rows if r["kind"] == WORD_ANSWER]
         count, p = np.zeros(len(hashes)), np.zeros(len(hashes))
         order = np.argsort(hashes)
-        count[order], p[order] = (np.concatenate([from_planes(*g[i]) for g in got[WORD_ANSWER]]) for i in range(2))
-        logs = np.log10(own.astype(float) + rest * p[word])[at]
+        count[order], p[order] = (np.concatenate([from_planes(*x[i]) for x in told]) for i in range(2))
+        logs = np.log10(own + rest * p[word])[at]
         known = count[tokens]
         starts = np.cumsum(lengths) - lengths
         base = np.log10((known + 0.5) / (x.n + 0.5 * (x.v + 1)))
