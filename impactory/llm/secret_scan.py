@@ -282,7 +282,9 @@ def redact(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         return F.concat(F.array_join(F.zip_with(t["spans"], reached, piece), ""), F.substring(text, last.cast("int") + 1, F.length(text)))
 
     spans = F.array_sort(F.concat(*(F.col(f"`{into}`.{k}") for k in KINDS)))
-    new = F.when(F.size(spans) > 0, let(cut, spans=spans)).otherwise(text)
-    found_any = F.size(spans) > 0
-    columns = [new.alias("text") if c == "text" else F.when(found_any, F.length(new).cast("long")).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
-    return s.select(*columns)
+    clean = f"{into}_text"
+    s = s.withColumn(clean, F.when(F.size(spans) > 0, let(cut, spans=spans)).otherwise(text))
+    # The old text goes before the new one takes its name, or the length would be that of the new text cut again.
+    s = s.select(*(F.col(f"`{c}`") for c in docs.columns if c != "text"), F.col(f"`{clean}`"), (F.size(spans) > 0).alias(into))
+    length = F.when(F.col(f"`{into}`"), F.length(f"`{clean}`").cast("long")).otherwise(F.col("n_chars")).alias("n_chars") if "n_chars" in docs.columns else None
+    return s.select(*(F.col(f"`{clean}`").alias("text") if c == "text" else length if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
