@@ -132,7 +132,7 @@ def test_predictive_probabilities_sum_to_one():
 
     asked = (pitman_yor.ascending(np.repeat(every, len(hashes))), np.tile(short, len(every)), pitman_yor.small(full.ravel()))
     told = pitman_yor.seated(pa.Table.from_batches([pitman_yor.batch(pitman_yor.MESSAGE, [message(pitman_yor.WORDS, 0, 7, asked)])])).to_pylist()
-    own, rest = (pitman_yor.from_planes(*x).reshape(full.shape) for x in pitman_yor.expand(told[0]["body"]))
+    own, rest = (x.reshape(full.shape) for x in pitman_yor.pairs_unpacked(told[0]["body"]).T)
     order = np.argsort(hashes)
     train = np.bincount(tokens[np.repeat(~held, lengths)], minlength=len(hashes))
     ask = message(pitman_yor.WORDS, 0, 7, (pitman_yor.ascending(hashes[order]), pitman_yor.small(train[order])))
