@@ -28,14 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import expand, load, partitions_for, small_batches, squeeze
+from .common import by_block, by_bucket, expand, load, partitions_for, small_batches, squeeze
 from .packing import AFTER_WORD, LATIN_END, byte_chars
 
 #: Chunks end where the low bits of the rolling hash are zero, and have at least and at most so many characters.
 CUT_BITS, LEAST, MOST = 11, 256, 16384
 CACHE = 600_000
-#: Characters of text that a shuffle partition holds, about, and buckets in it.
-PARTITION_CHARS, BUCKETS_PER_PARTITION = 16_000_000, 4
+#: Characters of text that a bucket holds, about.
+BUCKET_CHARS = 4_000_000
 #: Characters of text in a block of documents, about (a text is never divided), and how hard its parts are compressed.
 BLOCK_CHARS, LEVEL = 12_000_000, 12
 _GEAR = np.random.default_rng(7).integers(0, 2**32, 65536, dtype=np.uint32)
@@ -248,11 +248,10 @@ def encode(docs: DataFrame, path: str, full: bool = True) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = partitions_for(rows, PARTITION_CHARS)
-    sent = rows.mapInArrow(chunked(BUCKETS_PER_PARTITION * parts), BLOCK)
-    back = sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(encoded(path), BLOCK)
+    n = partitions_for(rows, BUCKET_CHARS)
+    back = by_bucket(rows.mapInArrow(chunked(n), BLOCK), n).groupBy("bucket").applyInArrow(encoded(path), BLOCK)
     columns = "ids array<long>, decoded string" if full else "ids_sha256 string, decoded_sha256 string"
-    return back.repartition(parts, "batch").groupBy("batch").applyInArrow(assembled(path, full), f"doc_id long, n_tokens long, {columns}")
+    return by_block(back, n, "batch").groupBy("batch").applyInArrow(assembled(path, full), f"doc_id long, n_tokens long, {columns}")
 
 
 def op7_chunk_bpe(spark, sf_dir: str) -> DataFrame:

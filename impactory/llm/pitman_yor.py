@@ -41,14 +41,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascending, discard, expand, free_shuffles, from_ascending, from_planes, load, materialize, partitions_for, planes, small_batches, squeeze
+from .common import ascending, by_block as by_blocks, by_bucket, discard, expand, free_shuffles, from_ascending, from_planes, load, materialize, partitions_for, planes, small_batches, squeeze
 
-EXACT, BURN, SAMPLES, PARTS, SEED = 24, 4, 4, 4, 20
+EXACT, BURN, SAMPLES, PARTS, SEED = 24, 3, 3, 4, 20
 #: Grids of discounts and strengths, and the discount and strength to begin with.
 DISCOUNTS, STRENGTHS = np.linspace(0.05, 0.95, 19), np.exp(np.linspace(np.log(1e-3), np.log(1e4), 33))
 FIRST = (0.7, 1.0)
-#: Characters of text in a block (a text is never divided) and in a shuffle partition, about, and buckets in the latter.
-BLOCK_CHARS, PARTITION_CHARS, BUCKETS_PER_PARTITION = 4_000_000, 16_000_000, 2
+#: Characters of text in a block (a text is never divided) and in a bucket, about.
+BLOCK_CHARS, BUCKET_CHARS = 4_000_000, 16_000_000
 END = b"\n"  # no word holds white space
 CONTEXT_BITS, WORD_BITS = 40, 32
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -501,13 +501,12 @@ def score(docs: DataFrame) -> DataFrame:
     """Documents (doc_id, text) to held_out, n_tokens, n_known, train_tokens, base_score and score."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = partitions_for(rows, PARTITION_CHARS)
-    n = parts * BUCKETS_PER_PARTITION
-    contexts = rows.mapInArrow(ask_contexts(n), MESSAGE_SQL).repartition(parts, "bucket").groupBy("bucket").applyInArrow(seated, MESSAGE_SQL)
+    n = partitions_for(rows, BUCKET_CHARS)
+    contexts = by_bucket(rows.mapInArrow(ask_contexts(n), MESSAGE_SQL), n).groupBy("bucket").applyInArrow(seated, MESSAGE_SQL)
     contexts = materialize(contexts, "contexts")
     free_shuffles(docs.sparkSession)
     words = rows.mapInArrow(ask_words(n), MESSAGE_SQL).union(contexts.where(F.col("kind") == TABLES).mapInArrow(spread(n), MESSAGE_SQL))
-    words = materialize(words.repartition(parts, "bucket").groupBy("bucket").applyInArrow(gathered, TOLD_SQL), "words")
+    words = materialize(by_bucket(words, n).groupBy("bucket").applyInArrow(gathered, TOLD_SQL), "words")
     free_shuffles(docs.sparkSession)
     t = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "customers", "full", "ones", "twos"))).first()
     d = t["ones"] / (t["ones"] + 2 * t["twos"]) if t["ones"] + t["twos"] else 0.5
@@ -516,7 +515,7 @@ def score(docs: DataFrame) -> DataFrame:
     root.tables = tuple(r["tables"] for r in sorted(sums)) or (0,) * SAMPLES
     # The documents come first in a union, so that tasks, and so blocks, have the same numbers in every pass.
     told = rows.mapInArrow(describe(), MESSAGE_SQL).union(contexts.where(F.col("kind") == ENTRY_ANSWER)).union(words.mapInArrow(answer_words(root), MESSAGE_SQL))
-    out = materialize(told.repartition(parts, "block").groupBy("block").applyInArrow(added(root), SCORES_SQL), "scores")
+    out = materialize(by_blocks(told, n).groupBy("block").applyInArrow(added(root), SCORES_SQL), "scores")
     for table in (contexts, words):
         discard(table)
     return out
