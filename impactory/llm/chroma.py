@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascending, discard, expand, from_ascending, from_planes, load, materialize, planes, small_batches, squeeze
+from .common import ascending, by_bucket, expand, from_ascending, from_planes, load, materialize, planes, small_batches, squeeze
 
 QUERY, BEAT, SPAN = 100, 4, 12
 #: Filters in a mark (the first ones), frames of the longest of them, neighbours in a mark.
@@ -47,8 +47,8 @@ MARKED, SHORT, RUN = 7, 4, 4
 LEAST, DRIFT = 1, 4
 #: Pairs of places of a key that are listed one by one; beyond that they are counted by Fourier transforms.
 PLAIN = 1 << 16
-#: Marks in a block of recordings and in a shuffle partition, about, and buckets in the latter.
-BLOCK_MARKS, PARTITION_MARKS, BUCKETS_PER_PARTITION = 1_000_000, 3_000_000, 4
+#: Marks in a block of recordings and in a bucket, about.
+BLOCK_MARKS, BUCKET_MARKS = 1_000_000, 1_000_000
 EDGES = (-0.25, 0.0, 0.25)
 #: By rule: four kinds of partition, over four widths in frames, each at a place in pitch of its own.
 FILTERS = tuple((kind, width, (5 * kind + 3 * i) % 9, 4 if kind else 6) for i, width in enumerate((2, 4, 8, SPAN)) for kind in range(4))
@@ -193,7 +193,10 @@ MESSAGE_SQL = "bucket int, asks boolean, body binary"
 
 
 def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
-    """To each bucket of keys the marks of blocks of recordings: keys in order, and their rows."""
+    """To each bucket of keys the marks of blocks of recordings: keys in order, and their rows.
+
+    Of equal recordings in a block the first one speaks: a class goes by its first row.
+    """
 
     def block(rows: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
         keys, who = np.concatenate(found), np.repeat(np.arange(len(rows)), [len(k) for k in found])
@@ -207,15 +210,21 @@ def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True) if out else ((), (), ()), MESSAGE, strict=True)], [n for n, _ in MESSAGE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, found, room = [], [], BLOCK_MARKS
+        import xxhash
+
+        rows, found, room, seen = [], [], BLOCK_MARKS, set()
         for b in batches:
             for row, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                digest = xxhash.xxh3_128_digest(x)
+                if digest in seen:
+                    continue
+                seen.add(digest)
                 rows.append(row)
                 found.append(np.unique(landmarks(np.frombuffer(x, "<u4"))[0]))
                 room -= len(found[-1])
                 if room <= 0:
                     yield block(rows, found)
-                    rows, found, room = [], [], BLOCK_MARKS
+                    rows, found, room, seen = [], [], BLOCK_MARKS, set()
         if rows:
             yield block(rows, found)
 
@@ -244,9 +253,8 @@ def met(table: pa.Table) -> pa.Table:
 def candidates(prints: DataFrame, asking: DataFrame) -> DataFrame:
     """(row, query_row) of all pairs that share a mark."""
     frames = prints.agg(F.sum("n_frames")).first()[0] or 0
-    parts = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), frames // PARTITION_MARKS)
-    sent = marks(prints, False, BUCKETS_PER_PARTITION * parts).union(marks(asking, True, BUCKETS_PER_PARTITION * parts))
-    return sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(met, "row long, query_row long").distinct()
+    n = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), frames // BUCKET_MARKS)
+    return by_bucket(marks(prints, False, n).union(marks(asking, True, n)), n).groupBy("bucket").applyInArrow(met, "row long, query_row long").distinct()
 
 
 def alignment(mine: bytes, other: bytes, marks_of=lambda b: landmarks(np.frombuffer(b, "<u4"))) -> tuple[int, int, float] | None:
