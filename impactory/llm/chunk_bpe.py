@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_block, by_bucket, expand, load, partitions_for, small_batches, squeeze
+from .common import by_bucket, expand, load, partitions_for, small_batches, squeeze
 from .packing import AFTER_WORD, LATIN_END, byte_chars
 
 #: Chunks end where the low bits of the rolling hash are zero, and have at least and at most so many characters.
@@ -251,7 +251,7 @@ def encode(docs: DataFrame, path: str, full: bool = True) -> DataFrame:
     n = partitions_for(rows, BUCKET_CHARS)
     back = by_bucket(rows.mapInArrow(chunked(n), BLOCK), n).groupBy("bucket").applyInArrow(encoded(path), BLOCK)
     columns = "ids array<long>, decoded string" if full else "ids_sha256 string, decoded_sha256 string"
-    return by_block(back, n, "batch").groupBy("batch").applyInArrow(assembled(path, full), f"doc_id long, n_tokens long, {columns}")
+    return back.repartition(n, "batch").groupBy("batch").applyInArrow(assembled(path, full), f"doc_id long, n_tokens long, {columns}")
 
 
 def op7_chunk_bpe(spark, sf_dir: str) -> DataFrame:

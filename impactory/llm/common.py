@@ -67,11 +67,6 @@ def by_bucket(sent: DataFrame, n: int) -> DataFrame:
     return sent.repartitionById(n, F.col("bucket"))
 
 
-def by_block(sent: DataFrame, n: int, block: str = "block") -> DataFrame:
-    """Blocks, numbered within tasks (task << 32 | k), to n partitions in turn."""
-    return sent.repartitionById(n, F.pmod(F.shiftright(block, 32) * 8 + F.col(block).bitwiseAND((1 << 32) - 1), F.lit(n)).cast("int"))
-
-
 def one_row_each(rows: DataFrame) -> DataFrame:
     """Of the rows of one doc_id the one with the smallest hash of its text."""
     rest = F.min_by(F.struct(*(c for c in rows.columns if c != "doc_id")), F.xxhash64("text")).alias("one")

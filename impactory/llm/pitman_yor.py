@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascending, by_block as by_blocks, by_bucket, discard, expand, free_shuffles, from_ascending, from_planes, load, materialize, partitions_for, planes, small_batches, squeeze
+from .common import ascending, by_bucket, discard, expand, free_shuffles, from_ascending, from_planes, load, materialize, partitions_for, planes, small_batches, squeeze
 
 EXACT, BURN, SAMPLES, PARTS, SEED = 24, 3, 3, 4, 20
 #: Grids of discounts and strengths, and the discount and strength to begin with.
@@ -515,7 +515,7 @@ def score(docs: DataFrame) -> DataFrame:
     root.tables = tuple(r["tables"] for r in sorted(sums)) or (0,) * SAMPLES
     # The documents come first in a union, so that tasks, and so blocks, have the same numbers in every pass.
     told = rows.mapInArrow(describe(), MESSAGE_SQL).union(contexts.where(F.col("kind") == ENTRY_ANSWER)).union(words.mapInArrow(answer_words(root), MESSAGE_SQL))
-    out = materialize(by_blocks(told, n).groupBy("block").applyInArrow(added(root), SCORES_SQL), "scores")
+    out = materialize(told.repartition(n, "block").groupBy("block").applyInArrow(added(root), SCORES_SQL), "scores")
     for table in (contexts, words):
         discard(table)
     return out
