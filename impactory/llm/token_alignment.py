@@ -36,7 +36,9 @@ from .common import expand, load, materialize, planes, from_planes, small_batche
 from .packing import byte_chars
 
 #: Characters of text in a block of documents, about (a text is never divided), units kept at once, and an id's bits.
-BLOCK_CHARS, CACHE, ID_BITS = 6_000_000, 400_000, 32
+BLOCK_CHARS, CACHE, ID_BITS = 6_000_000, 250_000, 32
+#: Units that are encoded as one line.
+LINE = 2000
 #: The mark of a blank in B's pieces, and the white space that makes a text one unit where a blank follows it.
 MARK = "▁"
 BEFORE_BLANK = re.compile(r"\s ")
@@ -92,13 +94,15 @@ class Vocabularies:
             return [text]
         return text.split(" ")
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """Ids of units by A and by B, and whether both give the unit's bytes."""
-        a = self.a.encode_ordinary_batch([" " + u for u in units], num_threads=1)
-        b = self.b.encode(units, num_threads=1)
-        whole = [(" " + u).encode("utf-8", "surrogatepass") for u in units]
-        same = [b"".join(map(self.bytes_a.__getitem__, x)) == w == b"".join(map(self.bytes_b.__getitem__, y)) for x, y, w in zip(a, b, whole, strict=True)]
-        return a, b, np.array(same, bool)
+    def encode(self, units: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of a line of units by A and by B."""
+        text = " ".join(units)
+        return self.a.encode_ordinary(" " + text), self.b.encode(text, num_threads=1)
+
+    def agree(self, ids_a: list[int], ids_b: list[int], units: list[str]) -> bool:
+        """Whether both give the units' bytes."""
+        whole = (" " + " ".join(units)).encode("utf-8", "surrogatepass")
+        return b"".join(map(self.bytes_a.__getitem__, ids_a)) == whole == b"".join(map(self.bytes_b.__getitem__, ids_b))
 
 
 class Aligned:
@@ -108,16 +112,32 @@ class Aligned:
         self.v, self.known = Vocabularies(path_a, path_b), {}
 
     def learn(self, units: list[str]) -> None:
-        """Align units, all at once."""
-        a, b, same = self.v.encode(units)
-        self.known.update((u, None) for u, ok in zip(units, same, strict=True) if not ok)
-        units = [u for u, ok in zip(units, same, strict=True) if ok]
-        if not units:
-            return
-        a, b = [x for x, ok in zip(a, same, strict=True) if ok], [x for x, ok in zip(b, same, strict=True) if ok]
-        n_a, n_b = np.array(list(map(len, a))), np.array(list(map(len, b)))
-        ids_a, ids_b = np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
-        ends_a, ends_b = np.cumsum(self.v.len_a[ids_a]), np.cumsum(self.v.len_b[ids_b])  # units end together, so one line of bytes will do
+        """Align units: those that are cut from texts in lines of many, whole texts and what doesn't give its bytes alone."""
+        plain, lines = [u for u in units if self.plain(u)], [[u] for u in units if not self.plain(u)]
+        lines = [plain[k : k + LINE] for k in range(0, len(plain), LINE)] + lines
+        while lines:
+            done: list[tuple[list[str], list[int], list[int]]] = []
+            for line in lines:
+                ids_a, ids_b = self.v.encode(line)
+                if self.v.agree(ids_a, ids_b, line):
+                    done.append((line, ids_a, ids_b))
+                elif len(line) == 1:
+                    self.known[line[0]] = None
+            ended = {id(line) for line, *_ in done}
+            lines = [[u] for line in lines if len(line) > 1 and id(line) not in ended for u in line]
+            if done:
+                self.align(done)
+
+    @staticmethod
+    def plain(unit: str) -> bool:
+        """Whether a unit may stand in a line: no blanks in it, and no white space before the next one's."""
+        return bool(unit) and " " not in unit and not unit[-1].isspace()
+
+    def align(self, lines: list[tuple[list[str], list[int], list[int]]]) -> None:
+        """Groups of all lines at once. Units end together, so one row of bytes will do."""
+        units = [u for line, *_ in lines for u in line]
+        ids_a, ids_b = (np.concatenate([np.array(x[k], np.int64) for x in lines]) for k in (1, 2))
+        ends_a, ends_b = np.cumsum(self.v.len_a[ids_a]), np.cumsum(self.v.len_b[ids_b])
         label = terminals(successors(ends_a, ends_b)) - len(ids_a)  # a group's name: its last token of B
         last_a = np.flatnonzero(np.diff(label[: len(ids_a)], append=-1))
         last_b = np.flatnonzero(np.diff(label[len(ids_a) :], append=-1))
@@ -125,12 +145,13 @@ class Aligned:
         text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
         groups, i, j = [], 0, 0
         for x, y in zip((last_a + 1).tolist(), (last_b + 1).tolist(), strict=True):
-            groups.append(f"{','.join(text_a[i:x])}|{','.join(text_b[j:y])}")
+            groups.append(f"{text_a[i]}|{text_b[j]}" if x - i == y - j == 1 else f"{','.join(text_a[i:x])}|{','.join(text_b[j:y])}")
             i, j = x, y
-        bounds = np.searchsorted(last_b, np.cumsum(n_b) - 1) + 1
+        ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) + 1 for u in units])
+        n_a, n_b = (np.diff(np.searchsorted(e, ends) + 1, prepend=0).tolist() for e in (ends_a, ends_b))
         first = 0
-        for k, (u, bound) in enumerate(zip(units, bounds.tolist(), strict=True)):
-            self.known[u] = (int(n_a[k]), int(n_b[k]), ";".join(groups[first:bound]), pairs[first:bound])
+        for u, a, b, bound in zip(units, n_a, n_b, (np.searchsorted(ends_b[last_b], ends) + 1).tolist(), strict=True):
+            self.known[u] = (a, b, ";".join(groups[first:bound]), pairs[first:bound])
             first = bound
 
 
