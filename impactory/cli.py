@@ -8,7 +8,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.fixpoint import drop, save
+from .functions.fixpoint import Files, Scratch, save
 from .functions.graph import CitationGraph, graph_of, parse
 from .operators import classes, rankings, topics
 from .sources import tsv
@@ -29,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
         if name in {"pagerank", "attrank", "ecm"}:
             p.add_argument("--alpha", type=float, required=True)
             p.add_argument("--error", type=float, required=True)
+            p.add_argument("--resume", help="shared folder for finished steps: a run that was cut off goes on from there; deleted when the output is written")
         if name in {"attrank", "ram", "ecm"}:
             p.add_argument("--current-year", type=int, required=True)
             p.add_argument("--gamma", type=float, required=True)
@@ -58,14 +59,14 @@ def told(step: int, error: float, seconds: float) -> None:
 def scores_of(g: CitationGraph, a: argparse.Namespace) -> tuple[DataFrame, str, dict[str, object]]:
     """Scores (of ECM with the year), the name of the metric's column, and the parameters that name the output."""
     if a.command == "pagerank":
-        return rankings.pagerank(g, a.alpha, a.error, log=told), "pr", {"a": a.alpha, "error": a.error}
+        return rankings.pagerank(g, a.alpha, a.error, log=told, resume=a.resume), "pr", {"a": a.alpha, "error": a.error}
     if a.command == "attrank":
-        got = rankings.attrank(g, a.alpha, a.beta, a.gamma, a.rho, a.current_year, a.start_year, a.error, a.null_year, log=told)
+        got = rankings.attrank(g, a.alpha, a.beta, a.gamma, a.rho, a.current_year, a.start_year, a.error, a.null_year, log=told, resume=a.resume)
         return got, "attrank", {"a": a.alpha, "b": a.beta, "c": a.gamma, "rho": a.rho, "year": f"{a.start_year}-{a.current_year}", "error": a.error}
     if a.command == "ram":
         return rankings.ram(g, a.gamma, a.current_year), "ram", {"c": a.gamma, "year": a.current_year}
     if a.command == "ecm":
-        return rankings.ecm(g, a.alpha, a.gamma, a.current_year, a.error, log=told), "ecm", {"c": a.gamma, "year": a.current_year, "a": a.alpha, "error": a.error}
+        return rankings.ecm(g, a.alpha, a.gamma, a.current_year, a.error, log=told, resume=a.resume), "ecm", {"c": a.gamma, "year": a.current_year, "a": a.alpha, "error": a.error}
     return rankings.citation_count(g, a.limit_year), f"{a.limit_year}-cc" if a.limit_year else "cc", {}
 
 
@@ -89,7 +90,8 @@ def rank(spark: SparkSession, a: argparse.Namespace) -> str:
     out = tsv.write_tsv(classes.classify(scores, metric, a.clamp, cuts), f"{a.output.rstrip('/')}/{name}")
     if "year" in scores.columns:
         tsv.write_tsv(scores.select(tsv.decode_ids("paper").alias("doi"), F.col("score").alias(metric), "year"), f"{a.output.rstrip('/')}/years_{name}")
-    drop(g.nodes, g.edges, scores, cuts)
+    if getattr(a, "resume", None):
+        Files(spark, a.resume).delete()
     return out
 
 
@@ -117,14 +119,14 @@ def write_topics(spark: SparkSession, a: argparse.Namespace) -> list[str]:
         tsv.write_tsv(pids.select("identifier", "concept", "3y-fwci"), f"{impact}/3-year_FWCI.txt.gz", **plain),
     ]
     print(f"rows\t{pids.count()}")
-    drop(top, d, cuts, pids)
     return paths
 
 
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"impactory-{a.command}").getOrCreate()
-    print(write_topics(spark, a) if a.command == "topics" else rank(spark, a))
+    with Scratch(spark):
+        print(write_topics(spark, a) if a.command == "topics" else rank(spark, a))
 
 
 if __name__ == "__main__":

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from .fixpoint import drop, save
 
 NO_REFERENCES = "0"
+#: So many repeated papers may be broadcast, with names of so many bytes in all.
+FEW, FEW_BYTES = 1_000_000, 64 << 20
 
 
 def cited_papers(data: str = "citation_data") -> Column:
@@ -27,16 +29,38 @@ def initial_score(data: str = "citation_data") -> Column:
     return F.element_at(F.split(F.col(data), r"\|"), -1).try_cast("double")
 
 
+def repeated_papers(parsed: DataFrame) -> DataFrame:
+    """(paper): those of several rows, null included. Only names are shuffled, counted before that."""
+    return parsed.groupBy("paper").count().where("count > 1").select("paper")
+
+
+def first_of_each(parsed: DataFrame, repeated: DataFrame, few: bool) -> DataFrame:
+    """parsed with the first row of each repeated paper only. Rows of other papers stay where they are, if few are repeated."""
+    again = repeated.select(F.col("paper").alias("again"))
+    again, same = F.broadcast(again) if few else again, parsed["paper"].eqNullSafe(F.col("again"))
+    packed = parsed.join(again, same, "left_semi").groupBy("paper").agg(F.min(F.struct("pub_year", "initial", "cited")).alias("x"))
+    return parsed.join(again, same, "left_anti").unionByName(packed.select("paper", "x.cited", "x.initial", "x.pub_year"))
+
+
 def parse(lines: DataFrame, mode: str = "permissive") -> DataFrame:
-    """Lines to (paper, cited, initial, pub_year). strict raises on repeated papers; permissive keeps the first line of each."""
+    """Lines to (paper, cited, initial, pub_year). strict raises on repeated papers; permissive keeps the first line of each.
+
+    permissive writes the parsed lines, looks for repeated names in that column alone, and regroups the lines of those
+    only: references of other papers are never shuffled. Names are broadcast if they are few, by their number and
+    bytes; beyond that, rows are joined by name.
+    """
     out = lines.select("paper", cited_papers().alias("cited"), initial_score().alias("initial"), F.col("pub_year").try_cast("int").alias("pub_year"))
     if mode == "strict":
-        if out.groupBy("paper").count().where("count > 1").limit(1).count():
+        if not repeated_papers(out).isEmpty():
             raise ValueError("a paper occurs in several lines")
         return out
     if mode == "permissive":
-        packed = out.groupBy("paper").agg(F.min(F.struct("pub_year", "initial", "cited")).alias("x"))
-        return packed.select("paper", "x.cited", "x.initial", "x.pub_year")
+        once = save(out, "parsed")
+        names = save(repeated_papers(once), "repeated", {"n": F.count("*"), "bytes": F.coalesce(F.sum(F.octet_length(F.col("paper").cast("string"))), F.lit(0))})
+        if not names._measures["n"]:
+            drop(names)
+            return once
+        return first_of_each(once, names, names._measures["n"] <= FEW and names._measures["bytes"] <= FEW_BYTES)
     if mode != "asis":
         raise ValueError(f"unknown mode {mode}")
     return out
@@ -68,7 +92,8 @@ class CitationGraph:
         """The same, parsed once: written, nodes bucketed by paper and edges by the citing paper. drop() deletes it."""
         if hasattr(self.nodes, "_saved_at"):
             return self
-        once = None if self.parsed is None else save(self.parsed, "parsed")
+        fresh = self.parsed is not None and not hasattr(self.parsed, "_saved_at")
+        once = save(self.parsed, "parsed") if fresh else None
         own = self if once is None else graph_of(once)
         out = CitationGraph(save(own.nodes, "nodes", by="paper"), save(own.edges, "edges", by="src"))
         if once is not None:

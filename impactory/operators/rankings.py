@@ -33,9 +33,11 @@ def ram(g: CitationGraph, gamma: float, current_year: int) -> DataFrame:
     return g.nodes.select("paper").join(sums, F.col("paper") == F.col("dst"), "left").select("paper", F.coalesce("s", F.lit(0.0)).alias("score"))
 
 
-def ecm(g: CitationGraph, alpha: float, gamma: float, current_year: int, tolerance: float, max_iter: int = 500, log=None) -> DataFrame:
-    """(paper, score, year): sums over citation paths, each step weighing alpha * gamma ** age of the citing paper."""
+def ecm(g: CitationGraph, alpha: float, gamma: float, current_year: int, tolerance: float, max_iter: int = 500, log=None, resume: str | None = None) -> DataFrame:
+    """(paper, score, year): sums over citation paths, each step weighing alpha * gamma ** age of the citing paper. A graph without papers has no rows."""
     own, g = g, g.saved
+    if g.nodes.isEmpty():
+        return g.nodes.select("paper", F.lit(0.0).alias("score"), F.col("pub_year").alias("year"))
     year = sane_year(F.col("src_year"), current_year)
     step_weight = F.col("weight") * alpha * F.pow(F.lit(gamma), current_year - year)
     edges = save(g.inner.select("src", "dst", step_weight.alias("w")), "ecm-edges", by="src")
@@ -47,7 +49,7 @@ def ecm(g: CitationGraph, alpha: float, gamma: float, current_year: int, toleran
         return got.select("paper", "pub_year", into.alias("r"), (F.col("total") + into).alias("total"))
 
     start = g.nodes.select("paper", "pub_year", F.lit(1.0).alias("r"), F.lit(0.0).alias("total"))
-    out, _ = iterate(start, step, {ERROR: F.max("r")}, ERROR, tolerance, max_iter, "ecm", "paper", log)
+    out, _ = iterate(start, step, {ERROR: F.max("r")}, ERROR, tolerance, max_iter, "ecm", "paper", log, resume, {"alpha": alpha, "gamma": gamma, "year": current_year})
     drop(edges)
     if own is not g:
         drop(g.nodes, g.edges)
@@ -64,7 +66,7 @@ def dangling_mass(state: DataFrame):
     return F.coalesce(F.sum(F.when(F.col("dangling"), F.col("score"))), F.lit(0.0))
 
 
-def _power(g: CitationGraph, start: DataFrame, alpha: float, jump, tolerance: float, max_iter: int, log=None) -> DataFrame:
+def _power(g: CitationGraph, start: DataFrame, alpha: float, jump, tolerance: float, max_iter: int, log, resume: str | None, run: dict) -> DataFrame:
     """(paper, score): the fixpoint of alpha * (received + dangling mass / N) + jump over start, of paper, dangling, score and what jump reads.
 
     Edges stay in buckets of the citing paper and the state in those of the paper, so a step moves sums by cited paper only.
@@ -82,17 +84,17 @@ def _power(g: CitationGraph, start: DataFrame, alpha: float, jump, tolerance: fl
         return got.withColumn("score", new).select(*kept, "score", F.abs(F.col("score") - F.col("old")).alias("change"))
 
     measures = {ERROR: F.max("change"), "mass": dangling_mass(start)}
-    out, _ = iterate(start.withColumn("change", F.lit(START)), step, measures, ERROR, tolerance, max_iter, "rank", "paper", log)
+    out, _ = iterate(start.withColumn("change", F.lit(START)), step, measures, ERROR, tolerance, max_iter, "rank", "paper", log, resume, run | {"papers": n})
     drop(edges)
     return out.select("paper", "score")
 
 
-def pagerank(g: CitationGraph, alpha: float, tolerance: float, max_iter: int = 500, log=None) -> DataFrame:
-    """(paper, score) from the initial scores of the file; dangling papers give their score to all alike."""
+def pagerank(g: CitationGraph, alpha: float, tolerance: float, max_iter: int = 500, log=None, resume: str | None = None) -> DataFrame:
+    """(paper, score) from the initial scores of the file; dangling papers give their score to all alike. resume: see iterate()."""
     own, g = g, g.saved
     n = g.nodes.count()
     start = g.nodes.select("paper", "dangling", F.col("initial").alias("score"))
-    out = _power(g, start, alpha, F.lit((1 - alpha) / n if n else 0.0), tolerance, max_iter, log)
+    out = _power(g, start, alpha, F.lit((1 - alpha) / n if n else 0.0), tolerance, max_iter, log, resume, {"alpha": alpha})
     if own is not g and n:
         drop(g.nodes, g.edges)
     return out
@@ -130,12 +132,13 @@ def attrank_vectors(g: CitationGraph, rho: float, current_year: int, start_year:
     return age.join(attention, "paper", "left").select("paper", F.coalesce("attention", F.lit(0.0)).alias("attention"), "age")
 
 
-def attrank(g: CitationGraph, alpha: float, beta: float, gamma: float, rho: float, current_year: int, start_year: int, tolerance: float, null_year: str = "null", max_iter: int = 500, log=None) -> DataFrame:
+def attrank(g: CitationGraph, alpha: float, beta: float, gamma: float, rho: float, current_year: int, start_year: int, tolerance: float, null_year: str = "null", max_iter: int = 500, log=None, resume: str | None = None) -> DataFrame:
     """(paper, score): PageRank whose jumps follow recent attention (beta) and age (gamma)."""
     own, g = g, g.saved
     vectors = attrank_vectors(g, rho, current_year, start_year, null_year)
     start = g.nodes.select("paper", "dangling", F.col("initial").alias("score")).join(vectors, "paper")
-    out = _power(g, start, alpha, beta * F.col("attention") + gamma * F.col("age"), tolerance, max_iter, log)
+    run = {"alpha": alpha, "beta": beta, "gamma": gamma, "rho": rho, "years": [start_year, current_year], "null_year": null_year}
+    out = _power(g, start, alpha, beta * F.col("attention") + gamma * F.col("age"), tolerance, max_iter, log, resume, run)
     if own is not g and not g.nodes.isEmpty():
         drop(g.nodes, g.edges)
     return out

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import graph as G
-from ..functions.fixpoint import _folder, drop, save
+from ..functions.fixpoint import Scratch, drop, save
 from ..operators import classes as C
 from ..operators import rankings as R
 from ..operators import topics as T
@@ -38,7 +38,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def written(df: DataFrame, **options) -> str:
-    return tsv.write_tsv(df, f"{_folder(df.sparkSession)}/tsv-{uuid.uuid4().hex}", **options)
+    return tsv.write_tsv(df, f"{Scratch.current(df.sparkSession).folder}/tsv-{uuid.uuid4().hex}", **options)
 
 
 # ---- Sources and sinks

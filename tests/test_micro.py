@@ -120,6 +120,7 @@ def test_top_concepts_ties_nulls_and_unmatched(spark):
 def test_empty_graph(spark):
     g = graph(spark, [])
     assert R.citation_count(g).count() == 0 and R.pagerank(g, 0.5, 1e-6).count() == 0 and R.ram(g, 0.5, 2000).count() == 0
+    assert R.ecm(g, 0.5, 0.5, 2000, 1e-6).count() == 0 and R.ecm(g, 0.5, 0.5, 2000, 1e-6).columns == ["paper", "score", "year"]
     assert C.classify(R.citation_count(g), "cc").count() == 0
 
 
@@ -209,9 +210,10 @@ def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
     class Elsewhere:
         class sparkContext:
             master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
 
         class conf:
             get = staticmethod(lambda *_: None)
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        fixpoint._folder(Elsewhere)
+        fixpoint.shared_folder(Elsewhere)

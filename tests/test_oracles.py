@@ -5,6 +5,7 @@ import math
 import duckdb
 import pytest
 
+from impactory.functions.fixpoint import Files, Scratch, shared_folder
 from impactory.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -24,12 +25,15 @@ def _rows(rows):
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, name):
-    got = registry.QUERIES[name](spark, SF)
-    want = con.sql(registry.ORACLES[name])
-    columns = sorted(got.columns)
-    assert columns == sorted(want.columns)
-    at = [want.columns.index(c) for c in columns]
-    assert _rows([r[c] for c in columns] for r in got.collect()) == _rows([r[i] for i in at] for r in want.fetchall())
+    before = Files(spark, shared_folder(spark)).names(), spark.sql("SHOW DATABASES").count()
+    with Scratch(spark):
+        got = registry.QUERIES[name](spark, SF)
+        want = con.sql(registry.ORACLES[name])
+        columns = sorted(got.columns)
+        assert columns == sorted(want.columns)
+        at = [want.columns.index(c) for c in columns]
+        assert _rows([r[c] for c in columns] for r in got.collect()) == _rows([r[i] for i in at] for r in want.fetchall())
+    assert (Files(spark, shared_folder(spark)).names(), spark.sql("SHOW DATABASES").count()) == before and spark.sql("SHOW TABLES").isEmpty()
 
 
 def test_entry_and_registry(spark):
