@@ -195,7 +195,8 @@ MESSAGE_SQL = "bucket int, asks boolean, body binary"
 def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
     """To each bucket of keys the marks of blocks of recordings: keys in order, and their rows.
 
-    Of equal recordings in a block the first one speaks: a class goes by its first row.
+    Of equal recordings in a block the one with the smallest row speaks, in whatever order they are read: a class goes
+    by its smallest row, so the block that holds that one always sends the class's marks under it.
     """
 
     def block(rows: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
@@ -212,19 +213,19 @@ def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        rows, found, room, seen = [], [], BLOCK_MARKS, set()
+        rows, found, room, seen = [], [], BLOCK_MARKS, {}
         for b in batches:
             for row, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                digest = xxhash.xxh3_128_digest(x)
-                if digest in seen:
+                at = seen.setdefault(xxhash.xxh3_128_digest(x), len(rows))
+                if at < len(rows):
+                    rows[at] = min(rows[at], row)
                     continue
-                seen.add(digest)
                 rows.append(row)
                 found.append(np.unique(landmarks(np.frombuffer(x, "<u4"))[0]))
                 room -= len(found[-1])
                 if room <= 0:
                     yield block(rows, found)
-                    rows, found, room, seen = [], [], BLOCK_MARKS, set()
+                    rows, found, room, seen = [], [], BLOCK_MARKS, {}
         if rows:
             yield block(rows, found)
 

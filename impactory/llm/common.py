@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import pickle
-import tempfile
 import uuid
 import zlib
 
@@ -12,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.fixpoint import Scratch
+
 #: Rows and bytes that a Python worker gets at once (a text is never divided).
 ROWS_PER_BATCH, BYTES_PER_BATCH = 512, 16 << 20
 
@@ -26,21 +27,17 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. In local mode a temporary one will do; a cluster must name it."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="impactory-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+def fixed_tasks(spark: SparkSession) -> None:
+    """Files are dealt to tasks by their sizes alone, for the session from now on: executors that come or go between passes change nothing."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        known = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+        spark.conf.set("spark.sql.files.minPartitionNum", known or str(spark.sparkContext.defaultParallelism))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write df as a table in the open scope's folder, which is shared, and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{Scratch.current(spark).folder}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path

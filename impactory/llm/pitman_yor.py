@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascending, by_bucket, discard, expand, free_shuffles, from_ascending, from_planes, load, materialize, partitions_for, planes, small_batches, squeeze
+from .common import ascending, by_bucket, discard, expand, fixed_tasks, free_shuffles, from_ascending, from_planes, load, materialize, partitions_for, planes, small_batches, squeeze
 
 EXACT, BURN, SAMPLES, PARTS, SEED = 24, 3, 3, 4, 20
 #: Grids of discounts and strengths, and the discount and strength to begin with.
@@ -500,6 +500,7 @@ def added(x: Root) -> Callable:
 def score(docs: DataFrame) -> DataFrame:
     """Documents (doc_id, text) to held_out, n_tokens, n_known, train_tokens, base_score and score."""
     small_batches(docs.sparkSession)
+    fixed_tasks(docs.sparkSession)  # three passes number the blocks alike
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = partitions_for(rows, BUCKET_CHARS)
     contexts = by_bucket(rows.mapInArrow(ask_contexts(n), MESSAGE_SQL), n).groupBy("bucket").applyInArrow(seated, MESSAGE_SQL)

@@ -311,6 +311,8 @@ WORDS = 200_000
 BLOCK_CHARS, RANGE_CHARS = 3_000_000, 16_000_000
 #: Rows of a key up to which its pairs are listed; larger groups are compared in blocks of so many rows or shingles, about.
 LISTED, BLOCK_ROWS, BLOCK_SHINGLES = 64, 1024, 1_000_000
+#: Pairs for each row of two blocks up to which they are compared one by one.
+ONE_BY_ONE = 4
 #: Shingles of a block compared at once.
 COLUMNS = 4096
 TIMES = np.uint64(0xD6E8FEB86659FD93)
@@ -545,16 +547,28 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 
 def compared(table: pa.Table) -> pa.Table:
-    """Rows that ask and rows of a block to the links between rows of different components, a spanning forest of them."""
+    """Rows that ask and rows of a block to the links between rows of different components, a spanning forest of them.
+
+    Pairs that their sizes and counts of common shingles rule out are never compared; where few are left, those are
+    compared one by one, and else all rows that are in any of them at once.
+    """
     asking = table.column("asks").to_numpy(zero_copy_only=False)
-    row, root = (table.column(c).to_numpy() for c in ("row", "root"))
+    row, root, common = (table.column(c).to_numpy() for c in ("row", "root", "common"))
     sets = [np.frombuffer(x, np.uint64) for x in table.column("value").to_pylist()]
     n = np.array([len(x) for x in sets])
     i, j = np.flatnonzero(asking), np.flatnonzero(~asking)
     u = v = np.zeros(0, np.int64)
     if len(i) and len(j):
-        both = overlaps([sets[k] for k in i], [sets[k] for k in j])
-        x, y = np.nonzero((both >= STAGE_LIKENESS * (n[i][:, None] + n[j][None, :] - both) - 1e-6) & (root[i][:, None] != root[j][None, :]))
+        need = (n[i][:, None] + n[j][None, :]) * (STAGE_LIKENESS / (1 + STAGE_LIKENESS)) - 1e-6
+        may = (np.minimum(common[i][:, None], common[j][None, :]) >= need) & (root[i][:, None] != root[j][None, :])
+        x, y = np.nonzero(may)
+        if len(x) <= ONE_BY_ONE * (len(i) + len(j)):
+            similar_ = np.array([agree(sets[i[a]], sets[j[b]]) for a, b in zip(x.tolist(), y.tolist(), strict=True)], bool)
+            x, y = x[similar_], y[similar_]
+        else:
+            i, j, may = i[may.any(axis=1)], j[may.any(axis=0)], may[may.any(axis=1)][:, may.any(axis=0)]
+            both = overlaps([sets[k] for k in i], [sets[k] for k in j])
+            x, y = np.nonzero(may & (both >= STAGE_LIKENESS * (n[i][:, None] + n[j][None, :] - both) - 1e-6))
         u, v = row[i[x]], row[j[y]]
         if len(u):
             u, v = forest(u, v)
@@ -565,11 +579,13 @@ def rest_of_links(posts: DataFrame, groups: DataFrame, root: DataFrame, sets: Da
     """Links (u, v) between rows that share a token and are in different components (u, root) so far."""
     ours = posts.join(groups.where("m > 2").select("token"), "token", "left_semi").join(root.select(F.col("u").alias("row"), "root"), "row", "left")
     ours = ours.withColumn("root", F.coalesce("root", "row"))
-    parts = ours.groupBy("token", "root").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    parts = ours.groupBy("token", "root").agg(F.count("*").alias("m"), F.sum("n").alias("n"), F.min("n").alias("n_least"), F.max("common").alias("common_most"))
     main = F.max(F.struct("m", "root", "n")).alias("main")
-    left = parts.groupBy("token").agg(F.sum("m").alias("m"), F.sum("n").alias("total"), F.count("*").alias("k"), main).where("k > 1")
-    left = materialize(left.select("token", "m", "total", F.col("main.root").alias("main"), (F.col("m") - F.col("main.m")).alias("m_left"), (F.col("total") - F.col("main.n")).alias("n_left")), "open")
-    members = materialize(ours.join(left, "token"), "members")
+    bounds = (F.min("n_least").alias("n_least"), F.max("common_most").alias("common_most"))
+    left = parts.groupBy("token").agg(F.sum("m").alias("m"), F.sum("n").alias("total"), F.count("*").alias("k"), main, *bounds).where("k > 1")
+    left = materialize(left.select("token", "m", "total", "n_least", "common_most", F.col("main.root").alias("main"), (F.col("m") - F.col("main.m")).alias("m_left"), (F.col("total") - F.col("main.n")).alias("n_left")), "open")
+    # Rows that could not be similar even to a row with the group's least size and most common shingles are done.
+    members = materialize(ours.join(left, "token").where(may_agree(F.col("n"), F.col("common"), F.col("n_least"), F.col("common_most"))), "members")
     a, b = (members.where(F.col("m") <= LISTED).select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("row", "root", "n", "common"))) for x in "ab")
     close = (F.col("row_a") < F.col("row_b")) & (F.col("root_a") != F.col("root_b")) & may_agree(F.col("n_a"), F.col("common_a"), F.col("n_b"), F.col("common_b"))
     pairs = materialize(a.withColumnRenamed("token", "same").join(b, (F.col("same") == F.col("token")) & close).select(F.col("row_a").alias("u"), F.col("row_b").alias("v")).distinct(), "pairs")
@@ -582,7 +598,7 @@ def rest_of_links(posts: DataFrame, groups: DataFrame, root: DataFrame, sets: Da
     def spread(rows: DataFrame, asks: bool) -> DataFrame:
         mine, others = ("asking", "asked") if asks else ("asked", "asking")
         own, each = F.pmod(F.xxhash64("row"), F.col(mine)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(others) - 1))
-        return rows.select("token", "row", "root", F.lit(asks).alias("asks"), own.alias(mine), each.alias(others)).select("token", "asking", "asked", "row", "root", "asks")
+        return rows.select("token", "row", "root", "common", F.lit(asks).alias("asks"), own.alias(mine), each.alias(others)).select("token", "asking", "asked", "row", "root", "common", "asks")
 
     both = spread(large.where("root <> main"), True).union(spread(large, False))
     found = both.join(sets.select("row", "value"), "row").groupBy("token", "asking", "asked").applyInArrow(compared, "u long, v long")
@@ -649,9 +665,12 @@ def similar(docs: DataFrame) -> DataFrame:
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A pipeline stage: of each group of similar texts the first row stays, columns as they were.
 
-    Rows are told apart by their place in the written table, so null and repeated ids don't matter.
+    Rows are told apart by a number that is written beside them once, so null and repeated ids don't matter, nor
+    does how later passes divide the table among tasks.
     """
-    row = "__row_in_table"
-    placed = docs.withColumn(row, F.monotonically_increasing_id())
-    gone = similar(placed.select(F.col(row).alias("row"), F.col("text").cast("string").alias("text"))).select(F.col("row").alias(row)).distinct()
-    return placed.join(gone, row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    number = "row"
+    while number in {c.lower() for c in docs.columns}:
+        number += "_"
+    placed = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    gone = similar(placed.select(F.col(number).alias("row"), F.col("text").cast("string").alias("text"))).select(F.col("row").alias(number)).distinct()
+    return placed.join(gone, number, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

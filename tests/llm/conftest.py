@@ -14,7 +14,7 @@ EDGE = [
 ]
 SCHEMA = "doc_id long, text string, lang string, source string"
 #: Columns whose names operators use for themselves.
-CLASH = ("score", "fp", "row", "key", "bucket", "n", "ids", "part", "block", "signatures", "component_id", "level", "found")
+CLASH = ("score", "fp", "row", "key", "bucket", "n", "ids", "part", "block", "signatures", "component_id", "level", "found", "digest", "class_id", "u", "v", "root", "token", "w", "chunks", "recipe", "keep_id", "times", "told", "pairs", "__row_in_table", "row_")
 
 TURNS = [
     (1, 0, "system", "You are kind."), (1, 1, "user", "Hello there."), (1, 2, "assistant", "Hi!"), (1, 2, "assistant", "Hi!"), (1, 5, "user", "Why"), (1, 6, "assistant", "So."),

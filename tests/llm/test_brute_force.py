@@ -6,7 +6,6 @@ import math
 import re
 import zlib
 from collections import Counter
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -272,13 +271,13 @@ def test_near_duplicates_of_large_groups(spark, monkeypatch):
 
 
 def test_near_duplicates_leave_no_table_behind(spark):
-    from impactory.llm.common import shared_dir
+    from impactory.functions.fixpoint import Scratch
 
-    where = Path(shared_dir(spark).removeprefix("file:"))
-    before = set(where.iterdir())
-    df = spark.createDataFrame([(i, f"one two three four five six {i // 2}") for i in range(10)], "doc_id long, text string").coalesce(1)
-    assert simhash.keep_one(spark, df, "").count() == 5
-    assert [p.name.split("-")[0] for p in set(where.iterdir()) - before] == ["similar"]  # the ids of the rows that go
+    with Scratch(spark) as scope:
+        df = spark.createDataFrame([(i, f"one two three four five six {i // 2}") for i in range(10)], "doc_id long, text string").coalesce(1)
+        assert simhash.keep_one(spark, df, "").count() == 5
+        assert {n.split("-")[0] for n in scope.files.names()} == {"numbered", "similar"}  # the rows, and the ids of those that go
+    assert not scope.files.exists()
 
 
 def test_near_duplicates_of_short_texts_and_common_passages(spark):
