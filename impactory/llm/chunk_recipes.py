@@ -1,11 +1,11 @@
 """Exact deduplication by recipes of content-defined chunks.
 
-A text is cut into words, each with the blank or line end after it, and a chunk begins where the hash of
-two neighbouring words hits a pattern: equal passages are cut alike wherever they stand. A chunk's
+A text is cut into words, and a chunk begins where the hash of two neighbouring words hits a pattern: equal
+passages are cut alike wherever they stand. A chunk's
 identifier is made of 64-bit hashes with different seeds. Identifiers are verified before they count for
 anything: all distinct chunks of the table meet once by their content, and if two of them have the same
-identifier, the scheme is dropped and one with another hash is tried. So equal recipes, which are the ordered lists
-of identifiers, are equal texts, with certainty. Texts themselves never move: each distinct chunk moves
+identifier, the scheme is dropped and one with another hash is tried. So equal recipes, which are what stands
+between chunks and the ordered list of identifiers, are equal texts, with certainty. Texts themselves never move: each distinct chunk moves
 once per task that holds it, and documents are compared by their recipes, sixteen bytes for each chunk.
 
 Repeated rows meet by recipe and id, so that a group of copies is spread over its ids before it is
@@ -16,7 +16,7 @@ DataFrame functions only. Both passes compute chunks from the text alone, so a l
 nothing; recipes and groups are written to the shared folder.
 
 Rows: a null text counts as empty, and empty texts are equal to each other; very long texts have long
-recipes, and a word without blanks is cut every LONGEST characters; of equal texts the row with the largest
+recipes, and texts without blanks are cut into words of LONGEST characters; of equal texts the row with the largest
 id stays, a null id only where no row has one; where rows repeat that id too, exactly one of them is kept;
 an empty table gives no rows. Only doc_id and text are read.
 """
@@ -39,14 +39,21 @@ def text_column() -> Column:
 
 
 def chunked(docs: DataFrame, *kept: Column) -> DataFrame:
-    """The kept columns and the text's chunks, in order; joined they are the text."""
-    words = docs.select(*kept, F.split(text_column(), rf"(?<=[ \n])|(?<=\G\S{{{LONGEST}}})").alias("w"))
+    """The kept columns, the text's chunks in order, and what stands between them: a blank, or nothing where words are long.
+
+    Words are what lies between blanks; where they have over LONGEST bytes on average, as in texts without blanks, they end
+    at line ends and after LONGEST characters too.
+    """
+    names = docs.select(*kept).columns
+    text = docs.select(*kept, text_column().alias("t")).withColumn("w", F.split("t", " "))
+    text = text.withColumn("between", F.when(F.octet_length("t") > LONGEST * F.size("w"), "").otherwise(" "))
+    words = text.select(*names, "between", F.when(F.col("between") == " ", F.col("w")).otherwise(F.split("t", rf"(?<=[ \n])|(?<=\G\S{{{LONGEST}}})")).alias("w"))
     hits = F.expr(f"filter(sequence(0, size(w) - 1), i -> i > 0 and pmod(xxhash64(get(w, i - 1), get(w, i)), {EVERY}) = 0)")
     hit = words.withColumn("hits", hits)
     spaced = hit.withColumn("starts", F.expr(f"concat(array(0), filter(hits, (x, k) -> x - coalesce(get(hits, k - 1), 0) >= {LEAST}))"))
     capped = spaced.withColumn("starts", F.expr(f"flatten(transform(starts, (x, k) -> sequence(x, coalesce(get(starts, k + 1), size(w)) - 1, {MOST})))"))
-    pieces = F.expr("transform(starts, (x, k) -> array_join(slice(w, x + 1, coalesce(get(starts, k + 1), size(w)) - x), ''))")
-    return capped.select(*(c for c in docs.select(*kept).columns), pieces.alias("chunks"))
+    pieces = F.expr("transform(starts, (x, k) -> array_join(slice(w, x + 1, coalesce(get(starts, k + 1), size(w)) - x), between))")
+    return capped.select(*names, pieces.alias("chunks"), "between")
 
 
 def identifier(chunk: Column, hashes: int, bits: int) -> list[Column]:
@@ -69,7 +76,8 @@ def recipes(docs: DataFrame, hashes: int = HASHES, bits: int = 64) -> DataFrame:
         hashes, bits = hashes + 1, 64
     own = (F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text_column().cast("binary"), 256).alias("text_sha256"))
     ids = F.flatten(F.transform("chunks", lambda c: F.array(*identifier(c, hashes, bits))))
-    return materialize(chunked(docs, *own).select("doc_id", "text_sha256", ids.alias("recipe")), "recipes")
+    between = F.array(F.length("between").cast("long"))
+    return materialize(chunked(docs, *own).select("doc_id", "text_sha256", F.concat(between, ids).alias("recipe")), "recipes")
 
 
 def exact_groups(docs: DataFrame, hashes: int = HASHES, bits: int = 64) -> DataFrame:

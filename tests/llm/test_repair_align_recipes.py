@@ -237,7 +237,7 @@ def test_recipes_against_equal_texts(spark):
     words = ["alpha", "beta", "gamma\n", "delta", "x" * 700, "ε"]
     base = [" ".join(rng.choices(words, k=rng.randint(0, 900))) for _ in range(30)]
     rows = [(k, t) for k, t in enumerate(rng.choices(base, k=150))] + [(1000 + k, base[0] + " " * k) for k in range(4)]
-    rows += [(None, base[1]), (None, None), (None, "only nulls"), (None, "only nulls"), (7, base[2]), (7, base[2]), (2000, "word " * 40000), (2001, "word " * 40000), (2002, "y" * 100_000), (2003, "y" * 100_001)]
+    rows += [(None, base[1]), (None, None), (None, "only nulls"), (None, "only nulls"), (7, base[2]), (7, base[2]), (2000, "word " * 40000), (2001, "word " * 40000), (2002, "y" * 100_000), (2003, "y" * 100_001), (2004, "y" * 600 + " " + "z" * 600), (2005, "y" * 600 + "z" * 600), (2006, "y" * 600 + "\n" + "z" * 600)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("w", "chunks", "recipe", "hits", "keep_id", "times", "starts")}).repartition(6)
     groups = defaultdict(list)
     for doc_id, text in rows:
@@ -257,8 +257,9 @@ def test_chunks_are_the_text_and_shared(spark):
     rng = random.Random(6)
     passage = " ".join(f"w{rng.randint(0, 9999)}" for _ in range(1500))
     texts = ["", " ", "one", "a b  c\n\nd ", "x" * 5000, passage, "front " * 50 + passage, passage + " tail", "word " * 20000]
-    got = [r["chunks"] for r in chunk_recipes.chunked(spark.createDataFrame([(t,) for t in texts], "text string")).collect()]
-    assert ["".join(c) for c in got] == texts
+    rows = chunk_recipes.chunked(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    got = [r["chunks"] for r in rows]
+    assert [r["between"].join(r["chunks"]) for r in rows] == texts and rows[4]["between"] == "" and rows[5]["between"] == " "
     assert len(set(got[5]) & set(got[6])) >= len(got[5]) - 2 and got[7][:-1] == got[5][:-1]
     assert len(got[4]) == 1 and max(len(c) for c in got[8]) <= 5 * chunk_recipes.MOST + 5
 
