@@ -309,6 +309,10 @@ STAGE_SHINGLE, STAGE_LIKENESS = 5, 0.8
 WORDS = 200_000
 #: Characters of text in a block of documents, and of the texts whose shingles one range holds, about.
 BLOCK_CHARS, RANGE_CHARS = 3_000_000, 16_000_000
+#: Shingles of a block of texts with partners, and of the texts whose frequencies one range counts, about.
+SET_SHINGLES, RANGE_SHINGLES = 1_000_000, 2_000_000
+#: Steps of frequency for each doubling of it.
+PER_DOUBLING = 4
 #: Rows of a key up to which its pairs are listed; larger groups are compared in blocks of so many rows or shingles, about.
 LISTED, BLOCK_ROWS, BLOCK_SHINGLES = 64, 1024, 1_000_000
 #: Pairs for each row of two blocks up to which they are compared one by one.
@@ -325,6 +329,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> HALF)
 
 
+def dealt(x: np.ndarray, n_ranges: int) -> np.ndarray:
+    """The range that a hash belongs to: equal parts of all 64-bit numbers, in order."""
+    return ((x >> HALF) * np.uint64(n_ranges) >> HALF).astype(np.int32)
+
+
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -361,7 +370,7 @@ def agree(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def may_agree(n: Column, common: Column, m: Column, other: Column) -> Column:
-    """Whether sets of n and m shingles, of which so many occur in other texts as well, can be similar."""
+    """Whether sets of n and m shingles, of which no more than so many can be common, can be similar."""
     return F.least(common, other) >= (n + m) * STAGE_LIKENESS / (1 + STAGE_LIKENESS) - 1e-9
 
 
@@ -402,14 +411,11 @@ def block_messages(block: int, rows: list[int], texts: list[str | None], words:
     several = np.repeat(times > 1, times)
     inside = np.bincount(who[several], minlength=len(sizes))
 
-    def dealt(x: np.ndarray) -> np.ndarray:
-        return ((x >> HALF) * np.uint64(n_ranges) >> HALF).astype(np.int32)
-
     shared, single, who = flat[starts[times > 1]], flat[~several], who[~several]
-    order = np.lexsort((who, dealt(single)))
+    order = np.lexsort((who, dealt(single, n_ranges)))
     single, who = single[order], who[order]
     edges = np.arange(n_ranges + 1)
-    one, two = (np.searchsorted(dealt(x), edges) for x in (single, shared))
+    one, two = (np.searchsorted(dealt(x, n_ranges), edges) for x in (single, shared))
     out = []
     for k in np.flatnonzero((np.diff(one) > 0) | (np.diff(two) > 0)).tolist():
         mine = slice(one[k], one[k + 1])
@@ -485,31 +491,104 @@ def stage_prints(docs: DataFrame, n_chars: int) -> DataFrame:
 
 
 def stage_sets(texts: DataFrame) -> DataFrame:
-    """(row, n, common, value) for (row, text, n, common): the sorted distinct hashes of the shingles."""
+    """(row, n, value, block) for (row, text, n): the sorted distinct hashes of the shingles, and a number for the rows that follow each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
+        words, block, room = WordHashes(), TaskContext.get().partitionId() << 32, SET_SHINGLES
         for b in batches:
-            sets = [np.unique(stage_shingles(t, words)).tobytes() for t in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(3)), pa.array(sets, pa.binary())], ["row", "n", "common", "value"])
+            sets, blocks = [], []
+            for t in b.column(2).to_pylist():
+                sets.append(np.unique(stage_shingles(t, words)))
+                blocks.append(block)
+                room -= len(sets[-1])
+                if room <= 0:
+                    block, room = block + 1, SET_SHINGLES
+            columns = [b.column(0), b.column(1), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array(blocks, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "n", "value", "block"])
 
-    return texts.select("row", "n", "common", "text").mapInArrow(run, "row long, n long, common long, value binary")
+    return texts.select("row", "n", "text").mapInArrow(run, "row long, n long, value binary, block long")
 
 
-def prefixes(sets: DataFrame) -> DataFrame:
-    """(token, row, n, common): of each set so many of its smallest hashes that two similar sets share one of them."""
+def asked(sets: DataFrame, n_ranges: int) -> DataFrame:
+    """The messages of all blocks of sets: to each range its slots (hashes by their lower halves) and how many of the block's rows hold each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = []
-            for x in b.column(3).to_pylist():
-                own = np.sort(mixed(np.frombuffer(x, np.uint64)))
-                found.append(own[: len(own) - int(np.ceil(STAGE_LIKENESS * len(own) - 1e-9)) + 1])
-            if found:
-                again = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in found]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), *(b.column(k).take(again) for k in range(3))], ["token", "row", "n", "common"])
+            blocks, values = b.column(1).to_numpy(), [np.frombuffer(x, np.uint64) for x in b.column(0).to_pylist()]
+            starts = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]])) if len(blocks) else []
+            out = []
+            for lo, hi in zip(starts, [*starts[1:], len(blocks)], strict=True):
+                flat, times = np.unique(np.concatenate(values[lo:hi]), return_counts=True)
+                at = np.searchsorted(dealt(flat, n_ranges), np.arange(n_ranges + 1))
+                for k in np.flatnonzero(np.diff(at)).tolist():
+                    mine = slice(at[k], at[k + 1])
+                    out.append((k, int(blocks[lo]), False, squeeze((flat[mine].astype(np.uint32), times[mine].astype(np.uint32)))))
+            yield messages(out)
+
+    return sets.select("value", "block").mapInArrow(run, MESSAGE_SQL)
+
+
+def counted(table: pa.Table) -> pa.Table:
+    """A range's messages to each block's answers: how frequent its slots are in all sets, in steps; those of one set alone are left out."""
+    told = [(r["range"], r["block"], *expand(r["body"])) for r in table.to_pylist()]
+    _, at = np.unique(np.concatenate([x for *_, x, _ in told]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([x for *_, x in told]))
+    step = np.floor(PER_DOUBLING * np.log2(total) + 1e-9).astype(np.uint8)[at]
+    out, lo = [], 0
+    for k, block, slots, _ in told:
+        own = step[lo : lo + len(slots)]
+        out.append((k, block, False, squeeze((slots[own > 0], own[own > 0]))))
+        lo += len(slots)
+    return pa.Table.from_batches([messages(out)])
+
 
-    return sets.mapInArrow(run, "token long, row long, n long, common long")
+def rarest(sets: pa.Table, told: pa.Table, n_ranges: int) -> pa.Table:
+    """A block's sets and the answers to it to (token, step, row, n, common) of each set's prefix, see prefixes()."""
+    replies = [(r["range"], *expand(r["body"])) for r in told.to_pylist()]
+    names = [np.uint64(k) << HALF | slots.astype(np.uint64) for k, slots, _ in replies]
+    names, first = np.unique(np.concatenate([*names, np.zeros(0, np.uint64)]), return_index=True)
+    steps = np.concatenate([*(x for *_, x in replies), np.zeros(0, np.uint8)])[first]
+    tokens, ranks, left = [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+    counts = []
+    for x in sets.column("value").to_pylist():
+        own = np.frombuffer(x, np.uint64)
+        keys = dealt(own, n_ranges).astype(np.uint64) << HALF | own & np.uint64(0xFFFFFFFF)
+        step = np.zeros(len(own), np.uint8)
+        if len(names):
+            at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
+            step = np.where(names[at] == keys, steps[at], 0).astype(np.uint8)
+        order = np.lexsort((own.view(np.int64), step))[: len(own) - int(np.ceil(STAGE_LIKENESS * len(own) - 1e-9)) + 1]
+        places = np.flatnonzero(step[order])
+        tokens.append(own.view(np.int64)[order[places]])
+        ranks.append(step[order[places]])
+        left.append(len(own) - places)
+        counts.append(len(places))
+    again = pa.array(np.repeat(np.arange(sets.num_rows), counts))
+    columns = [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(ranks).astype(np.int32)), sets.column("row").take(again), sets.column("n").take(again), pa.array(np.concatenate(left))]
+    return pa.Table.from_arrays(columns, ["token", "step", "row", "n", "common"])
+
+
+def prefixes(sets: DataFrame, n_ranges: int) -> DataFrame:
+    """(token, step, row, n, common): of each set so many of its rarest hashes that two similar sets share one of them.
+
+    One order of all hashes holds for all sets: by the number of sets that have them, in steps, and then by
+    value. A hash that no other set has is in the prefix but isn't listed. `common` is how many of the set
+    are left from this one on; two sets whose first shared hash this is share no more than the lesser one of theirs.
+    """
+
+    def run(key: tuple, rows: pa.Table, told: pa.Table) -> pa.Table:
+        return rarest(rows, told, n_ranges)
+
+    told = asked(sets, n_ranges).groupBy("range").applyInArrow(counted, MESSAGE_SQL)
+    return sets.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, "token long, step int, row long, n long, common long")
+
+
+def shared_tokens(posts: DataFrame) -> DataFrame:
+    """(token, m, head) of the tokens that several rows list, with the row that lists it earliest; of tokens that exactly the same rows list, the rarest."""
+    own = F.struct(((F.col("n") - F.col("common")) / F.col("n")).alias("own"), "row", "n", "common")
+    who = [F.bit_xor(F.xxhash64("row")).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("b")]
+    groups = posts.groupBy("token").agg(F.count("*").alias("m"), F.min(own).alias("head"), F.min("step").alias("step"), *who).where("m > 1")
+    return groups.groupBy("m", "a", "b").agg(F.min_by(F.struct("token", "head"), F.struct("step", "token")).alias("first")).select("first.token", "m", "first.head")
 
 
 def kept_edges(edges: DataFrame, sets: DataFrame) -> DataFrame:
@@ -549,7 +628,7 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 def compared(table: pa.Table) -> pa.Table:
     """Rows that ask and rows of a block to the links between rows of different components, a spanning forest of them.
 
-    Pairs that their sizes and counts of common shingles rule out are never compared; where few are left, those are
+    Pairs that their sizes and places in the order rule out are never compared; where few are left, those are
     compared one by one, and else all rows that are in any of them at once.
     """
     asking = table.column("asks").to_numpy(zero_copy_only=False)
@@ -584,7 +663,7 @@ def rest_of_links(posts: DataFrame, groups: DataFrame, root: DataFrame, sets: Da
     bounds = (F.min("n_least").alias("n_least"), F.max("common_most").alias("common_most"))
     left = parts.groupBy("token").agg(F.sum("m").alias("m"), F.sum("n").alias("total"), F.count("*").alias("k"), main, *bounds).where("k > 1")
     left = materialize(left.select("token", "m", "total", "n_least", "common_most", F.col("main.root").alias("main"), (F.col("m") - F.col("main.m")).alias("m_left"), (F.col("total") - F.col("main.n")).alias("n_left")), "open")
-    # Rows that could not be similar even to a row with the group's least size and most common shingles are done.
+    # Rows that could not be similar even to a row with the group's least size and earliest place are done.
     members = materialize(ours.join(left, "token").where(may_agree(F.col("n"), F.col("common"), F.col("n_least"), F.col("common_most"))), "members")
     a, b = (members.where(F.col("m") <= LISTED).select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("row", "root", "n", "common"))) for x in "ab")
     close = (F.col("row_a") < F.col("row_b")) & (F.col("root_a") != F.col("root_b")) & may_agree(F.col("n_a"), F.col("common_a"), F.col("n_b"), F.col("common_b"))
@@ -618,13 +697,15 @@ def similar(docs: DataFrame) -> DataFrame:
     1. Two sets are similar only if so many of either's shingles are in the other. Ranges of the hashes
        count for every text how many of its shingles other texts hold; texts with too few have no partner
        and are done.
-    2. Of the others, two similar sets share one of a fifth of their smallest hashes. Rows that share
-       one are compared with the row among them that has the smallest part of its own, so a group of
-       copies of any size costs a comparison per row.
+    2. Of the others, two similar sets share one of a fifth of their hashes, the rarest ones, and have enough
+       left from the first one that they share (prefix and position filters; the ranges count how many
+       sets hold a hash). Rows that share one are compared with the row among them that lists it
+       earliest, so a group of copies of any size costs a comparison per row.
     3. Rows that share a hash and are still in different components are compared with each other: listed
        in pairs where few share it, and else all rows but those of the largest component in blocks
-       against all, within tasks, of which only links come out. A pair that the counts rule out is
-       never listed.
+       against all, within tasks, of which only links come out. A pair that sizes and positions rule
+       out is never listed, and of hashes that the same rows list only the rarest one counts. A passage
+       that unlike texts share comes after their rare hashes, where too little is left for a link.
     """
     text = F.coalesce("text", F.lit(""))
     sums = materialize(docs.select("row", F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), F.length(text).alias("chars")), "texts")
@@ -636,11 +717,11 @@ def similar(docs: DataFrame) -> DataFrame:
     prints = materialize(every.join(same.select(F.col("root").alias("row")), "row", "left_semi"), "prints")
     for t in (sums, same, every):
         discard(t)
-    alive = materialize(prints.where(F.col("common") >= STAGE_LIKENESS * F.col("n") - 1e-9).select("row", "n", "common"), "alive")
+    alive = materialize(prints.where(F.col("common") >= STAGE_LIKENESS * F.col("n") - 1e-9).select("row", "n"), "alive")
     sets = materialize(stage_sets(docs.select("row", "text").join(alive, "row")), "sets")
-    posts = materialize(prefixes(sets), "prefixes")
-    own = F.struct(((F.col("n") - F.col("common")) / F.col("n")).alias("own"), "row", "n", "common")
-    groups = materialize(posts.groupBy("token").agg(F.count("*").alias("m"), F.min(own).alias("head")).where("m > 1"), "groups")
+    n_shingles = alive.agg(F.sum("n")).first()[0] or 0
+    posts = materialize(prefixes(sets, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_shingles // RANGE_SHINGLES)), "prefixes")
+    groups = materialize(shared_tokens(posts), "groups")
     near = prints.select(F.col("row").alias("doc_id"), "fp")
     indexed = fingerprint_components(near)
     near = near.join(indexed, "fp").where("doc_id <> component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
