@@ -106,3 +106,49 @@ def test_blocks_of_rows_against_all_pairs():
             return root
 
         assert parts(got) == parts(want)
+
+
+def test_texts_around_a_passage_make_no_pairs_that_grow_with_their_square(spark):
+    """Unlike texts that share most of their words: what the filters leave to compare is linear in the texts, at most."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(20000)]
+    passage = list(rng.choice(words, 150))
+    left = []
+    for m in (150, 300, 600):
+        rows = [" ".join([*rng.choice(words, 10), *passage, *rng.choice(words, 10)]) for _ in range(m)]
+        df = spark.createDataFrame([(i, t, len(set(_shingles(t)))) for i, t in enumerate(rows)], "row long, text string, n long")
+        posts = simhash.prefixes(simhash.stage_sets(df), 8)
+        shared = posts.join(simhash.shared_tokens(posts), "token")
+        a, b = (shared.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("row", "n", "common"))) for x in "ab")
+        close = (F.col("row_a") < F.col("row_b")) & simhash.may_agree(F.col("n_a"), F.col("common_a"), F.col("n_b"), F.col("common_b"))
+        left.append(a.withColumnRenamed("token", "same").join(b, (F.col("same") == F.col("token")) & close).count())
+    assert all(k <= m for k, m in zip(left, (150, 300, 600), strict=True)), left
+
+
+def _shingles(text):
+    w = text.split()
+    return [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))]
+
+
+def test_prefixes_in_order_of_rarity_against_plain_counts(spark):
+    """Every listed hash, its place and what is left after it, as a count over all sets gives them; blocks of few shingles."""
+    from collections import Counter
+
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(words, k)) for k in rng.integers(0, 60, 120)]
+    texts += [t + " more" for t in texts[:60]]
+    hashes = simhash.WordHashes()
+    sets = [np.unique(simhash.stage_shingles(t, hashes)).view(np.int64).tolist() for t in texts]
+    counts = Counter(x for s in sets for x in s)
+    want = set()
+    for row, s in enumerate(sets):
+        order = sorted(s, key=lambda x: (int(4 * np.log2(counts[x]) + 1e-9), x))
+        for place, x in enumerate(order[: len(s) - -(-4 * len(s) // 5) + 1]):
+            if counts[x] > 1:
+                want.add((x, row, len(s), len(s) - place))
+    df = spark.createDataFrame([(i, t, len(s)) for i, (t, s) in enumerate(zip(texts, sets, strict=True))], "row long, text string, n long")
+    got = [tuple(r) for r in simhash.prefixes(simhash.stage_sets(df), 5).drop("step").collect()]
+    assert len(got) == len(want) and set(got) == want
