@@ -386,7 +386,7 @@ def messages(rows: list[tuple]) -> pa.RecordBatch:
 def block_messages(block: int, rows: list[int], texts: list[str | None], words: WordHashes, n_ranges: int) -> pa.RecordBatch:
     """What a block of texts sends: to each range of hashes its shingles, and one message about the block as a whole.
 
-    Of equal texts in a block the first one speaks. A shingle that several of the block's texts hold goes
+    Of equal texts in a block the smallest row speaks, in whatever order they are read. A shingle that several of the block's texts hold goes
     once, without naming them; another goes with its text's digest of 32 bits, so that copies don't count
     as others (texts that differ and have one digest, a chance of 2 ** -32, don't either).
     """
@@ -394,7 +394,8 @@ def block_messages(block: int, rows: list[int], texts: list[str | None], words:
 
     first: dict[int, int] = {}
     for i, text in enumerate(texts):
-        first.setdefault(xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")), i)
+        i = min(first.setdefault(digest := xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")), i), i, key=rows.__getitem__)
+        first[digest] = i
     digests = np.fromiter(first, np.uint64, len(first)).astype(np.uint32)
     own, prints = [], np.zeros(len(first), np.uint64)
     for k, i in enumerate(first.values()):

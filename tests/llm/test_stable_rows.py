@@ -152,3 +152,12 @@ def test_prefixes_in_order_of_rarity_against_plain_counts(spark):
     df = spark.createDataFrame([(i, t, len(s)) for i, (t, s) in enumerate(zip(texts, sets, strict=True))], "row long, text string, n long")
     got = [tuple(r) for r in simhash.prefixes(simhash.stage_sets(df), 5).drop("step").collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_of_equal_texts_the_smallest_row_speaks():
+    """Whatever the order in which a block reads them."""
+    texts = ["one two three four five six", "other words are here in this text", "one two three four five six"]
+    for rows in ([7, 5, 2], [2, 5, 7], [5, 9, 3]):
+        sent = simhash.block_messages(0, rows, texts, simhash.WordHashes(), 4).to_pylist()
+        whole = next(simhash.expand(r["body"]) for r in sent if r["whole"])
+        assert set(whole[0].tolist()) == {min(rows[0], rows[2]), rows[1]}
