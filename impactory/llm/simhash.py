@@ -243,13 +243,15 @@ def components(edges: DataFrame) -> DataFrame:
     def both(e: DataFrame) -> DataFrame:
         return e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def settled(e: DataFrame) -> bool:
+        """Whether every node points to one root at most and no root to another."""
+        ends = e.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("v", F.lit(0), F.lit(1)))
+        nodes = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return nodes.where((F.col("up") > 1) | (F.col("up") + F.col("down") > 1)).isEmpty()
 
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    seen = mark(now)
     for _ in range(STEPS):
-        if not seen[0]:
+        if settled(now):
             break
         two = both(now)
         low = two.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -260,9 +262,7 @@ def components(edges: DataFrame) -> DataFrame:
         new = materialize(small.where("u <> v").distinct(), "edges")
         discard(large)
         discard(now)
-        now, was, seen = new, seen, mark(new)
-        if seen == was:
-            break
+        now = new
     else:
         raise RuntimeError("components did not settle")
     out = now.select("u", F.col("v").alias("root"))
