@@ -17,8 +17,9 @@ one p-value: the chance that an ordinary token is as much like a random one. A t
 correlation together (Fisher's rule) would be rejected for a random one at REJECT is none.
 
 False discoveries are held at RATE within each length class (powers of two) by Benjamini and Hochberg's
-rule over all candidates of the table, on p-values in tenths of a decade: the candidates' scores are
-written once, counted by class and bin, and the cut-offs, a few numbers, are applied in a last pass.
+rule over all candidates of the table, on p-values in tenths of a decade. The texts are read once for that:
+their distinct runs of symbols are counted before they are shuffled and written with their numbers; symbols are
+counted in the short ones, each long one is scored once, and the cut-offs, a few numbers, are applied in a last pass.
 Everything is built-in DataFrame functions.
 
 Rows: a null text is empty and has no span; very long texts are scanned whole, in time linear in their
@@ -45,6 +46,7 @@ KINDS = ("assign", "access", "hex", "random")
 
 LEAST, RATE, REJECT = 20, 0.01, 0.001
 TOKEN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
+GAP = r"[^A-Za-z0-9+/_=-]+"
 #: Encodings in the order in which they are tried: name, pattern, symbols.
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ENCODINGS = (
@@ -179,20 +181,30 @@ def verdict(b: Column, usual: list[dict[str, float]]) -> Column:
     return F.struct(F.floor(F.log2(F.greatest(n, F.lit(1.0)))).cast("int").alias("size"), F.coalesce(bin_, F.lit(-1)).alias("bin"))
 
 
-def usual_scores(docs: DataFrame, scores: DataFrame) -> list[dict[str, float]]:
+def runs_of_symbols(docs: DataFrame) -> DataFrame:
+    """The distinct runs of the candidates' characters in all texts, and how often each occurs."""
+    run = F.explode(F.split(F.coalesce("text", F.lit("")), GAP)).alias("run")
+    return docs.select(run).where("run != ''").groupBy("run").agg(F.count("*").alias("times"))
+
+
+def usual_scores(runs: DataFrame, scores: DataFrame) -> list[dict[str, float]]:
     """For each encoding what is usual: sums of its symbols' squared shares in all texts and so on, and the sizes of the candidates' scores."""
-    plain = docs.select(F.regexp_replace("text", TOKEN, "").alias("t"))
-    # One row of a number for each symbol, and one for each encoding.
-    seen = plain.agg(*(F.sum(F.length("t") - F.length(F.replace("t", F.lit(c), F.lit("")))).alias(f"n{i}") for i, c in enumerate(SYMBOLS))).first()
-    counts = {c: float(seen[f"n{i}"] or 0) for i, c in enumerate(SYMBOLS)}
+    plain = runs.where(F.length("run") < LEAST).select(F.explode(F.split("run", "")).alias("c"), "times")
+    seen = {r["c"]: r["n"] for r in plain.where("c != ''").groupBy("c").agg(F.sum("times").alias("n")).collect()}  # a row for each character of the alphabets
+    counts = {c: float(seen.get(c, 0)) for c in SYMBOLS}
     whole = sum(LETTERS.values())
     for c, share in LETTERS.items():
         counts[c] += PRIOR * (1 - UPPER_SHARE - DIGIT_SHARE) * share / whole
         counts[c.upper()] += PRIOR * UPPER_SHARE * share / whole
     for c in DIGITS:
         counts[c] += PRIOR * DIGIT_SHARE / 10
-    sizes = [(f(F.abs(name)), f"{name}_{what}") for name in ("runs", "serial") for what, f in (("mean", F.avg), ("spread", F.stddev_pop))]
-    by = {r["kind"]: r for r in scores.groupBy("kind").agg(*(c.alias(name) for c, name in sizes)).collect()}
+
+    def sizes(name: str) -> list[Column]:
+        x = F.when(F.col(name).isNotNull(), F.struct(F.col("times").cast("double").alias("w"), F.abs(name).alias("x")))
+        mean = F.sum(x["w"] * x["x"]) / F.sum(x["w"])
+        return [mean.alias(f"{name}_mean"), F.sqrt(F.greatest(F.lit(0.0), F.sum(x["w"] * x["x"] * x["x"]) / F.sum(x["w"]) - mean * mean)).alias(f"{name}_spread")]
+
+    by = {r["kind"]: r for r in scores.groupBy("kind").agg(*sizes("runs"), *sizes("serial")).collect()}  # a row for each encoding
     out = []
     for i, (_, _, (alphabet,)) in enumerate(ENCODINGS):
         total = sum(counts[c] for c in alphabet)
@@ -215,15 +227,16 @@ class Cutoffs:
 
 
 def cutoffs(docs: DataFrame) -> Cutoffs:
-    tokens = docs.select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TOKEN), F.lit(0))).alias("token"))
-    scores = materialize(tokens.select(battery(F.col("token")).alias("b")).select("b.*"), "scores")
-    usual = usual_scores(docs, scores)
-    counts = scores.select(verdict(F.struct("n", "kind", "uniform", "runs", "serial"), usual).alias("v")).groupBy(F.col("v.size").alias("size"), F.col("v.bin").alias("bin")).agg(F.count("*").alias("n"))
+    runs = materialize(runs_of_symbols(docs), "runs")
+    scores = materialize(runs.where(F.length("run") >= LEAST).select("times", battery(F.col("run")).alias("b")).select("times", "b.*"), "scores")
+    usual = usual_scores(runs, scores)
+    counts = scores.select("times", verdict(F.struct("n", "kind", "uniform", "runs", "serial"), usual).alias("v")).groupBy(F.col("v.size").alias("size"), F.col("v.bin").alias("bin")).agg(F.sum("times").alias("n"))
     by = Window.partitionBy("size")
     ranked = counts.select("size", "bin", F.sum("n").over(by).alias("m"), F.sum("n").over(by.orderBy(F.desc("bin"))).alias("k"))
     held = ranked.where((F.col("bin") >= 0) & (F.pow(F.lit(10.0), -F.col("bin") / 10) <= RATE * F.col("k") / F.col("m")))
     out = Cutoffs(usual, {r["size"]: r["bin"] for r in held.groupBy("size").agg(F.min("bin").alias("bin")).collect()})  # a row for each power of two
-    discard(scores)
+    for table in (runs, scores):
+        discard(table)
     return out
 
 
