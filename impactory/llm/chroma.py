@@ -14,7 +14,8 @@ Search: queries are the rows whose id is divisible by QUERY. Recordings with equ
 named by the smallest id, and so are queries. Marks stand for a class: at every frame, the bits of the
 filters of up to SHORT frames of RUN neighbours in a row, so that a mark spans seven frames, survives bits
 that differ elsewhere, and each unedited run of that length yields one. A class is compared with every
-class of queries that shares a mark with it. All places of the shared
+class of queries that shares a mark with it. Its queries go with it as one list, and the comparisons are made where
+a part of the classes meets a block of queries: what is shuffled grows with the classes, not with the pairs. All places of the shared
 marks vote, each pair of places for its difference. The alignment of the two is the highest column of this
 histogram that has LEAST votes within DRIFT frames, as an edited copy gains or loses beats (ties: most votes
 there, then smallest offset), judged by the share of bits that differ over the overlap.
@@ -34,11 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascending, by_bucket, expand, from_ascending, from_planes, load, materialize, planes, small_batches, squeeze
+from .common import ROWS_PER_BATCH, ascending, by_bucket, expand, from_ascending, from_planes, load, materialize, planes, small_batches, squeeze
 
 QUERY, BEAT, SPAN = 100, 4, 12
 #: Filters in a mark (the first ones), frames of the longest of them, neighbours in a mark.
@@ -49,6 +51,10 @@ LEAST, DRIFT = 1, 4
 PLAIN = 1 << 16
 #: Marks in a block of recordings and in a bucket, about.
 BLOCK_MARKS, BUCKET_MARKS = 1_000_000, 1_000_000
+#: Pairs of a block that are held before they are made distinct.
+HELD_PAIRS = 4_000_000
+#: Bytes of a block of queries, and pairs that a part of the recordings has with it, about; more where a copy of the block for each part were more bytes a pair than the last one.
+QUERY_BYTES, PART_PAIRS, COPY_BYTES = 8_000_000, 8_000, 200
 EDGES = (-0.25, 0.0, 0.25)
 #: By rule: four kinds of partition, over four widths in frames, each at a place in pitch of its own.
 FILTERS = tuple((kind, width, (5 * kind + 3 * i) % 9, 4 if kind else 6) for i, width in enumerate((2, 4, 8, SPAN)) for kind in range(4))
@@ -188,8 +194,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "row long, doc_id long, n_frames long, ints binary, rest binary")
 
 
-MESSAGE = [("bucket", pa.int32()), ("asks", pa.bool_()), ("body", pa.binary())]
-MESSAGE_SQL = "bucket int, asks boolean, body binary"
+MESSAGE = [("bucket", pa.int32()), ("asks", pa.bool_()), ("block", pa.int64()), ("body", pa.binary())]
+MESSAGE_SQL = "bucket int, asks boolean, block long, body binary"
 
 
 def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
@@ -199,7 +205,7 @@ def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
     by its smallest row, so the block that holds that one always sends the class's marks under it.
     """
 
-    def block(rows: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
+    def block(number: int, rows: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
         keys, who = np.concatenate(found), np.repeat(np.arange(len(rows)), [len(k) for k in found])
         order = np.argsort(keys, kind="stable")
         keys, who = keys[order], who[order]
@@ -207,13 +213,13 @@ def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
         out = []
         for k in np.flatnonzero(np.diff(at)).tolist():
             own, mine = np.unique(who[at[k] : at[k + 1]], return_inverse=True)
-            out.append((k, asks, squeeze((ascending(keys[at[k] : at[k + 1]]), planes(mine.astype("<u4")), np.array(rows, np.int64)[own]))))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True) if out else ((), (), ()), MESSAGE, strict=True)], [n for n, _ in MESSAGE])
+            out.append((k, asks, number, squeeze((ascending(keys[at[k] : at[k + 1]]), planes(mine.astype("<u4")), np.array(rows, np.int64)[own]))))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True) if out else [()] * len(MESSAGE), MESSAGE, strict=True)], [n for n, _ in MESSAGE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        rows, found, room, seen = [], [], BLOCK_MARKS, {}
+        number, rows, found, room, seen = TaskContext.get().partitionId() << 32, [], [], BLOCK_MARKS, {}
         for b in batches:
             for row, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 at = seen.setdefault(xxhash.xxh3_128_digest(x), len(rows))
@@ -224,38 +230,69 @@ def marks(prints: DataFrame, asks: bool, n_buckets: int) -> DataFrame:
                 found.append(np.unique(landmarks(np.frombuffer(x, "<u4"))[0]))
                 room -= len(found[-1])
                 if room <= 0:
-                    yield block(rows, found)
-                    rows, found, room, seen = [], [], BLOCK_MARKS, {}
+                    yield block(number, rows, found)
+                    number, rows, found, room, seen = number + 1, [], [], BLOCK_MARKS, {}
         if rows:
-            yield block(rows, found)
+            yield block(number, rows, found)
 
     return prints.select("row", F.concat("ints", "rest").alias("ints")).mapInArrow(run, MESSAGE_SQL)
 
 
+def distinct(rows: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows and queries, each once and in order."""
+    order = np.lexsort((queries, rows))
+    rows, queries = rows[order], queries[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (queries[1:] != queries[:-1])
+    return rows[new], queries[new]
+
+
 def met(table: pa.Table) -> pa.Table:
-    """A bucket's marks to the pairs (row, query_row) that share one."""
+    """A bucket's marks to one message for each block of recordings: its pairs (row, query_row) that share one."""
     sides: dict[bool, list] = {False: [], True: []}
     for r in table.to_pylist():
         keys, who, rows = expand(r["body"])
-        sides[r["asks"]].append((from_ascending(*keys), rows[from_planes(*who)]))
-    pairs = [np.zeros((2, 0), np.int64)]
+        sides[r["asks"]].append((from_ascending(*keys), rows[from_planes(*who)], r["block"]))
+    out = []
     if sides[True]:
-        keys, rows = (np.concatenate(x) for x in zip(*sides[True], strict=True))
+        keys, rows = (np.concatenate(x) for x in list(zip(*sides[True], strict=True))[:2])
         order = np.argsort(keys, kind="stable")
         keys, rows = keys[order], rows[order]
-        for own, row in sides[False]:
+        for own, row, block in sides[False]:
             lo, hi = (np.searchsorted(keys, own, side) for side in ("left", "right"))
             n = hi - lo
             i = np.repeat(np.arange(len(own)), n)
-            pairs.append(np.unique(np.stack([row[i], rows[np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]]), axis=1))
-    return pa.Table.from_arrays([pa.array(x) for x in np.concatenate(pairs, axis=1)], ["row", "query_row"])
+            if len(i):
+                left, right = distinct(row[i], rows[np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)])
+                out.append((block, squeeze((ascending(left.view(np.uint64)), planes(right)))))
+    return pa.Table.from_arrays([pa.array([b for b, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["block", "body"])
+
+
+def gathered(table: pa.Table) -> pa.Table:
+    """A block's messages from all buckets to (row, queries), each pair once."""
+    held, n = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+    for body in table.column("body").to_pylist():
+        left, right = expand(body)
+        held.append((from_ascending(*left).view(np.int64), from_planes(*right)))
+        n += len(held[-1][0])
+        if n > HELD_PAIRS:
+            held, n = [distinct(*(np.concatenate(x) for x in zip(*held, strict=True)))], 0
+    left, right = distinct(*(np.concatenate(x) for x in zip(*held, strict=True)))
+    rows, first = np.unique(left, return_index=True)
+    return pa.Table.from_arrays([pa.array(rows), pa.ListArray.from_arrays(pa.array(np.append(first, len(left)), pa.int32()), pa.array(right))], ["row", "queries"])
+
+
+def queries_met(prints: DataFrame, asking: DataFrame) -> DataFrame:
+    """(row, queries): for each row that shares a mark with a query, the rows of all those queries."""
+    frames = prints.agg(F.sum("n_frames")).first()[0] or 0
+    n = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), frames // BUCKET_MARKS)
+    told = by_bucket(marks(prints, False, n).union(marks(asking, True, n)), n).groupBy("bucket").applyInArrow(met, "block long, body binary")
+    return told.groupBy("block").applyInArrow(gathered, "row long, queries array<bigint>")
 
 
 def candidates(prints: DataFrame, asking: DataFrame) -> DataFrame:
-    """(row, query_row) of all pairs that share a mark."""
-    frames = prints.agg(F.sum("n_frames")).first()[0] or 0
-    n = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), frames // BUCKET_MARKS)
-    return by_bucket(marks(prints, False, n).union(marks(asking, True, n)), n).groupBy("bucket").applyInArrow(met, "row long, query_row long").distinct()
+    """(row, query_row) of all pairs that share a mark, one by one."""
+    return queries_met(prints, asking).select("row", F.explode("queries").alias("query_row"))
 
 
 def alignment(mine: bytes, other: bytes, marks_of=lambda b: landmarks(np.frombuffer(b, "<u4"))) -> tuple[int, int, float] | None:
@@ -275,19 +312,51 @@ def alignment(mine: bytes, other: bytes, marks_of=lambda b: landmarks(np.frombuf
     return offset, int(votes[best]), float(np.bitwise_count(x[:n] ^ y[:n]).sum()) / (32 * n) if n else 1.0
 
 
-def alignments(pairs: DataFrame) -> DataFrame:
-    """(row, query_row, offset, votes, bit_error_rate) of pairs (row, query_row, ints, query_ints)."""
+LISTED = ("query_row", "one", "two", "offset", "votes", "bit_error_rate")
+LISTED_SQL = "array<struct<query_row: bigint, one: bigint, two: bigint, offset: bigint, votes: bigint, bit_error_rate: double>>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks_of = functools.lru_cache(256)(lambda b: landmarks(np.frombuffer(b, "<u4")))
-        for b in batches:
-            found = [alignment(x, y, marks_of) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            kept = pa.array([f is not None for f in found], pa.bool_())
-            results = zip(*(f for f in found if f), strict=True) if any(found) else ((), (), ())
-            values = [pa.array(x, t) for x, t in zip(results, (pa.int64(), pa.int64(), pa.float64()), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(kept), b.column(1).filter(kept), *values], ["row", "query_row", "offset", "votes", "bit_error_rate"])
 
-    return pairs.select("row", "query_row", "ints", "query_ints").mapInArrow(run, "row long, query_row long, offset long, votes long, bit_error_rate double")
+def aligned(table: pa.Table) -> pa.Table:
+    """A part of the recordings and a block of queries to (row, listed): each recording's alignments with those of its queries that are in the block."""
+    mine = pa.compute.is_valid(table.column("queries"))
+    asking = {r["row"]: r for r in table.filter(pa.compute.invert(mine)).to_pylist()}
+    known = {r["ints"]: landmarks(np.frombuffer(r["ints"], "<u4")) for r in asking.values()}
+    last = functools.lru_cache(1)(lambda b: landmarks(np.frombuffer(b, "<u4")))
+    rows, listed = [], []
+    for batch in table.filter(mine).to_batches(max_chunksize=ROWS_PER_BATCH):
+        for r in batch.to_pylist():
+            found = [(q, alignment(r["ints"], asking[q]["ints"], lambda b: known[b] if b in known else last(b))) for q in r["queries"]]
+            if own := [dict(zip(LISTED, (q, asking[q]["one"], asking[q]["two"], *x), strict=True)) for q, x in found if x]:
+                rows.append(r["row"])
+                listed.append(own)
+    kind = pa.list_(pa.struct([(c, pa.float64() if c == "bit_error_rate" else pa.int64()) for c in LISTED]))
+    return pa.Table.from_arrays([pa.array(rows, pa.int64()), pa.array(listed, kind)], ["row", "listed"])
+
+
+def alignments(prints: DataFrame, lists: DataFrame, asking: DataFrame) -> DataFrame:
+    """(row, listed): the alignments of the rows of lists (row, queries) with their queries, of asking (one, two and the columns of prints).
+
+    Queries lie in blocks, and parts of the recordings meet each block in a task. A recording goes once to each
+    block that holds a query of its list, and a block once to each part.
+    """
+    size = 4 * (asking.agg(F.sum("n_frames")).first()[0] or 0)
+    blocks = max(1, -(-size // QUERY_BYTES))
+    pairs = lists.agg(F.sum(F.size("queries"))).first()[0] or 0
+    parts = max(1, -(-pairs // (blocks * max(PART_PAIRS, size // blocks // COPY_BYTES))))
+    none, ints = F.lit(None).cast("long"), F.concat("ints", "rest").alias("ints")
+
+    def block(row: Column) -> Column:
+        return F.pmod(F.xxhash64(row), F.lit(blocks)).cast("int")
+
+    spread = lists if blocks == 1 else lists.select("row", "queries", F.explode(F.array_distinct(F.transform("queries", block))).alias("block"))
+    if blocks > 1:
+        spread = spread.withColumn("queries", F.filter("queries", lambda q: block(q) == F.col("block")))
+    at = F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(parts)).cast("int") + (F.col("block") * parts if blocks > 1 else 0)
+    mine = prints.select("row", ints).join(spread.withColumn("bucket", at), "row").select("bucket", "row", "ints", "queries", none.alias("one"), none.alias("two"))
+    each = asking.select("row", ints, "one", "two", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    theirs = each.select((block(F.col("row")) * parts + F.col("part")).alias("bucket"), "row", "ints", F.lit(None).cast("array<bigint>").alias("queries"), "one", "two")
+    found = by_bucket(mine.union(theirs), blocks * parts).groupBy("bucket").applyInArrow(aligned, f"row long, listed {LISTED_SQL}")
+    return found if blocks == 1 else found.groupBy("row").agg(F.flatten(F.collect_list("listed")).alias("listed"))
 
 
 def align(docs: DataFrame, query: int = QUERY) -> DataFrame:
@@ -300,15 +369,13 @@ def align(docs: DataFrame, query: int = QUERY) -> DataFrame:
     one = asked.groupBy(*same).agg(F.min("q").alias("one"))
     two = asked.join(one, same).where("q <> one").groupBy(*same).agg(F.min("q").alias("two"))
     queries = materialize(one.join(two, same, "left").select(F.col("one.row").alias("query_row"), "one", "two"), "queries")
-    asking = prints.join(queries.select(F.col("query_row").alias("row")), "row", "left_semi")
-    pairs = candidates(prints, asking)
-    pairs = materialize(pairs.join(classes.select(F.col("class_row").alias("row")), "row", "left_semi"), "pairs")
-    both = pairs.join(prints.select("row", F.concat("ints", "rest").alias("ints")), "row").join(asking.select(F.col("row").alias("query_row"), F.concat("ints", "rest").alias("query_ints")), "query_row")
-    listed = alignments(both).join(queries, "query_row").groupBy("row").agg(F.collect_list(F.struct("one", "two", "offset", "votes", "bit_error_rate")).alias("listed"))
+    asking = materialize(prints.join(queries.select(F.col("query_row").alias("row"), F.col("one.doc_id").alias("one"), F.col("two.doc_id").alias("two")), "row"), "asking")
+    lists = materialize(queries_met(prints, asking).join(classes.select(F.col("class_row").alias("row")), "row", "left_semi"), "asked")
+    listed = alignments(prints, lists, asking)
     named = classes.join(materialize(listed.withColumnRenamed("row", "class_row"), "alignments"), "class_row", "left").drop("class_row")
 
     def mine(x: Column) -> Column:
-        who = F.when(x["one"]["row"] == F.col("row"), x["two"]["doc_id"]).otherwise(x["one"]["doc_id"])
+        who = F.when(x["query_row"] == F.col("row"), x["two"]).otherwise(x["one"])
         return F.struct((-x["votes"]).alias("less"), who.alias("query_id"), x["offset"].alias("offset"), x["bit_error_rate"].alias("bit_error_rate"))
 
     def told(x: Column) -> Column:

@@ -448,6 +448,33 @@ def test_chroma_keeps_every_query_of_a_passage(spark):
     assert len(chroma.columns(*(chroma.landmarks(np.frombuffer(packed[k], "<u4")) for k in (3, 1)))[0]) >= 2
 
 
+@pytest.mark.parametrize("bytes_", [chroma.QUERY_BYTES, 4000])
+def test_chroma_of_near_copies_writes_no_pairs(spark, monkeypatch, bytes_):
+    """Near copies, half of them queries: every alignment of all pairs, from tables that grow with the rows, in one block of queries and in several."""
+    rng = np.random.default_rng(12)
+    passage = rng.integers(0, 10_000, 150)
+    texts = {50 * k: " ".join(map(str, [*passage[:60], *rng.integers(0, 10_000, 4), *passage[60:]])) for k in range(1, 61)}
+    written = {}
+
+    def counting(df, name):
+        out = materialize(df, name)
+        written[name] = out.count()
+        return out
+
+    materialize = chroma.materialize
+    monkeypatch.setattr(chroma, "materialize", counting)
+    monkeypatch.setattr(chroma, "QUERY_BYTES", bytes_)
+    monkeypatch.setattr(chroma, "PART_PAIRS", 100)
+    rows = {r["doc_id"]: r for r in chroma.align(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    packed, expected = _chroma_pairs(texts)
+    assert len(set(packed.values())) > 50 and sum(map(len, expected.values())) > 1500 and max(written.values()) <= len(texts)
+    for k, want in expected.items():
+        least = {}
+        for q in sorted(want):
+            least.setdefault(packed[q], q)
+        assert {a["query_id"]: (a["offset"], a["votes"]) for a in json.loads(rows[k]["alignments"])} == {q: want[q] for q in least.values()}
+
+
 def test_chroma_finds_short_passages_and_edited_copies(spark, texts):
     """Of real texts: passages set into another text, and copies with a word changed every 20 words."""
     rng = np.random.default_rng(9)
