@@ -10,8 +10,8 @@ Over the frames, an integral image gives the sums under FILTERS, rectangles in t
 three parts of opposite sign, at every frame. Each compares its parts by the logarithm of their ratio,
 is cut into four levels, and adds two bits (a Gray code) to the frame's 32-bit integer.
 
-Search: queries are the rows whose id is divisible by QUERY. Recordings with equal integers are one class,
-named by the smallest id, and so are queries. Marks stand for a class: at every frame, the bits of the
+Search: queries are the rows whose id is divisible by QUERY. Recordings with equal integers, those of the last places
+included, are one class, named by the smallest id, and so are queries. Marks stand for a class: at every frame, the bits of the
 filters of up to SHORT frames of RUN neighbours in a row, so that a mark spans seven frames, survives bits
 that differ elsewhere, and each unedited run of that length yields one. A class is compared with every
 class of queries that shares a mark with it. Its queries go with it as one list, and the comparisons are made where
@@ -362,7 +362,7 @@ def alignments(prints: DataFrame, lists: DataFrame, asking: DataFrame) -> DataFr
 def align(docs: DataFrame, query: int = QUERY) -> DataFrame:
     """Every document's frames, class and alignments with the queries."""
     prints, same = materialize(fingerprints(docs), "chroma"), ["digest", "ints_crc32"]
-    short = prints.select("row", "doc_id", "n_frames", F.xxhash64("ints").alias("digest"), F.crc32("ints").alias("ints_crc32"))
+    short = prints.select("row", "doc_id", "n_frames", F.xxhash64("ints", "rest").alias("digest"), F.crc32("ints").alias("ints_crc32"))
     classes = short.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.min("row").alias("class_row"))
     # The smallest query of each class, and the smallest but that one for its own row.
     asked = short.where(F.col("doc_id").isNotNull() & (F.col("doc_id") % query == 0) & (F.col("n_frames") > 0)).select(F.struct("doc_id", "row").alias("q"), *same)

@@ -475,6 +475,24 @@ def test_chroma_of_near_copies_writes_no_pairs(spark, monkeypatch, bytes_):
         assert {a["query_id"]: (a["offset"], a["votes"]) for a in json.loads(rows[k]["alignments"])} == {q: want[q] for q in least.values()}
 
 
+def test_chroma_of_recordings_that_differ_at_their_end(spark):
+    """Equal integers but for the last places: classes of their own, with alignments of their own."""
+    rng = np.random.default_rng(13)
+    start = rng.integers(0, 10_000, 60)
+    texts = {50 * k: " ".join(map(str, [*start, *rng.integers(0, 10_000, 3)])) for k in range(1, 61)}
+    parts = [chroma.packed(chroma.frames_of_text(t)) for t in texts.values()]
+    assert len({x for x, _ in parts}) < len(set(parts))
+    packed, expected = _chroma_pairs(texts)
+    for order in (1, -1):  # whichever of them is read first
+        df = spark.createDataFrame(list(texts.items())[::order], "doc_id long, text string")
+        rows = {r["doc_id"]: r for r in chroma.align(df).collect()}
+        for k, want in expected.items():
+            least = {}
+            for q in sorted(want):
+                least.setdefault(packed[q], q)
+            assert {a["query_id"]: (a["offset"], a["votes"]) for a in json.loads(rows[k]["alignments"])} == {q: want[q] for q in least.values()}
+
+
 def test_chroma_finds_short_passages_and_edited_copies(spark, texts):
     """Of real texts: passages set into another text, and copies with a word changed every 20 words."""
     rng = np.random.default_rng(9)
