@@ -15,6 +15,8 @@ from ..functions.fixpoint import Scratch
 
 #: Rows and bytes that a Python worker gets at once (a text is never divided).
 ROWS_PER_BATCH, BYTES_PER_BATCH = 512, 16 << 20
+#: Bytes of a row group, which a task holds while it writes or reads one.
+BYTES_PER_GROUP = 16 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,6 +29,17 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
+def small_tables(spark: SparkSession) -> None:
+    """Parquet is read in batches of few rows and written in small row groups, for the session from now on, so that tasks which carry whole texts share a heap of 1 GB.
+
+    By default a task reads 4096 texts at once and collects 128 MB before it writes. Smaller settings stay.
+    """
+    hadoop = spark._jsc.hadoopConfiguration()
+    for name, most in (("spark.sql.parquet.columnarReaderBatchSize", ROWS_PER_BATCH), ("parquet.block.size", BYTES_PER_GROUP)):
+        known = spark.conf.get(name, None) or hadoop.get(name)
+        spark.conf.set(name, str(min(int(known or most), most)))
+
+
 def fixed_tasks(spark: SparkSession) -> None:
     """Files are dealt to tasks by their sizes alone, for the session from now on: executors that come or go between passes change nothing."""
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:

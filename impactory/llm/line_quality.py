@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold_column, load, one_row_each, small_batches, within
+from .common import fold_column, load, one_row_each, small_batches, small_tables, within
 
 #: Bound of the fit: labelled rows; and the bytes of line features taken in by the driver.
 SAMPLE_ROWS, FEATURE_BYTES = 4000, 50_000_000
@@ -238,4 +238,5 @@ def op6_quality(spark, sf_dir: str) -> DataFrame:
 
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A pipeline stage: docs whose score is at least KEEP, columns as they were."""
+    small_tables(spark)
     return docs.where(quality(spark, docs["text"], model_for(spark, sf_dir)) >= KEEP)

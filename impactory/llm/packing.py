@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import load, materialize, small_batches
+from .common import load, materialize, small_batches, small_tables
 
 WINDOW, END = 2048, 1
 CACHE = 900_000
@@ -154,4 +154,5 @@ def op2_packing(spark, sf_dir: str) -> DataFrame:
 
 def pack_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The last pipeline stage: a row per piece of a document."""
+    small_tables(spark)
     return packed(docs, vocabulary())

@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, load, materialize
+from .common import discard, load, materialize, small_tables
 
 # Fixed patterns and least lengths.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -278,6 +278,7 @@ def redact(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Spans that overlap become one. A null text stays null.
     """
+    small_tables(spark)
     into = "__secrets"
     while into in docs.columns:
         into += "_"

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, expand, load, materialize, small_batches, squeeze
+from .common import discard, expand, load, materialize, small_batches, small_tables, squeeze
 
 SHINGLE, BITS, SEED, FAN = 3, 2, 42, 64
 #: Fingerprints in a partition of the index at most, about; a root has as many nodes as FAN * FAN goes into it.
@@ -750,6 +750,7 @@ def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are told apart by a number that is written beside them once, so null and repeated ids don't matter, nor
     does how later passes divide the table among tasks.
     """
+    small_tables(spark)
     number = "row"
     while number in {c.lower() for c in docs.columns}:
         number += "_"

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import load, one_row_each, small_batches, within
+from .common import load, one_row_each, small_batches, small_tables, within
 
 CATEGORIES = ("explicit", "coded", "toxic")
 PREFIXES = (4, 5, 6, 7)
@@ -263,4 +263,5 @@ def op4_toxicity(spark, sf_dir: str) -> DataFrame:
 
 def keep_clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A pipeline stage: docs without those that are rejected, columns as they were."""
+    small_tables(spark)
     return docs.where(probabilities(spark, docs["text"], model_for(spark, sf_dir))["toxic"] < REJECT)
